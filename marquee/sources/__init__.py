@@ -1,4 +1,4 @@
-from .parquet import CLUSTER_KEYS, land_catalog, load_parquet, write_table
+from .parquet import BUCKET_KEYS, land_bucketed, land_catalog, load_parquet, load_tables, write_table
 from .sinks import preview, write_parquet
 from .testdata import load_testdata
 from .tsv import (
@@ -15,7 +15,9 @@ from .tsv import (
 )
 
 __all__ = [
-    "CLUSTER_KEYS",
+    "BUCKET_KEYS",
+    "land_bucketed",
+    "load_tables",
     "land_catalog",
     "load_parquet",
     "write_table",

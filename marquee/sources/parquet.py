@@ -1,14 +1,22 @@
-"""Parquet landing: write the catalogue once, read it columnar afterwards.
+"""Parquet landing: write the catalogue once, query it columnar afterwards.
 
-Landing is where the layout for the questions is chosen:
+Two layouts:
 
-* ``tconst``-keyed tables (titles, ratings, crew, principals, akas) can be
-  clustered on their title key and ``people`` on ``nconst`` so row groups carry
-  tight min/max statistics for the key;
-* files are rewritten into splittable, column-pruned Parquet, so a question
-  that uses two columns of ``principals`` reads two columns.
+* ``land_catalog`` / ``load_parquet`` -- plain Parquet folders, one per table.
+  Splittable and column-pruned: a question that uses two columns of
+  ``principals`` reads two columns.
+* ``land_bucketed`` / ``load_tables`` -- catalogue tables bucketed on their
+  join key with one bucket count. ``titles``, ``ratings``, ``crew``,
+  ``principals`` are bucketed on ``tconst``, ``akas`` on ``titleId``,
+  ``episodes`` on ``parentTconst`` and ``people`` on ``nconst``, so every
+  title-key join between them is a sort-merge join *without an exchange* on
+  either side, and a per-title aggregate keeps the partitioning. Choose
+  ``buckets`` so one bucket of the largest table is a few hundred MB (e.g.
+  10 TB of principals -> ~20k buckets); tables with a bucket count that is a
+  multiple of another's still co-locate with
+  ``spark.sql.bucketing.coalesceBucketsInJoin.enabled``.
 
-The write is a plain distributed write; nothing passes through the driver.
+Both writes are plain distributed writes; nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -17,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..catalog import Catalog
 
-# Key each table is clustered on when landed (``cluster=True``).
-CLUSTER_KEYS = {
+# Join key of each table: the bucket column of the bucketed layout.
+BUCKET_KEYS = {
     "titles": "tconst",
     "ratings": "tconst",
     "crew": "tconst",
@@ -29,21 +37,48 @@ CLUSTER_KEYS = {
 }
 
 
-def write_table(df: DataFrame, path: str, *, key: str | None = None, mode: str = "overwrite") -> None:
-    if key is not None:
-        # Range-partition on the key: one shuffle at landing time, then every
-        # file covers a key range and later filters/joins prune by statistics.
-        df = df.repartitionByRange(key).sortWithinPartitions(key)
+def write_table(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def land_catalog(catalog: Catalog, base_path: str, *, cluster: bool = True, mode: str = "overwrite") -> str:
+def land_catalog(catalog: Catalog, base_path: str, *, mode: str = "overwrite") -> str:
     base = base_path.rstrip("/")
     for name, df in catalog.items():
-        write_table(df, f"{base}/{name}", key=CLUSTER_KEYS[name] if cluster else None, mode=mode)
+        write_table(df, f"{base}/{name}", mode=mode)
     return base
 
 
 def load_parquet(spark: SparkSession, base_path: str) -> Catalog:
     base = base_path.rstrip("/")
     return Catalog(**{n: spark.read.parquet(f"{base}/{n}") for n in Catalog.names()})
+
+
+def land_bucketed(
+    catalog: Catalog,
+    database: str,
+    *,
+    buckets: int,
+    location: str | None = None,
+    mode: str = "overwrite",
+) -> str:
+    """Write every table as ``database.<name>``, bucketed on its join key.
+
+    ``repartition(buckets, key)`` first, so each bucket is written by one task
+    as one file (without it every write task emits a file per bucket)."""
+    spark = catalog.spark
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+    for name, df in catalog.items():
+        key = BUCKET_KEYS[name]
+        (
+            df.repartition(buckets, key)
+            .write.mode(mode)
+            .format("parquet")
+            .bucketBy(buckets, key)
+            .saveAsTable(f"{database}.{name}")
+        )
+    return database
+
+
+def load_tables(spark: SparkSession, database: str) -> Catalog:
+    return Catalog(**{n: spark.table(f"{database}.{n}") for n in Catalog.names()})

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..functions import ACTING_CATEGORIES, is_acting
+from ..session import checkpoint_dir
 
 TITLE_COLUMNS = (
     "tconst",
@@ -104,3 +105,16 @@ def top_k_global(df: DataFrame, order: Sequence[Column], k: int, rank_col: str =
     ``limit`` first, so only k rows reach the single-partition ranking window."""
     head = df.orderBy(*order).limit(k)
     return head.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Materialise ``df`` and mark it for broadcast only if it has at most
+    ``max_rows`` rows; above that it is returned as is, for a shuffle join.
+
+    The materialisation is a reliable checkpoint in the session's shared
+    checkpoint folder (it survives executor loss and cuts the lineage), so the
+    size check costs one small write and a count over it, and the query reads
+    the small table back instead of recomputing it."""
+    checkpoint_dir(df.sparkSession)
+    materialised = df.checkpoint(eager=True)
+    return F.broadcast(materialised) if materialised.count() <= max_rows else materialised

@@ -18,8 +18,10 @@ def credits_per_name_and_title(cat: Catalog, *, top_n: int | None = None, sort:
 
     The result is nearly as large as ``principals``; it stays distributed and
     is sorted only for ``top_n`` (TakeOrdered) or ``sort``."""
-    credits = cat.principals.select("tconst", "nconst")
-    named = with_names(credits, cat.people).join(cat.titles.select("tconst", "primaryTitle"), "tconst")
+    # title key first: on a layout bucketed by tconst that join needs no
+    # exchange, so the credits are shuffled once (by nconst) before the names.
+    credits = cat.principals.select("tconst", "nconst").join(cat.titles.select("tconst", "primaryTitle"), "tconst")
+    named = with_names(credits, cat.people)
     counts = named.groupBy("primaryName", "primaryTitle").count()
     return finish(
         counts,

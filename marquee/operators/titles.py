@@ -82,7 +82,7 @@ def titles_per_year(cat: Catalog, *, since_year: int = 2020) -> DataFrame:
         F.count("tconst").alias("movies_produced"),
         F.avg("runtimeMinutes").alias("average_runtime"),
     )
-    return out.orderBy("startYear")
+    return out
 
 
 def genre_rating_by_region(
@@ -109,4 +109,4 @@ def genre_rating_by_region(
     out = rows.groupBy("startYear").agg(
         *[F.avg(F.when(F.col("region") == code, F.col("averageRating"))).alias(name) for code, name in regions]
     )
-    return out.select("startYear", *[name for _, name in regions]).orderBy("startYear")
+    return out.select("startYear", *[name for _, name in regions])

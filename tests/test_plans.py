@@ -80,3 +80,18 @@ def test_bucketed_layout_removes_title_key_exchanges(spark):
             assert "Exchange hashpartitioning(titleId" not in text, key
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_group_means_broadcast_only_under_the_row_bound(spark, small_catalog):
+    from marquee.operators import rating_vs_genre_year_mean
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = physical_plan(rating_vs_genre_year_mean(small_catalog))
+        big = physical_plan(rating_vs_genre_year_mean(small_catalog, broadcast_max_rows=0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin [coalesce(genres" in small and "SortMergeJoin [coalesce(genres" not in small
+    assert "SortMergeJoin [coalesce(genres" in big and "BroadcastHashJoin" not in big
+    assert "Window" not in small and "Window" not in big

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
+TABLE_NAMES = ("titles", "ratings", "crew", "principals", "episodes", "akas", "people")
+
 
 @dataclass(frozen=True)
 class Catalog:
@@ -16,10 +18,13 @@ class Catalog:
     episodes: DataFrame
     akas: DataFrame
     people: DataFrame
+    # Optional derived relation: titles ⨝ ratings, already materialised (see
+    # ``plans.job.run_all``). Questions use it through ``rated_titles``.
+    rated: DataFrame | None = field(default=None, compare=False, repr=False)
 
     @classmethod
     def names(cls) -> tuple[str, ...]:
-        return tuple(f.name for f in fields(cls))
+        return TABLE_NAMES
 
     def items(self) -> list[tuple[str, DataFrame]]:
         return [(n, getattr(self, n)) for n in self.names()]

@@ -40,7 +40,10 @@ TITLE_COLUMNS = (
 
 
 def rated_titles(cat: Catalog) -> DataFrame:
-    """titles ⨝ ratings on tconst (title columns, then averageRating, numVotes)."""
+    """titles ⨝ ratings on tconst (title columns, then averageRating, numVotes);
+    the catalogue's materialised copy when it carries one."""
+    if cat.rated is not None:
+        return cat.rated
     return cat.titles.join(cat.ratings, "tconst")
 
 

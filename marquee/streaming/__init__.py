@@ -1,0 +1,3 @@
+from .landing import land_all_streams, land_stream, tsv_stream
+
+__all__ = ["land_all_streams", "land_stream", "tsv_stream"]

@@ -1,0 +1,74 @@
+"""Incremental landing of catalogue TSV drops with Structured Streaming.
+
+The dataset is published as whole TSV files that are refreshed over time. A
+file-source stream per table picks up only files it has not seen, applies the
+same schema / null / quote / list rules as the batch reader, and appends them
+to the table's Parquet folder. The file sink plus the checkpoint give
+exactly-once output across restarts and lost executors; ``availableNow`` runs
+it as a bounded job (process everything new, then stop), so it can be
+scheduled like a batch job.
+
+Questions then run on ``sources.load_parquet`` over the landed folders.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..catalog import Catalog
+from ..schemas import TABLES
+from ..session import checkpoint_dir
+from ..sources.tsv import NULL_MARKER, split_lists
+
+
+def tsv_stream(spark: SparkSession, source_dir: str, table: str, *, quote: str = "", max_files: int | None = None) -> DataFrame:
+    schema, _, lists = TABLES[table]
+    reader = (
+        spark.readStream.schema(schema)
+        .option("sep", "\t")
+        .option("header", True)
+        .option("nullValue", NULL_MARKER)
+        .option("quote", quote)
+        .option("mode", "PERMISSIVE")
+    )
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return split_lists(reader.csv(source_dir), lists)
+
+
+def land_stream(
+    spark: SparkSession,
+    source_dir: str,
+    table: str,
+    target_dir: str,
+    *,
+    checkpoint: str | None = None,
+    quote: str = "",
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Start appending new files of ``table`` from ``source_dir`` to
+    ``target_dir`` (Parquet). The checkpoint defaults to a stable folder for
+    this target inside the session's shared checkpoint dir."""
+    if checkpoint is None:
+        safe = target_dir.rstrip("/").replace("/", "_").replace(":", "_")
+        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/landing/{safe}"
+    writer = (
+        tsv_stream(spark, source_dir, table, quote=quote)
+        .writeStream.format("parquet")
+        .option("path", target_dir)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def land_all_streams(
+    spark: SparkSession, source_root: str, target_root: str, *, quote: str = ""
+) -> dict[str, StreamingQuery]:
+    """One landing stream per table: ``source_root/<table>/`` -> ``target_root/<table>``."""
+    src, dst = source_root.rstrip("/"), target_root.rstrip("/")
+    return {
+        t: land_stream(spark, f"{src}/{t}", t, f"{dst}/{t}", quote=quote) for t in Catalog.names()
+    }

@@ -5,7 +5,7 @@
    checkpoint dir: plain Parquet folders (``BENCH_LAYOUT=plain``, the default:
    shuffle joins, where AQE can split a skewed key) or bucketed on the join
    keys (``BENCH_LAYOUT=bucketed``).
-2. Per question: one warm-up, then the median of 3 runs of a ``noop`` write
+2. Per question: one warm-up, then the median of 5 runs of a ``noop`` write
    (the full result is computed, nothing is collected to the driver).
 
 Prints one JSON line.
@@ -41,7 +41,7 @@ def _noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     keys = os.environ.get("BENCH_KEYS")
     keys = keys.split(",") if keys else QUESTION_KEYS
 
@@ -52,7 +52,10 @@ def main() -> None:
         master=f"local[{cpus}]",
         shuffle_partitions=parts,
         app="marquee-bench",
-        extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="marquee-wh-")},
+        extra={
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="marquee-wh-"),
+            **json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}")),
+        },
     )
 
     t0 = time.perf_counter()
@@ -62,7 +65,7 @@ def main() -> None:
         land_bucketed(mapped, db, buckets=parts, location=scratch_path(spark, db))
         cat = load_tables(spark, db)
     else:
-        cat = load_parquet(spark, land_catalog(mapped, scratch_path(spark, "bench-catalog")))
+        cat = load_parquet(spark, land_catalog(mapped, scratch_path(spark, "bench-catalog"), files=parts))
     land_sec = time.perf_counter() - t0
 
     timings: dict[str, float] = {}

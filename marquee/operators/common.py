@@ -26,6 +26,11 @@ from ..catalog import Catalog
 from ..functions import ACTING_CATEGORIES, is_acting
 from ..session import checkpoint_dir
 
+# Row bound under which a filtered title set (a key and a few narrow columns,
+# some 50 bytes a row in the broadcast hash relation, so ~100 MB at the bound)
+# is broadcast to the credits / aliases instead of shuffling them.
+TITLE_SET_MAX_ROWS = 2_000_000
+
 TITLE_COLUMNS = (
     "tconst",
     "titleType",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..functions import has_any
-from .common import acting_credits, finish, rated_titles, with_names
+from .common import TITLE_SET_MAX_ROWS, acting_credits, broadcast_if_bounded, finish, rated_titles, with_names
 
 
 def _mean_rating_per(cat: Catalog, role: str) -> DataFrame:
@@ -69,24 +69,33 @@ def actors_by_director_count(cat: Catalog, *, top_n: int | None = None, sort: bo
 
 
 def top_writer_genre_sets(
-    cat: Catalog, *, year_from: int = 1939, year_to: int = 1945, n: int = 5, profession: str = "writer"
+    cat: Catalog,
+    *,
+    year_from: int = 1939,
+    year_to: int = 1945,
+    n: int = 5,
+    profession: str = "writer",
+    broadcast_max_rows: int = TITLE_SET_MAX_ROWS,
 ) -> DataFrame:
     """Q20. Credits (any category) of people listing ``profession`` on rated
     titles started in [year_from, year_to] that have a crew row, counted per
     (primaryName, genres array); top ``n`` (ties: name, genres).
 
     The crew join is kept as an inner join (it multiplies if crew repeats a
-    title, as in the reference); the year and profession filters are applied to
-    the inputs, before any join."""
-    titles = (
+    title, as in the reference). The few years' titles are broadcast under the
+    bound and met by the credits first, so only the matching credits are
+    shuffled on to the crew and people joins."""
+    titles = broadcast_if_bounded(
         rated_titles(cat)
         .filter((F.col("startYear") >= year_from) & (F.col("startYear") <= year_to))
-        .select("tconst", "genres")
+        .select("tconst", "genres"),
+        broadcast_max_rows,
     )
     writers = cat.people.filter(has_any("primaryProfession", [profession])).select("nconst", "primaryName")
     credits = (
-        titles.join(cat.crew.select("tconst"), "tconst")
-        .join(cat.principals.select("tconst", "nconst"), "tconst")
+        cat.principals.select("tconst", "nconst")
+        .join(titles, "tconst")
+        .join(cat.crew.select("tconst"), "tconst")
         .join(writers, "nconst")
     )
     counts = credits.groupBy("primaryName", "genres").count()

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..functions import ACTING_CATEGORIES, has_any, nulls_first_order
-from .common import acting_credits, finish, rated_titles, top_k_global, with_names
+from .common import (
+    TITLE_SET_MAX_ROWS,
+    acting_credits,
+    broadcast_if_bounded,
+    finish,
+    rated_titles,
+    top_k_global,
+    with_names,
+)
 
 
 def credits_per_name_and_title(cat: Catalog, *, top_n: int | None = None, sort: bool = False) -> DataFrame:
@@ -43,12 +51,22 @@ def profession_counts(
 
 
 def top_series_actors(
-    cat: Catalog, *, since_year: int = 2013, title_type: str = "tvSeries", n: int = 20
+    cat: Catalog,
+    *,
+    since_year: int = 2013,
+    title_type: str = "tvSeries",
+    n: int = 20,
+    broadcast_max_rows: int = TITLE_SET_MAX_ROWS,
 ) -> DataFrame:
     """Q8. Acting credits on ``title_type`` titles started in or after
-    ``since_year``, counted per person (series credits, not episodes)."""
-    series = cat.titles.filter((F.col("startYear") >= since_year) & (F.col("titleType") == title_type)).select(
-        "tconst"
+    ``since_year``, counted per person (series credits, not episodes).
+
+    The selected titles are a small slice of the catalogue: materialised,
+    counted and broadcast under ``broadcast_max_rows``, so the credits are
+    filtered where they lie instead of being shuffled to meet them."""
+    series = broadcast_if_bounded(
+        cat.titles.filter((F.col("startYear") >= since_year) & (F.col("titleType") == title_type)).select("tconst"),
+        broadcast_max_rows,
     )
     counts = acting_credits(cat.principals).select("tconst", "nconst").join(series, "tconst").groupBy("nconst").count()
     named = with_names(counts, cat.people)
@@ -154,10 +172,13 @@ def longest_careers(cat: Catalog, *, top_n: int | None = None, sort: bool = True
     )
 
 
-def people_by_genre_credits(cat: Catalog, *, genre: str = "Animation", n: int = 10) -> DataFrame:
+def people_by_genre_credits(
+    cat: Catalog, *, genre: str = "Animation", n: int = 10, broadcast_max_rows: int = TITLE_SET_MAX_ROWS
+) -> DataFrame:
     """Q19. Credits (every category) on titles whose genres hold ``genre``, per
-    person; top ``n`` (ties: nconst)."""
-    titles = cat.titles.filter(has_any("genres", [genre])).select("tconst")
+    person; top ``n`` (ties: nconst). The genre's titles are broadcast when
+    their count is under the bound (see Q8)."""
+    titles = broadcast_if_bounded(cat.titles.filter(has_any("genres", [genre])).select("tconst"), broadcast_max_rows)
     counts = (
         cat.principals.select("tconst", "nconst")
         .join(titles, "tconst")
@@ -173,12 +194,19 @@ def people_by_genre_credits(cat: Catalog, *, genre: str = "Animation", n: int =
 
 
 def youngest_actors(
-    cat: Catalog, *, year: int = 2020, n: int = 20, categories: Iterable[str] = ACTING_CATEGORIES
+    cat: Catalog,
+    *,
+    year: int = 2020,
+    n: int = 20,
+    categories: Iterable[str] = ACTING_CATEGORIES,
+    broadcast_max_rows: int = TITLE_SET_MAX_ROWS,
 ) -> DataFrame:
     """Q23. Acting credits on rated titles started in ``year``, counted per
     (primaryName, birthYear); the ``n`` youngest (null birthYear last; ties:
-    name), ranked 1..n."""
-    titles = rated_titles(cat).filter(F.col("startYear") == year).select("tconst")
+    name), ranked 1..n. One year's titles are broadcast under the bound."""
+    titles = broadcast_if_bounded(
+        rated_titles(cat).filter(F.col("startYear") == year).select("tconst"), broadcast_max_rows
+    )
     credits = acting_credits(cat.principals, categories).select("tconst", "nconst").join(titles, "tconst")
     counts = with_names(credits, cat.people, cols=("primaryName", "birthYear")).groupBy(
         "primaryName", "birthYear"

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..functions import has_any
-from .common import TITLE_COLUMNS, finish, rated_titles, top_k_per_group, with_title
+from .common import (
+    TITLE_COLUMNS,
+    TITLE_SET_MAX_ROWS,
+    broadcast_if_bounded,
+    finish,
+    rated_titles,
+    top_k_per_group,
+    with_title,
+)
 
 RATED_COLUMNS = (*TITLE_COLUMNS, "averageRating", "numVotes")
 
@@ -92,6 +100,7 @@ def genre_rating_by_region(
     year_from: int = 2003,
     year_to: int = 2009,
     regions: Sequence[tuple[str, str]] = (("US", "usa"), ("UA", "ua")),
+    broadcast_max_rows: int = TITLE_SET_MAX_ROWS,
 ) -> DataFrame:
     """Q25. Mean rating of ``genre`` titles started in [year_from, year_to], per
     start year and alias region, one column per region.
@@ -99,13 +108,18 @@ def genre_rating_by_region(
     A title counts once per matching alias row (several US aliases weight it).
     Written as one conditional aggregation: ``avg`` over the rows of a region
     equals that region's group mean, and a region with no rows gives null -- the
-    pivot without its extra distinct-values job and second aggregation."""
+    pivot without its extra distinct-values job and second aggregation. The
+    genre's titles in the year range are broadcast to the aliases under the
+    bound (see Q8)."""
     codes = [code for code, _ in regions]
-    titles = cat.titles.filter(has_any("genres", [genre]) & F.col("startYear").between(year_from, year_to)).select(
-        "tconst", "startYear"
+    titles = broadcast_if_bounded(
+        cat.titles.filter(has_any("genres", [genre]) & F.col("startYear").between(year_from, year_to)).select(
+            "tconst", "startYear"
+        ),
+        broadcast_max_rows,
     )
     aliases = cat.akas.filter(F.col("region").isin(codes)).select(F.col("titleId").alias("tconst"), "region")
-    rows = titles.join(aliases, "tconst").join(cat.ratings.select("tconst", "averageRating"), "tconst")
+    rows = aliases.join(titles, "tconst").join(cat.ratings.select("tconst", "averageRating"), "tconst")
     out = rows.groupBy("startYear").agg(
         *[F.avg(F.when(F.col("region") == code, F.col("averageRating"))).alias(name) for code, name in regions]
     )

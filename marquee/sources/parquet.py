@@ -37,14 +37,22 @@ BUCKET_KEYS = {
 }
 
 
-def write_table(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, path: str, *, files: int | None = None, mode: str = "overwrite") -> None:
+    """Write ``df`` as balanced Parquet files.
+
+    ``files`` given: a round-robin repartition into that many files. Otherwise
+    the ``rebalance`` hint: AQE sizes the output partitions and splits skewed
+    ones, so no key -- however hot -- makes one oversized file, and small
+    inputs are not written as thousands of tiny files. Either way scans of the
+    landed table get one task per file/row group, not one per source file."""
+    df = df.repartition(files) if files is not None else df.hint("rebalance")
     df.write.mode(mode).parquet(path)
 
 
-def land_catalog(catalog: Catalog, base_path: str, *, mode: str = "overwrite") -> str:
+def land_catalog(catalog: Catalog, base_path: str, *, files: int | None = None, mode: str = "overwrite") -> str:
     base = base_path.rstrip("/")
     for name, df in catalog.items():
-        write_table(df, f"{base}/{name}", mode=mode)
+        write_table(df, f"{base}/{name}", files=files, mode=mode)
     return base
 
 

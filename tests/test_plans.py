@@ -95,3 +95,28 @@ def test_group_means_broadcast_only_under_the_row_bound(spark, small_catalog):
     assert "BroadcastHashJoin [coalesce(genres" in small and "SortMergeJoin [coalesce(genres" not in small
     assert "SortMergeJoin [coalesce(genres" in big and "BroadcastHashJoin" not in big
     assert "Window" not in small and "Window" not in big
+
+
+SELECTIVE = {
+    "top_series_actors": dict(since_year=1997, n=20),
+    "people_by_genre_credits": dict(genre="ECONOMY", n=10),
+    "youngest_actors": dict(year=2000, n=20),
+    "top_writer_genre_sets": dict(year_from=1996, year_to=1998, n=5),
+    "genre_rating_by_region": dict(genre="ECONOMY", year_from=1996, year_to=2000),
+}
+
+
+@pytest.mark.parametrize("key", list(SELECTIVE))
+def test_selected_titles_meet_the_credits_where_they_lie(spark, small_catalog, key):
+    from marquee import operators as Q
+
+    fn = getattr(Q, key)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # plan as at scale
+    try:
+        bounded = physical_plan(fn(small_catalog, **SELECTIVE[key]))
+        unbounded = physical_plan(fn(small_catalog, **SELECTIVE[key], broadcast_max_rows=0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in bounded and "Exchange hashpartitioning(tconst" not in bounded
+    assert "BroadcastHashJoin" not in unbounded and "Exchange hashpartitioning(tconst" in unbounded

@@ -118,5 +118,7 @@ def test_selected_titles_meet_the_credits_where_they_lie(spark, small_catalog, k
         unbounded = physical_plan(fn(small_catalog, **SELECTIVE[key], broadcast_max_rows=0))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" in bounded and "Exchange hashpartitioning(tconst" not in bounded
+    assert "BroadcastHashJoin [tconst" in bounded
+    if key != "top_writer_genre_sets":  # Q20 shuffles the already-filtered credits on to crew
+        assert "Exchange hashpartitioning(tconst" not in bounded
     assert "BroadcastHashJoin" not in unbounded and "Exchange hashpartitioning(tconst" in unbounded

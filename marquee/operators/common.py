@@ -19,12 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..functions import ACTING_CATEGORIES, is_acting
-from ..session import checkpoint_dir
+from ..session import scratch_path
 
 # Row bound under which a filtered title set (a key and a few narrow columns,
 # some 50 bytes a row in the broadcast hash relation, so ~100 MB at the bound)
@@ -117,12 +117,16 @@ def top_k_global(df: DataFrame, order: Sequence[Column], k: int, rank_col: str =
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Materialise ``df`` and mark it for broadcast only if it has at most
-    ``max_rows`` rows; above that it is returned as is, for a shuffle join.
-
-    The materialisation is a reliable checkpoint in the session's shared
-    checkpoint folder (it survives executor loss and cuts the lineage), so the
-    size check costs one small write and a count over it, and the query reads
-    the small table back instead of recomputing it."""
-    checkpoint_dir(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
-    return F.broadcast(materialised) if materialised.count() <= max_rows else materialised
+    ``max_rows`` rows; above that it is returned unmarked, for a shuffle join.
+
+    The materialisation is a Parquet table written to a fresh folder inside
+    the session's shared checkpoint dir (lineage cut; survives executor loss),
+    and the row count is observed during that same write, so the size check
+    costs no extra job. Reading it back also gives the planner the table's
+    real size."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "bounded")
+    size = Observation("bounded_size")
+    df.observe(size, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    written = spark.read.parquet(path)
+    return F.broadcast(written) if size.get["rows"] <= max_rows else written

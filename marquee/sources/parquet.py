@@ -21,6 +21,8 @@ Both writes are plain distributed writes; nothing passes through the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..catalog import Catalog
@@ -49,10 +51,29 @@ def write_table(df: DataFrame, path: str, *, files: int | None = None, mode: str
     df.write.mode(mode).parquet(path)
 
 
-def land_catalog(catalog: Catalog, base_path: str, *, files: int | None = None, mode: str = "overwrite") -> str:
+def _each_table(catalog: Catalog, write, parallel: bool) -> None:
+    """Run one write per table; with ``parallel`` the seven independent jobs are
+    submitted together, so a table whose scan has few splits does not leave the
+    rest of the cluster idle while it runs."""
+    if not parallel:
+        for name, df in catalog.items():
+            write(name, df)
+        return
+    with ThreadPoolExecutor(max_workers=len(catalog.names())) as pool:
+        for f in [pool.submit(write, name, df) for name, df in catalog.items()]:
+            f.result()
+
+
+def land_catalog(
+    catalog: Catalog,
+    base_path: str,
+    *,
+    files: int | None = None,
+    mode: str = "overwrite",
+    parallel: bool = True,
+) -> str:
     base = base_path.rstrip("/")
-    for name, df in catalog.items():
-        write_table(df, f"{base}/{name}", files=files, mode=mode)
+    _each_table(catalog, lambda name, df: write_table(df, f"{base}/{name}", files=files, mode=mode), parallel)
     return base
 
 
@@ -68,6 +89,7 @@ def land_bucketed(
     buckets: int,
     location: str | None = None,
     mode: str = "overwrite",
+    parallel: bool = True,
 ) -> str:
     """Write every table as ``database.<name>``, bucketed on its join key.
 
@@ -76,7 +98,8 @@ def land_bucketed(
     spark = catalog.spark
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
-    for name, df in catalog.items():
+
+    def write(name: str, df: DataFrame) -> None:
         key = BUCKET_KEYS[name]
         (
             df.repartition(buckets, key)
@@ -85,6 +108,8 @@ def land_bucketed(
             .bucketBy(buckets, key)
             .saveAsTable(f"{database}.{name}")
         )
+
+    _each_table(catalog, write, parallel)
     return database
 
 

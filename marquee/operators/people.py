@@ -106,7 +106,9 @@ def most_improved_people(cat: Catalog, *, top_n: int | None = None, sort: bool =
     so the result is ``max(rating) - rating at the first credit``. That is one
     hash aggregate (``max`` and ``min_by``, both partially aggregated before the
     shuffle) instead of sorting every person's credits in one task -- a person
-    with a third of all credits costs one row per map task."""
+    with a third of all credits costs one row per map task. (The struct order
+    key makes it a SortAggregate: each map task sorts its own credits by
+    person, then ships one row per person.)"""
     credits = (
         cat.principals.select("tconst", "nconst")
         .join(cat.titles.select("tconst", "startYear"), "tconst")

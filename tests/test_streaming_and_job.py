@@ -50,3 +50,20 @@ def test_run_all_writes_every_question(spark, small_catalog):
     assert list(paths) == QUESTION_KEYS
     for key, path in paths.items():
         assert spark.read.parquet(path).count() == present(REGISTRY[key].build(small_catalog)).count(), key
+
+
+def test_cli_runs_every_question_on_tsv(spark, small_catalog, capsys):
+    from marquee.__main__ import main
+    from marquee.schemas import TABLES
+
+    from .test_sources import _as_tsv
+
+    tmp = tempfile.mkdtemp(prefix="cli-")
+    for name, df in small_catalog.items():
+        out = os.path.join(tmp, "dir_" + name)
+        _as_tsv(df, out)
+        part = [p for p in os.listdir(out) if p.endswith(".csv")][0]
+        os.symlink(os.path.join(out, part), os.path.join(tmp, TABLES[name][1]))
+    main([tmp, "--rows", "3"])
+    text = capsys.readouterr().out
+    assert text.count("\nQ") + text.startswith("Q") == 25

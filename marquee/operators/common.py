@@ -115,15 +115,31 @@ def top_k_global(df: DataFrame, order: Sequence[Column], k: int, rank_col: str =
     return head.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
 
 
+def _planner_would_broadcast(df: DataFrame) -> bool:
+    """True when the planner's own size estimate for ``df`` is already under
+    its broadcast threshold -- then its standard size check decides the join.
+    False when that cannot be told (no estimate available, threshold off)."""
+    try:
+        threshold = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+        estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:
+        return False
+    return 0 <= estimate <= threshold
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Materialise ``df`` and mark it for broadcast only if it has at most
-    ``max_rows`` rows; above that it is returned unmarked, for a shuffle join.
-
-    The materialisation is a Parquet table written to a fresh folder inside
-    the session's shared checkpoint dir (lineage cut; survives executor loss),
-    and the row count is observed during that same write, so the size check
-    costs no extra job. Reading it back also gives the planner the table's
-    real size."""
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows;
+    above that it is returned unmarked, for a shuffle join.
+
+    If the planner's estimate already puts ``df`` under its broadcast
+    threshold, ``df`` is returned as is and the planner's standard size check
+    decides. Otherwise ``df`` is materialised as a Parquet table in a fresh
+    folder of the session's shared checkpoint dir (lineage cut; survives
+    executor loss), its rows counted by an ``Observation`` during that same
+    write (no extra job), and the table read back -- which also gives the
+    planner its real size."""
+    if _planner_would_broadcast(df):
+        return df
     spark = df.sparkSession
     path = scratch_path(spark, "bounded")
     size = Observation("bounded_size")

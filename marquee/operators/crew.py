@@ -82,21 +82,19 @@ def top_writer_genre_sets(
     (primaryName, genres array); top ``n`` (ties: name, genres).
 
     The crew join is kept as an inner join (it multiplies if crew repeats a
-    title, as in the reference). The few years' titles are broadcast under the
-    bound and met by the credits first, so only the matching credits are
-    shuffled on to the crew and people joins."""
+    title, as in the reference); it is made on the few years' titles, before
+    the credits. That title set is broadcast under the bound, so the credits
+    are filtered where they lie. Credits are counted per (person, genres)
+    before the name join, which then sees one row per person and genre set;
+    namesakes are summed after it."""
     titles = broadcast_if_bounded(
         rated_titles(cat)
         .filter((F.col("startYear") >= year_from) & (F.col("startYear") <= year_to))
-        .select("tconst", "genres"),
+        .select("tconst", "genres")
+        .join(cat.crew.select("tconst"), "tconst"),
         broadcast_max_rows,
     )
     writers = cat.people.filter(has_any("primaryProfession", [profession])).select("nconst", "primaryName")
-    credits = (
-        cat.principals.select("tconst", "nconst")
-        .join(titles, "tconst")
-        .join(cat.crew.select("tconst"), "tconst")
-        .join(writers, "nconst")
-    )
-    counts = credits.groupBy("primaryName", "genres").count()
+    per_person = cat.principals.select("tconst", "nconst").join(titles, "tconst").groupBy("nconst", "genres").count()
+    counts = per_person.join(writers, "nconst").groupBy("primaryName", "genres").agg(F.sum("count").alias("count"))
     return finish(counts, [F.desc("count"), F.asc("primaryName"), F.asc("genres")], top_n=n)

@@ -209,9 +209,14 @@ def youngest_actors(
     titles = broadcast_if_bounded(
         rated_titles(cat).filter(F.col("startYear") == year).select("tconst"), broadcast_max_rows
     )
-    credits = acting_credits(cat.principals, categories).select("tconst", "nconst").join(titles, "tconst")
-    counts = with_names(credits, cat.people, cols=("primaryName", "birthYear")).groupBy(
+    # credits per person first (partial aggregation before the shuffle, so a
+    # hot person is one row per map task), then the name join sees one row
+    # per person; namesakes of one birth year are summed after it
+    per_person = (
+        acting_credits(cat.principals, categories).select("tconst", "nconst").join(titles, "tconst").groupBy("nconst").count()
+    )
+    counts = with_names(per_person, cat.people, cols=("primaryName", "birthYear")).groupBy(
         "primaryName", "birthYear"
-    ).count()
+    ).agg(F.sum("count").alias("count"))
     ranked = top_k_global(counts, [F.desc_nulls_last("birthYear"), F.asc("primaryName")], n)
     return ranked.select("primaryName", "birthYear", "count", "rank")

@@ -67,8 +67,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir). Only when neither is set -- local tests -- a fresh folder under the
-    system temp dir is created and registered.
+    dir). Only when neither is set on a ``local`` master -- tests, the bench --
+    a fresh folder under the system temp dir is created and registered. On a
+    cluster a machine-local folder would not survive the loss of an executor
+    (nor be seen by the others), so an unset dir is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -80,6 +82,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a shared folder (HDFS, S3, ...) "
+            "for the tables this library writes between jobs"
+        )
     local = tempfile.mkdtemp(prefix="marquee-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -67,3 +67,44 @@ def test_cli_runs_every_question_on_tsv(spark, small_catalog, capsys):
     main([tmp, "--rows", "3"])
     text = capsys.readouterr().out
     assert text.count("\nQ") + text.startswith("Q") == 25
+
+
+class _StubContext:
+    def __init__(self, master, configured=None):
+        self.master = master
+        self._dir = None
+        self._configured = configured
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def setCheckpointDir(self, d):
+        self._dir = d
+
+    def getConf(self):
+        return {"spark.checkpoint.dir": self._configured} if self._configured else {}
+
+
+class _StubConf:
+    def get(self, key, default=None):
+        return default
+
+
+class _StubSession:
+    def __init__(self, master, configured=None):
+        self.sparkContext = _StubContext(master, configured)
+        self.conf = _StubConf()
+
+
+def test_checkpoint_dir_is_the_clusters_and_never_machine_local_there():
+    import pytest
+
+    from marquee.session import checkpoint_dir
+
+    # a cluster with a shared folder: that folder is used as is
+    assert checkpoint_dir(_StubSession("yarn", "hdfs://nn/ckpt")) == "hdfs://nn/ckpt"
+    # a cluster without one: an error, not a machine-local temp folder
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_StubSession("spark://master:7077"))
+    # local mode (tests, bench): a fresh temp folder
+    assert os.path.isdir(checkpoint_dir(_StubSession("local[2]")))

@@ -5,7 +5,7 @@
    checkpoint dir: plain Parquet folders (``BENCH_LAYOUT=plain``, the default:
    shuffle joins, where AQE can split a skewed key) or bucketed on the join
    keys (``BENCH_LAYOUT=bucketed``).
-   Then, as ``plans.job.run_all`` does, titles ⨝ ratings -- the relation eight
+   Then, as ``plans.job.run_all`` does, titles ⨝ ratings -- the relation nine
    questions start from -- is written once as a shared table (timed, reported
    as ``share_sec``; ``BENCH_SHARE_RATED=0`` skips it and every question joins
    the two tables itself).

@@ -109,17 +109,17 @@ def genre_rating_by_region(
     Written as one conditional aggregation: ``avg`` over the rows of a region
     equals that region's group mean, and a region with no rows gives null -- the
     pivot without its extra distinct-values job and second aggregation. The
-    genre's titles in the year range are broadcast to the aliases under the
-    bound (see Q8)."""
+    genre's rated titles in the year range (with their rating, so the aliases
+    meet one table) are broadcast to the aliases under the bound (see Q8)."""
     codes = [code for code, _ in regions]
     titles = broadcast_if_bounded(
-        cat.titles.filter(has_any("genres", [genre]) & F.col("startYear").between(year_from, year_to)).select(
-            "tconst", "startYear"
-        ),
+        rated_titles(cat)
+        .filter(has_any("genres", [genre]) & F.col("startYear").between(year_from, year_to))
+        .select("tconst", "startYear", "averageRating"),
         broadcast_max_rows,
     )
     aliases = cat.akas.filter(F.col("region").isin(codes)).select(F.col("titleId").alias("tconst"), "region")
-    rows = aliases.join(titles, "tconst").join(cat.ratings.select("tconst", "averageRating"), "tconst")
+    rows = aliases.join(titles, "tconst")
     out = rows.groupBy("startYear").agg(
         *[F.avg(F.when(F.col("region") == code, F.col("averageRating"))).alias(name) for code, name in regions]
     )

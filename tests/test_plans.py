@@ -118,8 +118,31 @@ def test_selected_titles_meet_the_credits_where_they_lie(spark, small_catalog, k
         unbounded = physical_plan(fn(small_catalog, **SELECTIVE[key], broadcast_max_rows=0))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # the credits / aliases are no longer shuffled to meet the titles; an
-    # already-filtered result may still be shuffled on (Q20 to crew, Q25 to ratings)
+    # the credits / aliases are not shuffled to meet the titles, nor is any
+    # title-keyed table (Q20's crew, Q25's ratings) joined after them: they
+    # meet one broadcast title set and no title-key exchange is left
     assert "BroadcastHashJoin [tconst" in bounded and "BroadcastHashJoin" not in unbounded
     tconst_exchanges = "Exchange hashpartitioning(tconst"
-    assert bounded.count(tconst_exchanges) < unbounded.count(tconst_exchanges)
+    assert bounded.count(tconst_exchanges) == 0 < unbounded.count(tconst_exchanges)
+
+
+@pytest.mark.parametrize(
+    "key, keys",
+    [("youngest_actors", ["nconst"]), ("top_writer_genre_sets", ["nconst", "genres"])],
+)
+def test_credits_are_counted_per_person_before_the_name_join(spark, small_catalog, key, keys):
+    import re
+
+    from marquee import operators as Q
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # plan as at scale
+    try:
+        text = physical_plan(getattr(Q, key)(small_catalog, **SELECTIVE[key]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # a partial count keyed on the person id (collapsing a hot person per map
+    # task), then the name join, then the namesakes' counts summed per name
+    ids = ", ".join(rf"{k}#\d+" for k in keys)
+    assert re.search(rf"HashAggregate\(keys=\[{ids}\], functions=\[partial_count\(1\)\]", text), text
+    assert re.search(r"HashAggregate\(keys=\[primaryName#\d+, \w+#\d+\], functions=\[partial_sum\(count", text), text

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .minhash import near_duplicates
 from .packing import pack
+from .quality_rules import RULES, quality_verdicts
 from .sharding import histogram_sort
 
 
+RISK, ERROR = 0.01, 0.05  # of the quality rules: share of good documents a rule may reject; chance that any does more
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -22,6 +26,12 @@ def op1_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), vocabulary(), seq_len=2048, end_id=0)
 
 
+def op2_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), risk=RISK, error=ERROR
+    )
+
+
 def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return histogram_sort(docs, shards=16).select(
@@ -39,6 +49,71 @@ def op9_minhash_tensored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op3_histogram_sort, op9_minhash_tensored)}
+QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_risk_controlled_rules, op3_histogram_sort, op9_minhash_tensored)}
+
+
+
+def _rules_sql() -> str:
+    """The quality rules in DuckDB SQL, from the contract's definitions."""
+
+    def value(rule: str) -> str:
+        above, below, _, _ = RULES[rule]
+        return f"{above} / NULLIF({below}, 0)::DOUBLE"
+
+    def reject(rule: str, cutoff: str) -> str:
+        return f"coalesce({value(rule)} {'>' if RULES[rule][2] else '<'} {cutoff}, false)"
+
+    grid = " UNION ALL ".join(
+        f"SELECT stratum, '{rule}' AS rule, {i} AS at, {c}::DOUBLE AS cutoff, count(*) AS n, "
+        f"count(*) FILTER (WHERE {reject(rule, f'{c}::DOUBLE')}) AS k FROM good GROUP BY stratum"
+        for rule, spec in RULES.items()
+        for i, c in enumerate(spec[3])
+    )
+    chosen = ", ".join(f"max_by(cutoff, at) FILTER (WHERE passed AND rule = '{rule}') AS c_{rule}" for rule in RULES)
+    bad = " OR ".join(reject(rule, f"c_{rule}") for rule in RULES)
+    return f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda l: regexp_matches(l, '[^ \\t\\n\\x0B\\f\\r]')) AS lines
+  FROM documents
+), place AS (
+  SELECT doc_id, unnest(range(1, len(words) - 6)) AS i, words FROM doc WHERE len(words) >= 8
+), win AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS times FROM place
+), rep AS (
+  SELECT doc_id, count(DISTINCT j) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM win WHERE times > 1) GROUP BY doc_id
+), m AS (
+  SELECT doc_id, stratum, len(words)::BIGINT AS n_words,
+         length(array_to_string(words, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         len(lines)::BIGINT AS n_lines,
+         length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_shouts,
+         len(list_distinct(words))::BIGINT AS n_distinct_words
+  FROM doc LEFT JOIN rep USING (doc_id)
+), good AS (
+  SELECT m.* FROM m WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)
+), grid AS ({grid}
+), tail AS (
+  SELECT *, CASE WHEN k >= n * {RISK} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+           exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) END AS p
+  FROM grid
+), tested AS (
+  SELECT *, bool_and(p <= {ERROR} / (SELECT count(DISTINCT stratum) * {len(RULES)} FROM good))
+            OVER (PARTITION BY stratum, rule ORDER BY at) AS passed
+  FROM tail
+), lim AS (SELECT stratum, {chosen} FROM tested GROUP BY stratum
+), verdict AS (
+  SELECT m.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, ({bad}) AS bad
+  FROM m LEFT JOIN lim USING (stratum)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_shouts, n_distinct_words,
+       base_failed, NOT base_failed AND NOT bad AS kept
+FROM verdict"""
+
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_risk_controlled_rules": _rules_sql()}

@@ -7,12 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .decontamination import leaks
+from .licences import licence_scan, scan_sql
 from .minhash import near_duplicates
 from .packing import pack
+from .pii import with_surrogates
+from .ranking import ranked_quality
 from .quality_rules import RULES, quality_verdicts
 from .sharding import histogram_sort
+from .toxicity import toxicity_scores
 
 
+PII_KEY = "example key; a deployment passes its own"
 RISK, ERROR = 0.01, 0.05  # of the quality rules: share of good documents a rule may reject; chance that any does more
 
 
@@ -45,11 +51,45 @@ def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op8_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_tensored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_pattern_packing, op2_risk_controlled_rules, op3_histogram_sort, op9_minhash_tensored)}
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_surrogates(docs, PII_KEY, count="n_entities")
+
+
+def op6_char_ngram_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=4, held=2, threshold=0.3)
+
+
+def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5, held=0, threshold=0.3)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pattern_packing,
+        op2_risk_controlled_rules,
+        op3_histogram_sort,
+        op5_surrogates,
+        op6_char_ngram_toxicity,
+        op7_qgram_decontamination,
+        op8_licence_sentences,
+        op9_minhash_tensored,
+        op10_pairwise_quality,
+    )
+}
 
 
 
@@ -64,12 +104,12 @@ def _rules_sql() -> str:
         return f"coalesce({value(rule)} {'>' if RULES[rule][2] else '<'} {cutoff}, false)"
 
     grid = " UNION ALL ".join(
-        f"SELECT stratum, '{rule}' AS rule, {i} AS at, {c}::DOUBLE AS cutoff, count(*) AS n, "
+        f"SELECT stratum, '{rule}' AS rule, {i} AS step, {c}::DOUBLE AS cutoff, count(*) AS n, "
         f"count(*) FILTER (WHERE {reject(rule, f'{c}::DOUBLE')}) AS k FROM good GROUP BY stratum"
         for rule, spec in RULES.items()
         for i, c in enumerate(spec[3])
     )
-    chosen = ", ".join(f"max_by(cutoff, at) FILTER (WHERE passed AND rule = '{rule}') AS c_{rule}" for rule in RULES)
+    chosen = ", ".join(f"max_by(cutoff, step) FILTER (WHERE passed AND rule = '{rule}') AS c_{rule}" for rule in RULES)
     bad = " OR ".join(reject(rule, f"c_{rule}") for rule in RULES)
     return f"""
 WITH doc AS (
@@ -85,7 +125,7 @@ WITH doc AS (
 ), rep AS (
   SELECT doc_id, count(DISTINCT j) AS n_repeat_words
   FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM win WHERE times > 1) GROUP BY doc_id
-), m AS (
+), m AS MATERIALIZED (
   SELECT doc_id, stratum, len(words)::BIGINT AS n_words,
          length(array_to_string(words, ''))::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
@@ -95,7 +135,7 @@ WITH doc AS (
          length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_shouts,
          len(list_distinct(words))::BIGINT AS n_distinct_words
   FROM doc LEFT JOIN rep USING (doc_id)
-), good AS (
+), good AS MATERIALIZED (
   SELECT m.* FROM m WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)
 ), grid AS ({grid}
 ), tail AS (
@@ -104,7 +144,7 @@ WITH doc AS (
   FROM grid
 ), tested AS (
   SELECT *, bool_and(p <= {ERROR} / (SELECT count(DISTINCT stratum) * {len(RULES)} FROM good))
-            OVER (PARTITION BY stratum, rule ORDER BY at) AS passed
+            OVER (PARTITION BY stratum, rule ORDER BY step) AS passed
   FROM tail
 ), lim AS (SELECT stratum, {chosen} FROM tested GROUP BY stratum
 ), verdict AS (
@@ -116,4 +156,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 FROM verdict"""
 
 
-SQL: dict[str, str] = {"op2_risk_controlled_rules": _rules_sql()}
+SQL: dict[str, str] = {"op2_risk_controlled_rules": _rules_sql(), "op8_licence_sentences": scan_sql()}

@@ -15,6 +15,7 @@ from .pii import with_surrogates
 from .ranking import ranked_quality
 from .quality_rules import RULES, quality_verdicts
 from .sharding import histogram_sort
+from .suffixes import without_repeats
 from .toxicity import toxicity_scores
 
 
@@ -63,6 +64,10 @@ def op9_minhash_tensored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return with_surrogates(docs, PII_KEY, count="n_entities")
@@ -82,6 +87,7 @@ QUERIES = {
         op1_pattern_packing,
         op2_risk_controlled_rules,
         op3_histogram_sort,
+        op4_difference_cover,
         op5_surrogates,
         op6_char_ngram_toxicity,
         op7_qgram_decontamination,

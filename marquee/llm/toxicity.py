@@ -57,7 +57,7 @@ class Model:
         return float(self.weight[present(text, self.bits, self.wanted)].sum()) + self.bias
 
 
-def ratios(n0: np.ndarray, n1: np.ndarray, docs0: int, docs1: int, noise: float = 2.5) -> np.ndarray:
+def ratios(n0: np.ndarray, n1: np.ndarray, docs0: int, docs1: int, noise: float = 4.0) -> np.ndarray:
     """Naive Bayes log-count ratios from document counts, add-one smoothed; 0
     where the ratio is below ``noise`` of its standard errors."""
     r = np.log((n1 + 1) / (docs1 + 2)) - np.log((n0 + 1) / (docs0 + 2))
@@ -65,7 +65,7 @@ def ratios(n0: np.ndarray, n1: np.ndarray, docs0: int, docs1: int, noise: float
     return np.where(np.abs(r) >= noise * se, r, 0.0)
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, *, ridge: float = 2.0, steps: int = 300) -> tuple[np.ndarray, float]:
+def fit(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, *, ridge: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
     """Logistic regression on presence times ratio by accelerated gradients;
     returns weights times ratio per feature, and the bias."""
     used = np.flatnonzero(r)

@@ -250,3 +250,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, miss:
             (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"),
         )
     )
+
+
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, with their columns, of the first document of each
+    group. The doc_ids to drop are written and anti-joined; rows without a
+    doc_id stay."""
+    found = near_duplicates(docs, **options)
+    drop = written(found.filter("NOT kept").select(F.col("doc_id").alias("__drop")).distinct(), "near-duplicates")
+    return docs.join(drop, docs["doc_id"].cast("long") == drop["__drop"], "left_anti")

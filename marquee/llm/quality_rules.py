@@ -253,9 +253,14 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01,
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01, error: float = 0.05) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns. Texts are measured
-    twice -- for the cutoffs, then in place -- and never moved."""
+    twice -- for the cutoffs, then in place -- and never moved.
+
+    The filter must not be pushed below the measures, where it would repeat
+    their expressions; a row number, which isn't deterministic, holds it."""
     measured = with_measures(docs.select("doc_id", "text", *(["lang"] if "lang" in docs.columns else []))).select(
         "doc_id", stratum_of(docs).alias("stratum"), F.col("__measures").alias("measures")
     )
     limits = cutoffs(measured, labels, risk=risk, error=error)
-    return judged(with_measures(docs), limits).filter("__kept").select(*docs.columns)
+    numbered = with_measures(docs).withColumn("__row", F.monotonically_increasing_id())
+    kept = judged(numbered, limits).filter("__kept AND __row >= 0")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

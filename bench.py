@@ -5,15 +5,16 @@
    checkpoint dir: plain Parquet folders (``BENCH_LAYOUT=plain``, the default:
    shuffle joins, where AQE can split a skewed key) or bucketed on the join
    keys (``BENCH_LAYOUT=bucketed``).
-   Then, as ``plans.job.run_all`` does, titles ⨝ ratings -- the relation nine
-   questions start from -- is written once as a shared table (timed, reported
-   as ``share_sec``; ``BENCH_SHARE_RATED=0`` skips it and every question joins
-   the two tables itself).
+   Then, as ``plans.job.run_all`` does, the relations several questions start
+   from -- titles ⨝ ratings, and the credits with their rating and titles -- are
+   written once as shared tables (timed, reported as ``share_sec``).
 2. Per question: one warm-up, then the median of 5 runs of a ``noop`` write
    (the full result is computed, nothing is collected to the driver).
-3. For the questions whose reference form is a window or pivot that we wrote
-   differently (Q7, Q10, Q14, Q16-Q19, Q23, Q25), that literal form too, run as
-   Spark SQL on the same tables (``literal_window_forms``).
+3. Like for like, both on the landed tables without the shared ones
+   (``like_for_like``): the questions whose reference form is a window or pivot
+   that we wrote differently (Q7, Q14, Q16-Q19, Q23, Q25), ours and the literal
+   form as Spark SQL; and, with and without the shared credits, Q9-Q11, Q16 and
+   Q18 (``without_shared``).
 4. Per question, the initial plan's exchange / join / broadcast / window counts
    (``plans``).
 
@@ -34,7 +35,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from marquee.plans import oracle as O  # noqa: E402
 from marquee.plans.inspect import operator_counts, physical_plan  # noqa: E402
-from marquee.plans.job import share_rated  # noqa: E402
+from marquee.plans.job import shared  # noqa: E402
 from marquee.plans.registry import QUESTION_KEYS, REGISTRY, present  # noqa: E402
 from marquee.session import local_session, scratch_path  # noqa: E402
 from marquee.sources import (  # noqa: E402
@@ -82,42 +83,46 @@ def main() -> None:
         cat = load_parquet(spark, land_catalog(mapped, scratch_path(spark, "bench-catalog"), files=parts))
     land_sec = time.perf_counter() - t0
 
-    share = os.environ.get("BENCH_SHARE_RATED", "1") == "1"
+    def timed(build) -> float:
+        _noop(build())  # warm-up
+        samples = []
+        for _ in range(runs):
+            t = time.perf_counter()
+            _noop(build())
+            samples.append(time.perf_counter() - t)
+        return round(statistics.median(samples), 4)
+
+    plain = cat
     t0 = time.perf_counter()
-    if share:
-        cat = share_rated(cat)
+    sharing = shared(cat)
+    cat = sharing.__enter__()
     share_sec = time.perf_counter() - t0
 
     timings: dict[str, float] = {}
     plans: dict[str, dict[str, int]] = {}
     for key in keys:
         build = REGISTRY[key].build
-        counts = operator_counts(physical_plan(present(build(cat))))
+        counts = operator_counts(physical_plan(build(cat)))
         plans[key] = {
             "exchanges": counts.get("Exchange", 0),
             "joins": sum(v for k, v in counts.items() if k.endswith("Join")),
             "broadcast_joins": counts.get("BroadcastHashJoin", 0),
             "windows": counts.get("Window", 0),
         }
-        _noop(present(build(cat)))  # warm-up
-        samples = []
-        for _ in range(runs):
-            t = time.perf_counter()
-            _noop(present(build(cat)))
-            samples.append(time.perf_counter() - t)
-        timings[key] = round(statistics.median(samples), 4)
+        timings[key] = timed(lambda: build(cat))
+    sharing.__exit__(None, None, None)
 
     # The reference's literal forms of the questions we rewrote (the oracle's
-    # SQL, which keeps them), run on Spark SQL over the same landed tables: the
-    # measured gain -- or cost -- of each rewrite at this scale.
-    literal: dict[str, float] = {}
+    # SQL, which keeps them), run on Spark SQL over the same landed tables, next
+    # to ours over those tables: the measured gain -- or cost -- of each rewrite.
+    like: dict[str, dict[str, float]] = {}
+    without: dict[str, float] = {}
     if os.environ.get("BENCH_LITERAL", "1") == "1":
-        for name, df in cat.items():
+        for name, df in plain.items():
             df.createOrReplaceTempView(O.TABLE_OF[name])
         params = {s.key: s.params for s in REGISTRY.values()}
         forms = {
             "rating_vs_genre_year_mean": O.q7(),
-            "most_improved_people": O.q10(),
             "series_by_episode_count": O.q14(10),
             "people_by_rating_spread": O.q16(10),
             "titles_by_alias_count": O.q17(10),
@@ -136,13 +141,13 @@ def main() -> None:
                 continue
             # the two DuckDB function names these statements use, in Spark SQL
             sql = sql.replace("list_contains(", "array_contains(").replace("array_to_string(", "array_join(")
-            _noop(spark.sql(sql))
-            samples = []
-            for _ in range(runs):
-                t = time.perf_counter()
-                _noop(spark.sql(sql))
-                samples.append(time.perf_counter() - t)
-            literal[key] = round(statistics.median(samples), 4)
+            like[key] = {
+                "ours": timed(lambda: present(REGISTRY[key].build(plain))),
+                "literal": timed(lambda: spark.sql(sql)),
+            }
+        for key in ("worst_rated_actors", "most_improved_people", "actors_by_genre_count", "people_by_rating_spread", "longest_careers"):
+            if key in timings:
+                without[key] = timed(lambda: REGISTRY[key].build(plain))
 
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
@@ -155,9 +160,10 @@ def main() -> None:
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "land_sec": round(land_sec, 4),
                 "share_sec": round(share_sec, 4),
-                "shared_rated_titles": share,
+                "total_with_landing_and_sharing": round(sum(timings.values()) + land_sec + share_sec, 4),
                 "layout": layout,
-                "literal_window_forms": literal,
+                "like_for_like": like,
+                "without_shared": without,
                 "plans": plans,
                 "cpus": cpus,
                 "runs": runs,

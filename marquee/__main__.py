@@ -11,10 +11,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from . import operators as Q
-from .plans.job import run_all, share_rated
-from .plans.registry import QUESTION_KEYS, REGISTRY, present
-from .sources import load_parquet, load_tsv, preview
+from .plans.job import run_all
+from .session import apply_scale_conf
+from .sources import load_parquet, load_tsv
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -27,15 +26,9 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("marquee").getOrCreate()
+    apply_scale_conf(spark)
     cat = load_parquet(spark, args.source) if args.parquet else load_tsv(spark, args.source, quote=args.quote)
-    if args.out:
-        run_all(cat, args.out)
-    if args.rows:
-        shared = share_rated(cat)
-        for key in QUESTION_KEYS:
-            number = REGISTRY[key].number
-            print(f"Q{number} {key}")
-            preview(present(Q.QUESTIONS[number](shared)), n=args.rows, truncate=key != "longest_careers")
+    run_all(cat, args.out, rows=args.rows)
 
 
 if __name__ == "__main__":

@@ -18,9 +18,11 @@ class Catalog:
     episodes: DataFrame
     akas: DataFrame
     people: DataFrame
-    # Optional derived relation: titles ⨝ ratings, already materialised (see
-    # ``plans.job.run_all``). Questions use it through ``rated_titles``.
+    # Optional derived relations, already materialised (see ``plans.job.shared``):
+    # titles ⨝ ratings, used through ``rated_titles``; and the credits with their
+    # rating and titles, used through ``rated_credits`` and its like.
     rated: DataFrame | None = field(default=None, compare=False, repr=False)
+    credits: DataFrame | None = field(default=None, compare=False, repr=False)
 
     @classmethod
     def names(cls) -> tuple[str, ...]:

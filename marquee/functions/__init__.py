@@ -5,7 +5,6 @@ from .columns import (
     in_values,
     is_acting,
     list_text,
-    nulls_first_order,
 )
 
 __all__ = [
@@ -15,5 +14,4 @@ __all__ = [
     "in_values",
     "is_acting",
     "list_text",
-    "nulls_first_order",
 ]

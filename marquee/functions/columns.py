@@ -38,15 +38,6 @@ def decade(year: str | Column) -> Column:
     return F.floor(col(year) / 10) * 10
 
 
-def nulls_first_order(*cols: str | Column) -> Column:
-    """A struct that sorts ascending with nulls first in every field, for
-    ``min_by``/``max_by`` (which ignore a null ordering value, not null fields)."""
-    parts: list[Column] = []
-    for c in cols:
-        parts += [col(c).isNotNull(), col(c)]
-    return F.struct(*parts)
-
-
 def list_text(arr: str | Column, sep: str = ",") -> Column:
     """Array back to its comma text (null array -> null)."""
     return F.array_join(col(arr), sep)

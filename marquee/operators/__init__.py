@@ -15,14 +15,17 @@ from .common import (
 from .crew import (
     actors_by_director_count,
     directors_by_actor_count,
+    directors_by_rating_all,
     top_deceased_writers,
     top_directors_by_rating,
     top_writer_genre_sets,
 )
-from .genres import rating_vs_genre_year_mean, top_genre_set_per_decade
+from .genres import genre_per_decade, rating_vs_genre_year_mean, top_genre_set_per_decade
 from .people import (
+    actor_episode_counts,
     actors_by_genre_count,
     credits_per_name_and_title,
+    first_last_rating_gain,
     longest_careers,
     most_improved_people,
     people_by_genre_credits,
@@ -72,7 +75,11 @@ QUESTIONS = {
     25: genre_rating_by_region,
 }
 
-__all__ = [f.__name__ for f in QUESTIONS.values()] + [
+# What some questions ask for in words but the reference computes otherwise.
+EXTENSIONS = (directors_by_rating_all, first_last_rating_gain, genre_per_decade, actor_episode_counts)
+
+__all__ = [f.__name__ for f in (*QUESTIONS.values(), *EXTENSIONS)] + [
+    "EXTENSIONS",
     "QUESTIONS",
     "acting_credits",
     "finish",

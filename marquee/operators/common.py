@@ -19,17 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..functions import ACTING_CATEGORIES, is_acting
-from ..session import scratch_path
-
-# Row bound under which a filtered title set (a key and a few narrow columns,
-# some 50 bytes a row in the broadcast hash relation, so ~100 MB at the bound)
-# is broadcast to the credits / aliases instead of shuffling them.
-TITLE_SET_MAX_ROWS = 2_000_000
 
 TITLE_COLUMNS = (
     "tconst",
@@ -52,6 +46,37 @@ def rated_titles(cat: Catalog) -> DataFrame:
     return cat.titles.join(cat.ratings, "tconst")
 
 
+def rated_credits(cat: Catalog) -> DataFrame:
+    """principals ⨝ ratings: tconst, nconst, category, averageRating; from the
+    catalogue's shared credits when it carries them."""
+    if cat.credits is not None:
+        return cat.credits.filter("rated").select("tconst", "nconst", "category", "averageRating")
+    return cat.principals.select("tconst", "nconst", "category").join(
+        cat.ratings.select("tconst", "averageRating"), "tconst"
+    )
+
+
+def titled_credits(cat: Catalog) -> DataFrame:
+    """principals ⨝ titles: tconst, nconst, category, startYear, genres."""
+    if cat.credits is not None:
+        return cat.credits.select("tconst", "nconst", "category", F.inline("titles"))
+    return cat.principals.select("tconst", "nconst", "category").join(
+        cat.titles.select("tconst", "startYear", "genres"), "tconst"
+    )
+
+
+def rated_titled_credits(cat: Catalog) -> DataFrame:
+    """principals ⨝ titles ⨝ ratings: tconst, nconst, startYear, averageRating."""
+    if cat.credits is not None:
+        rows = cat.credits.filter("rated").select("tconst", "nconst", "averageRating", F.inline("titles"))
+        return rows.select("tconst", "nconst", "startYear", "averageRating")
+    return (
+        cat.principals.select("tconst", "nconst")
+        .join(cat.titles.select("tconst", "startYear"), "tconst")
+        .join(cat.ratings.select("tconst", "averageRating"), "tconst")
+    )
+
+
 def acting_credits(principals: DataFrame, categories: Iterable[str] = ACTING_CATEGORIES) -> DataFrame:
     return principals.filter(is_acting("category", categories))
 
@@ -113,36 +138,3 @@ def top_k_global(df: DataFrame, order: Sequence[Column], k: int, rank_col: str =
     ``limit`` first, so only k rows reach the single-partition ranking window."""
     head = df.orderBy(*order).limit(k)
     return head.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
-
-
-def _planner_would_broadcast(df: DataFrame) -> bool:
-    """True when the planner's own size estimate for ``df`` is already under
-    its broadcast threshold -- then its standard size check decides the join.
-    False when that cannot be told (no estimate available, threshold off)."""
-    try:
-        threshold = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-        estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:
-        return False
-    return 0 <= estimate <= threshold
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows;
-    above that it is returned unmarked, for a shuffle join.
-
-    If the planner's estimate already puts ``df`` under its broadcast
-    threshold, ``df`` is returned as is and the planner's standard size check
-    decides. Otherwise ``df`` is materialised as a Parquet table in a fresh
-    folder of the session's shared checkpoint dir (lineage cut; survives
-    executor loss), its rows counted by an ``Observation`` during that same
-    write (no extra job), and the table read back -- which also gives the
-    planner its real size."""
-    if _planner_would_broadcast(df):
-        return df
-    spark = df.sparkSession
-    path = scratch_path(spark, "bounded")
-    size = Observation("bounded_size")
-    df.observe(size, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    written = spark.read.parquet(path)
-    return F.broadcast(written) if size.get["rows"] <= max_rows else written

@@ -7,18 +7,24 @@ a sole director (writer) reach a name -- the reference's semantics, kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..functions import has_any
-from .common import TITLE_SET_MAX_ROWS, acting_credits, broadcast_if_bounded, finish, rated_titles, with_names
+from .common import acting_credits, finish, rated_titles, with_names
+
+
+def _sole(role: str) -> Column:
+    """Lists of one person. A longer list can't equal a person id, as no id
+    holds a comma, so dropping it before the shuffle loses no name."""
+    return ~F.contains(F.col(role), F.lit(","))
 
 
 def _mean_rating_per(cat: Catalog, role: str) -> DataFrame:
     return (
         cat.ratings.select("tconst", "averageRating")
-        .join(cat.crew.select("tconst", role), "tconst")
+        .join(cat.crew.filter(_sole(role)).select("tconst", role), "tconst")
         .groupBy(role)
         .agg(F.avg("averageRating").alias("avgRating"))
     )
@@ -38,13 +44,27 @@ def top_deceased_writers(cat: Catalog, *, n: int = 5) -> DataFrame:
     return finish(named, [F.desc_nulls_last("avgRating"), F.asc("writers")], top_n=n, select=("primaryName", "avgRating"))
 
 
-def _acting_with_crew(cat: Catalog) -> DataFrame:
-    return acting_credits(cat.principals).select("tconst", "nconst").join(cat.crew.select("tconst", "directors"), "tconst")
+def directors_by_rating_all(cat: Catalog, *, n: int = 10) -> DataFrame:
+    """Mean rating over *all* rated titles of a director, alone or with others;
+    top ``n`` (ties: nconst)."""
+    means = (
+        cat.ratings.select("tconst", "averageRating")
+        .join(cat.crew.select("tconst", F.explode(F.split("directors", ",")).alias("nconst")), "tconst")
+        .groupBy("nconst")
+        .agg(F.avg("averageRating").alias("avgRating"))
+    )
+    named = with_names(means, cat.people)
+    return finish(named, [F.desc_nulls_last("avgRating"), F.asc("nconst")], top_n=n, select=("primaryName", "avgRating"))
+
+
+def _acting_with_crew(cat: Catalog, sole: bool = False) -> DataFrame:
+    crew = cat.crew.filter(_sole("directors")) if sole else cat.crew
+    return acting_credits(cat.principals).select("tconst", "nconst").join(crew.select("tconst", "directors"), "tconst")
 
 
 def directors_by_actor_count(cat: Catalog, *, top_n: int | None = None, sort: bool = True) -> DataFrame:
     """Q12. Distinct actors/actresses per director list; sole directors named."""
-    counts = _acting_with_crew(cat).groupBy("directors").agg(F.count_distinct("nconst").alias("unique_actors_count"))
+    counts = _acting_with_crew(cat, sole=True).groupBy("directors").agg(F.count_distinct("nconst").alias("unique_actors_count"))
     named = with_names(counts, cat.people, key="directors")
     return finish(
         named,
@@ -75,7 +95,6 @@ def top_writer_genre_sets(
     year_to: int = 1945,
     n: int = 5,
     profession: str = "writer",
-    broadcast_max_rows: int = TITLE_SET_MAX_ROWS,
 ) -> DataFrame:
     """Q20. Credits (any category) of people listing ``profession`` on rated
     titles started in [year_from, year_to] that have a crew row, counted per
@@ -83,16 +102,14 @@ def top_writer_genre_sets(
 
     The crew join is kept as an inner join (it multiplies if crew repeats a
     title, as in the reference); it is made on the few years' titles, before
-    the credits. That title set is broadcast under the bound, so the credits
-    are filtered where they lie. Credits are counted per (person, genres)
-    before the name join, which then sees one row per person and genre set;
-    namesakes are summed after it."""
-    titles = broadcast_if_bounded(
+    the credits. Credits are counted per (person, genres) before the name join,
+    which then sees one row per person and genre set; namesakes are summed after
+    it."""
+    titles = (
         rated_titles(cat)
         .filter((F.col("startYear") >= year_from) & (F.col("startYear") <= year_to))
         .select("tconst", "genres")
-        .join(cat.crew.select("tconst"), "tconst"),
-        broadcast_max_rows,
+        .join(cat.crew.select("tconst"), "tconst")
     )
     writers = cat.people.filter(has_any("primaryProfession", [profession])).select("nconst", "primaryName")
     per_person = cat.principals.select("tconst", "nconst").join(titles, "tconst").groupBy("nconst", "genres").count()

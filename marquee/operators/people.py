@@ -8,24 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
-from ..functions import ACTING_CATEGORIES, has_any, nulls_first_order
+from ..functions import ACTING_CATEGORIES, has_any
 from .common import (
-    TITLE_SET_MAX_ROWS,
     acting_credits,
-    broadcast_if_bounded,
     finish,
+    rated_credits,
+    rated_titled_credits,
     rated_titles,
+    titled_credits,
     top_k_global,
     with_names,
+    with_title,
 )
 
 
-def credits_per_name_and_title(cat: Catalog, *, top_n: int | None = None, sort: bool = False) -> DataFrame:
+def credits_per_name_and_title(cat: Catalog, *, top_n: int | None = None, sort: bool = True) -> DataFrame:
     """Q4. Credit rows per (primaryName, primaryTitle), every category.
     Namesakes (people or titles) merge, as the group key is the names.
 
-    The result is nearly as large as ``principals``; it stays distributed and
-    is sorted only for ``top_n`` (TakeOrdered) or ``sort``."""
+    Most frequent first (ties: the names). The result is nearly as large as
+    ``principals``; it stays distributed, and the sort is a range shuffle
+    (``top_n``: TakeOrdered)."""
     # title key first: on a layout bucketed by tconst that join needs no
     # exchange, so the credits are shuffled once (by nconst) before the names.
     credits = cat.principals.select("tconst", "nconst").join(cat.titles.select("tconst", "primaryTitle"), "tconst")
@@ -56,18 +59,13 @@ def top_series_actors(
     since_year: int = 2013,
     title_type: str = "tvSeries",
     n: int = 20,
-    broadcast_max_rows: int = TITLE_SET_MAX_ROWS,
 ) -> DataFrame:
     """Q8. Acting credits on ``title_type`` titles started in or after
     ``since_year``, counted per person (series credits, not episodes).
 
-    The selected titles are a small slice of the catalogue: materialised,
-    counted and broadcast under ``broadcast_max_rows``, so the credits are
-    filtered where they lie instead of being shuffled to meet them."""
-    series = broadcast_if_bounded(
-        cat.titles.filter((F.col("startYear") >= since_year) & (F.col("titleType") == title_type)).select("tconst"),
-        broadcast_max_rows,
-    )
+    The planner broadcasts the selected titles while they are under its byte
+    threshold, and shuffles by title above it."""
+    series = cat.titles.filter((F.col("startYear") >= since_year) & (F.col("titleType") == title_type)).select("tconst")
     counts = acting_credits(cat.principals).select("tconst", "nconst").join(series, "tconst").groupBy("nconst").count()
     named = with_names(counts, cat.people)
     return finish(named, [F.desc("count"), F.asc("nconst")], top_n=n, select=("primaryName", "count"))
@@ -78,11 +76,9 @@ def worst_rated_actors(
 ) -> DataFrame:
     """Q9. Actors/actresses with more than ``min_credits`` acting credits on
     rated titles, by mean rating ascending (nulls first; ties: nconst)."""
-    credits = acting_credits(cat.principals).select("tconst", "nconst").join(
-        cat.ratings.select("tconst", "averageRating"), "tconst"
-    )
     stats = (
-        credits.groupBy("nconst")
+        acting_credits(rated_credits(cat))
+        .groupBy("nconst")
         .agg(F.avg("averageRating").alias("avg_rating"), F.count("tconst").alias("num_projects"))
         .filter(F.col("num_projects") > min_credits)
     )
@@ -98,27 +94,23 @@ def worst_rated_actors(
 
 def most_improved_people(cat: Catalog, *, top_n: int | None = None, sort: bool = True) -> DataFrame:
     """Q10. Per person (every category), the best rating improvement over their
-    first credit: ``max over credits of (rating - first rating)``, where credits
-    are ordered by startYear (nulls first) then tconst.
-
-    The reference computes it with first/last over a running window; with the
-    order made total, ``last`` over the running frame is the credit's own rating,
-    so the result is ``max(rating) - rating at the first credit``. That is one
-    hash aggregate (``max`` and ``min_by``, both partially aggregated before the
-    shuffle) instead of sorting every person's credits in one task -- a person
-    with a third of all credits costs one row per map task. (The struct order
-    key makes it a SortAggregate: each map task sorts its own credits by
-    person, then ships one row per person.)"""
-    credits = (
-        cat.principals.select("tconst", "nconst")
-        .join(cat.titles.select("tconst", "startYear"), "tconst")
-        .join(cat.ratings.select("tconst", "averageRating"), "tconst")
-    )
-    gains = credits.groupBy("nconst").agg(
-        (
-            F.max("averageRating") - F.min_by("averageRating", nulls_first_order("startYear", "tconst"))
-        ).alias("max_improvement")
-    )
+    first credit. Credits are ordered by startYear (nulls first); the last
+    rating up to a year is the one of that year's last title, the first rating
+    the one of the earliest year's first title (by tconst, where the reference
+    leaves titles of a year in any order). So a year gives one gain, and the
+    result may be negative.
+
+    The running window is two aggregates: first and last rating per person and
+    year, then per person the best last rating less the earliest year's first.
+    Both are partially aggregated before their shuffle, so a person with a third
+    of all credits costs a few rows per map task."""
+    per_year = (
+        rated_titled_credits(cat)
+        .groupBy("nconst", "startYear")
+        .agg(F.min_by("averageRating", "tconst").alias("first"), F.max_by("averageRating", "tconst").alias("last"))
+    )
+    year = F.coalesce("startYear", F.lit(-(2**31)))
+    gains = per_year.groupBy("nconst").agg((F.max("last") - F.min_by("first", year)).alias("max_improvement"))
     named = with_names(gains, cat.people)
     return finish(
         named,
@@ -131,10 +123,7 @@ def most_improved_people(cat: Catalog, *, top_n: int | None = None, sort: bool =
 
 def actors_by_genre_count(cat: Catalog, *, top_n: int | None = None, sort: bool = True) -> DataFrame:
     """Q11. Distinct genres over each actor's/actress's acting credits."""
-    credits = acting_credits(cat.principals).select("tconst", "nconst").join(
-        cat.titles.select("tconst", "genres"), "tconst"
-    )
-    per_genre = credits.select("nconst", F.explode("genres").alias("genre"))
+    per_genre = acting_credits(titled_credits(cat)).select("nconst", F.explode("genres").alias("genre"))
     counts = per_genre.groupBy("nconst").agg(F.count_distinct("genre").alias("genre_count"))
     named = with_names(counts, cat.people)
     return finish(
@@ -146,8 +135,7 @@ def people_by_rating_spread(cat: Catalog, *, n: int = 10) -> DataFrame:
     """Q16. Best minus worst rating over each person's rated credits (every
     category); distinct (primaryName, difference), top ``n`` (ties: name)."""
     spread = (
-        cat.principals.select("tconst", "nconst")
-        .join(cat.ratings.select("tconst", "averageRating"), "tconst")
+        rated_credits(cat)
         .groupBy("nconst")
         .agg((F.max("averageRating") - F.min("averageRating")).alias("ratingDifference"))
     )
@@ -159,8 +147,7 @@ def longest_careers(cat: Catalog, *, top_n: int | None = None, sort: bool = True
     """Q18. First and last startYear over each person's credits (every
     category) and the span; longest first, unknown spans last."""
     years = (
-        cat.principals.select("tconst", "nconst")
-        .join(cat.titles.select("tconst", "startYear"), "tconst")
+        titled_credits(cat)
         .groupBy("nconst")
         .agg(F.min("startYear").alias("firstFilmYear"), F.max("startYear").alias("lastFilmYear"))
     )
@@ -174,13 +161,10 @@ def longest_careers(cat: Catalog, *, top_n: int | None = None, sort: bool = True
     )
 
 
-def people_by_genre_credits(
-    cat: Catalog, *, genre: str = "Animation", n: int = 10, broadcast_max_rows: int = TITLE_SET_MAX_ROWS
-) -> DataFrame:
+def people_by_genre_credits(cat: Catalog, *, genre: str = "Animation", n: int = 10) -> DataFrame:
     """Q19. Credits (every category) on titles whose genres hold ``genre``, per
-    person; top ``n`` (ties: nconst). The genre's titles are broadcast when
-    their count is under the bound (see Q8)."""
-    titles = broadcast_if_bounded(cat.titles.filter(has_any("genres", [genre])).select("tconst"), broadcast_max_rows)
+    person; top ``n`` (ties: nconst)."""
+    titles = cat.titles.filter(has_any("genres", [genre])).select("tconst")
     counts = (
         cat.principals.select("tconst", "nconst")
         .join(titles, "tconst")
@@ -201,14 +185,11 @@ def youngest_actors(
     year: int = 2020,
     n: int = 20,
     categories: Iterable[str] = ACTING_CATEGORIES,
-    broadcast_max_rows: int = TITLE_SET_MAX_ROWS,
 ) -> DataFrame:
     """Q23. Acting credits on rated titles started in ``year``, counted per
     (primaryName, birthYear); the ``n`` youngest (null birthYear last; ties:
-    name), ranked 1..n. One year's titles are broadcast under the bound."""
-    titles = broadcast_if_bounded(
-        rated_titles(cat).filter(F.col("startYear") == year).select("tconst"), broadcast_max_rows
-    )
+    name), ranked 1..n."""
+    titles = rated_titles(cat).filter(F.col("startYear") == year).select("tconst")
     # credits per person first (partial aggregation before the shuffle, so a
     # hot person is one row per map task), then the name join sees one row
     # per person; namesakes of one birth year are summed after it
@@ -220,3 +201,51 @@ def youngest_actors(
     ).agg(F.sum("count").alias("count"))
     ranked = top_k_global(counts, [F.desc_nulls_last("birthYear"), F.asc("primaryName")], n)
     return ranked.select("primaryName", "birthYear", "count", "rank")
+
+
+def first_last_rating_gain(cat: Catalog, *, top_n: int | None = None, sort: bool = True) -> DataFrame:
+    """Rating of each person's last title less that of their first, over rated
+    and dated titles of every category, by (startYear, tconst); largest first
+    (nulls last; ties: nconst)."""
+    order = F.struct("startYear", "tconst")
+    gains = (
+        rated_titled_credits(cat)
+        .filter(F.col("startYear").isNotNull())
+        .groupBy("nconst")
+        .agg((F.max_by("averageRating", order) - F.min_by("averageRating", order)).alias("rating_gain"))
+    )
+    named = with_names(gains, cat.people)
+    return finish(
+        named,
+        [F.desc_nulls_last("rating_gain"), F.asc("nconst")],
+        top_n=top_n,
+        sort=sort,
+        select=("primaryName", "rating_gain"),
+    )
+
+
+def actor_episode_counts(
+    cat: Catalog, *, since_year: int = 2013, title_type: str = "tvSeries", n: int = 20, credited: str = "tconst"
+) -> DataFrame:
+    """Episodes of one series (``title_type``, started in or after
+    ``since_year``) that an actor or actress is credited for; top ``n`` of
+    (person, series) (ties: nconst, series).
+
+    ``credited`` names the episode column that credits refer to: the episode
+    itself, or ``parentTconst`` where only series carry credits."""
+    episodes = cat.episodes.select(F.col(credited).alias("tconst"), F.col("parentTconst").alias("series"))
+    series = cat.titles.filter((F.col("startYear") >= since_year) & (F.col("titleType") == title_type))
+    counts = (
+        acting_credits(cat.principals)
+        .select("tconst", "nconst")
+        .join(episodes.join(series.select(F.col("tconst").alias("series")), "series"), "tconst")
+        .groupBy("nconst", "series")
+        .agg(F.count(F.lit(1)).alias("episodes"))
+    )
+    named = with_title(with_names(counts, cat.people), cat.titles, key="series")
+    return finish(
+        named,
+        [F.desc("episodes"), F.asc("nconst"), F.asc("series")],
+        top_n=n,
+        select=("primaryName", "primaryTitle", "episodes"),
+    )

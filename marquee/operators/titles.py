@@ -11,8 +11,6 @@ from ..catalog import Catalog
 from ..functions import has_any
 from .common import (
     TITLE_COLUMNS,
-    TITLE_SET_MAX_ROWS,
-    broadcast_if_bounded,
     finish,
     rated_titles,
     top_k_per_group,
@@ -100,27 +98,27 @@ def genre_rating_by_region(
     year_from: int = 2003,
     year_to: int = 2009,
     regions: Sequence[tuple[str, str]] = (("US", "usa"), ("UA", "ua")),
-    broadcast_max_rows: int = TITLE_SET_MAX_ROWS,
 ) -> DataFrame:
     """Q25. Mean rating of ``genre`` titles started in [year_from, year_to], per
     start year and alias region, one column per region.
 
     A title counts once per matching alias row (several US aliases weight it).
-    Written as one conditional aggregation: ``avg`` over the rows of a region
-    equals that region's group mean, and a region with no rows gives null -- the
-    pivot without its extra distinct-values job and second aggregation. The
-    genre's rated titles in the year range (with their rating, so the aliases
-    meet one table) are broadcast to the aliases under the bound (see Q8)."""
+    Aliases are counted per (title, region) first -- partially before the
+    shuffle, so a title with a third of all aliases costs a few rows per map
+    task -- and the counts weigh the ratings. One conditional aggregation gives
+    all regions; a region with no rows gives null. That is the pivot without its
+    extra distinct-values job and second aggregation."""
     codes = [code for code, _ in regions]
-    titles = broadcast_if_bounded(
+    titles = (
         rated_titles(cat)
         .filter(has_any("genres", [genre]) & F.col("startYear").between(year_from, year_to))
-        .select("tconst", "startYear", "averageRating"),
-        broadcast_max_rows,
+        .select("tconst", "startYear", "averageRating")
     )
-    aliases = cat.akas.filter(F.col("region").isin(codes)).select(F.col("titleId").alias("tconst"), "region")
+    aliases = cat.akas.filter(F.col("region").isin(codes)).groupBy(F.col("titleId").alias("tconst"), "region").count()
     rows = aliases.join(titles, "tconst")
+    rating = F.col("averageRating").cast("double")
+    of = lambda code, value: F.sum(F.when((F.col("region") == code) & rating.isNotNull(), value))
     out = rows.groupBy("startYear").agg(
-        *[F.avg(F.when(F.col("region") == code, F.col("averageRating"))).alias(name) for code, name in regions]
+        *[(of(code, rating * F.col("count")) / of(code, F.col("count"))).alias(name) for code, name in regions]
     )
     return out.select("startYear", *[name for _, name in regions])

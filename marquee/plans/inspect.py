@@ -22,7 +22,3 @@ def operator_counts(plan_text: str) -> Counter:
         if m:
             c[m.group(1)] += 1
     return c
-
-
-def shuffle_count(df: DataFrame) -> int:
-    return operator_counts(physical_plan(df)).get("Exchange", 0)

@@ -1,55 +1,105 @@
 """Batch job: run every question and write each result as Parquet.
 
 This is the reference's run-everything script re-aimed: results are written
-(distributed, one folder per question) instead of printed, and the relation
-several questions start from -- titles ⨝ ratings (Q1, Q2, Q6, Q7, Q20, Q22,
-Q23, Q24, Q25) -- is computed once and written as a table in the session's shared
-checkpoint folder, so those questions read it instead of redoing the join.
-A lost executor only costs the tasks it ran: every stage reads files.
+(distributed, one folder per question) instead of printed only. Two relations
+several questions start from are computed once, as tables that live as long as
+the job: titles ⨝ ratings (Q1, Q2, Q6, Q7, Q20, Q22-Q25), and a narrow credits
+table with each credit's rating and titles (Q9-Q11, Q16, Q18). A lost executor
+only costs the tasks it ran: every stage reads files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..operators import rated_titles
-from ..session import scratch_path
-from .registry import QUESTION_KEYS, REGISTRY, present
+from ..sources import preview
+from .registry import QUESTION_KEYS, REGISTRY
+
+
+def credits_table(catalog: Catalog) -> DataFrame:
+    """principals with the rating (``rated`` tells a null rating from none) and
+    the titles of each credit: tconst, nconst, category, averageRating, rated,
+    titles array<struct<startYear, genres>>.
 
+    The title side is one row per tconst, so it repeats no credit: a question
+    over principals ⨝ ratings keeps that join's multiplicity, one over titles
+    takes the array apart and keeps that one's."""
+    rated = catalog.ratings.select("tconst", "averageRating", F.lit(True).alias("rated"))
+    titles = catalog.titles.groupBy("tconst").agg(F.collect_list(F.struct("startYear", "genres")).alias("titles"))
+    return (
+        catalog.principals.select("tconst", "nconst", "category")
+        .join(rated, "tconst", "left")
+        .join(titles, "tconst", "left")
+    )
 
-def share_rated(catalog: Catalog) -> Catalog:
-    """Materialise titles ⨝ ratings once (a written table, lineage cut)."""
+
+@contextmanager
+def shared(catalog: Catalog, *, credits: bool = True) -> Iterator[Catalog]:
+    """The catalogue with its shared relations as managed tables, dropped at the
+    end. Results read from it must be written or shown before that."""
     spark = catalog.spark
-    path = scratch_path(spark, "rated-titles")
-    rated_titles(catalog.with_tables(rated=None)).write.mode("overwrite").parquet(path)
-    return catalog.with_tables(rated=spark.read.parquet(path))
+    made: list[str] = []
+
+    def table(df: DataFrame, name: str) -> DataFrame:
+        made.append(f"marquee_{name}_{uuid.uuid4().hex[:12]}")
+        df.write.saveAsTable(made[-1])
+        return spark.table(made[-1])
+
+    try:
+        base = catalog.with_tables(rated=None, credits=None)
+        out = base.with_tables(rated=table(rated_titles(base), "rated"))
+        if credits:
+            out = out.with_tables(credits=table(credits_table(base), "credits"))
+        yield out
+    finally:
+        for name in made:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def run_all(
     catalog: Catalog,
-    out_dir: str,
+    out_dir: str | None,
     *,
     keys: Iterable[str] | None = None,
     reference_params: bool = True,
     share: bool = True,
     mode: str = "overwrite",
+    rows: int = 0,
 ) -> dict[str, str]:
-    """Write every question under ``out_dir/<key>``; returns key -> path.
+    """Write every question under ``out_dir/<key>``; returns key -> path. With
+    ``rows``, print the first rows of each too; without ``out_dir``, only that.
 
     ``reference_params`` runs each question with its defaults (the reference's
-    literals); otherwise with the registry's parameters for the driver's data."""
+    literals); otherwise with the registry's parameters for the driver's data.
+    A question that is both written and printed is computed once: its result is
+    cached between the two."""
+    if share:
+        with shared(catalog) as cat:
+            return run_all(
+                cat, out_dir, keys=keys, reference_params=reference_params, share=False, mode=mode, rows=rows
+            )
     from .. import operators as Q
 
-    cat = share_rated(catalog) if share else catalog
     out = {}
     for key in keys or QUESTION_KEYS:
         spec = REGISTRY[key]
-        if reference_params:
-            df = Q.QUESTIONS[spec.number](cat)
-        else:
-            df = spec.build(cat)
-        path = f"{out_dir.rstrip('/')}/{key}"
-        present(df).write.mode(mode).parquet(path)
-        out[key] = path
+        df = Q.QUESTIONS[spec.number](catalog) if reference_params else spec.build(catalog)
+        both = bool(out_dir) and rows > 0
+        if both:
+            df = df.persist()
+        if out_dir:
+            out[key] = f"{out_dir.rstrip('/')}/{key}"
+            df.write.mode(mode).parquet(out[key])
+        if rows:
+            print(f"Q{spec.number} {key}")
+            preview(df, n=rows, truncate=key != "longest_careers")
+        if both:
+            df.unpersist()
     return out

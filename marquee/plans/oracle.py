@@ -2,9 +2,9 @@
 
 The seven catalogue tables are built from the driver's parquet views with the
 fixed mapping of FIXTURES.md §3 (CTEs below), then each question is written in
-plain SQL. Where the reference computes through a window (Q10, Q14, Q16-Q19)
-the oracle keeps that literal window form, so the check also proves our
-group-by rewrites equal.
+plain SQL. Where the reference computes through a window (Q7, Q14, Q16-Q19) the
+oracle keeps that literal window form, and Q10 looks up each year's frame, so
+the check also proves our group-by rewrites equal.
 
 Conventions (DuckDB vs Spark): explicit NULLS FIRST/LAST, ``row_number`` cast
 to INTEGER, ``floor`` cast to BIGINT, arrays emitted as comma text.
@@ -148,7 +148,8 @@ def q4() -> str:
 SELECT nb.primaryName, tb.primaryTitle, count(*) AS count
 FROM title_principals p JOIN name_basics nb ON p.nconst = nb.nconst
      JOIN title_basics tb ON p.tconst = tb.tconst
-GROUP BY nb.primaryName, tb.primaryTitle"""
+GROUP BY nb.primaryName, tb.primaryTitle
+ORDER BY count(*) DESC, nb.primaryName, tb.primaryTitle"""
 
 
 def q5(professions: tuple[str, ...]) -> str:
@@ -165,7 +166,7 @@ SELECT * FROM (
   SELECT {_RATED_COLS},
          CAST(row_number() OVER (PARTITION BY startYear ORDER BY numVotes DESC NULLS LAST, tconst) AS INTEGER) AS rank
   FROM title_basics JOIN title_ratings USING (tconst))
-WHERE rank <= {k}"""
+WHERE rank <= {k} ORDER BY startYear DESC NULLS LAST, rank"""
 
 
 def q7() -> str:
@@ -191,21 +192,27 @@ def q9(min_credits: int) -> str:
 WITH a AS (SELECT p.nconst, avg(r.averageRating) AS avg_rating, count(p.tconst) AS num_projects
            FROM title_principals p JOIN title_ratings r ON p.tconst = r.tconst
            WHERE {ACT} GROUP BY p.nconst HAVING count(p.tconst) > {min_credits})
-SELECT nb.primaryName, a.avg_rating, a.num_projects FROM a JOIN name_basics nb ON a.nconst = nb.nconst"""
+SELECT nb.primaryName, a.avg_rating, a.num_projects FROM a JOIN name_basics nb ON a.nconst = nb.nconst
+ORDER BY a.avg_rating ASC NULLS FIRST, a.nconst"""
 
 
 def q10() -> str:
+    # the frame is by startYear alone: titles of a year are peers, in tconst
+    # order inside the frame
     return """
 WITH c AS (SELECT p.nconst, p.tconst, t.startYear, r.averageRating
            FROM title_principals p JOIN title_basics t ON p.tconst = t.tconst
                 JOIN title_ratings r ON p.tconst = r.tconst),
-w AS (SELECT nconst,
-             last_value(averageRating) OVER win - first_value(averageRating) OVER win AS rating_improvement
-      FROM c
-      WINDOW win AS (PARTITION BY nconst ORDER BY startYear ASC NULLS FIRST, tconst ASC
-                     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+w AS (SELECT a.nconst, a.startYear,
+             (SELECT b.averageRating FROM c b
+              WHERE b.nconst = a.nconst AND (b.startYear IS NULL OR b.startYear <= a.startYear)
+              ORDER BY b.startYear DESC NULLS LAST, b.tconst DESC LIMIT 1)
+             - (SELECT b.averageRating FROM c b WHERE b.nconst = a.nconst
+                ORDER BY b.startYear ASC NULLS FIRST, b.tconst LIMIT 1) AS rating_improvement
+      FROM (SELECT DISTINCT nconst, startYear FROM c) a),
 m AS (SELECT nconst, max(rating_improvement) AS max_improvement FROM w GROUP BY nconst)
-SELECT nb.primaryName, m.max_improvement FROM m JOIN name_basics nb ON m.nconst = nb.nconst"""
+SELECT nb.primaryName, m.max_improvement FROM m JOIN name_basics nb ON m.nconst = nb.nconst
+ORDER BY m.max_improvement DESC NULLS LAST, m.nconst"""
 
 
 def q11() -> str:
@@ -214,7 +221,8 @@ WITH g AS (SELECT p.nconst, count(DISTINCT e.genre) AS genre_count
            FROM title_principals p
                 JOIN (SELECT tconst, unnest(genres) AS genre FROM title_basics) e ON p.tconst = e.tconst
            WHERE {ACT} GROUP BY p.nconst)
-SELECT nb.primaryName, g.genre_count FROM g JOIN name_basics nb ON g.nconst = nb.nconst"""
+SELECT nb.primaryName, g.genre_count FROM g JOIN name_basics nb ON g.nconst = nb.nconst
+ORDER BY g.genre_count DESC, g.nconst"""
 
 
 def q12() -> str:
@@ -222,7 +230,8 @@ def q12() -> str:
 WITH d AS (SELECT c.directors, count(DISTINCT p.nconst) AS unique_actors_count
            FROM title_principals p JOIN title_crew c ON p.tconst = c.tconst
            WHERE {ACT} GROUP BY c.directors)
-SELECT nb.primaryName, d.unique_actors_count FROM d JOIN name_basics nb ON d.directors = nb.nconst"""
+SELECT nb.primaryName, d.unique_actors_count FROM d JOIN name_basics nb ON d.directors = nb.nconst
+ORDER BY d.unique_actors_count DESC, d.directors"""
 
 
 def q13() -> str:
@@ -230,7 +239,8 @@ def q13() -> str:
 WITH a AS (SELECT p.nconst, count(DISTINCT c.directors) AS unique_directors_count
            FROM title_principals p JOIN title_crew c ON p.tconst = c.tconst
            WHERE {ACT} GROUP BY p.nconst)
-SELECT nb.primaryName, a.unique_directors_count FROM a JOIN name_basics nb ON a.nconst = nb.nconst"""
+SELECT nb.primaryName, a.unique_directors_count FROM a JOIN name_basics nb ON a.nconst = nb.nconst
+ORDER BY a.unique_directors_count DESC, a.nconst"""
 
 
 def q14(n: int) -> str:
@@ -276,7 +286,8 @@ WITH f AS (SELECT DISTINCT p.nconst,
                   max(t.startYear) OVER (PARTITION BY p.nconst) AS lastFilmYear
            FROM title_principals p JOIN title_basics t ON p.tconst = t.tconst)
 SELECT nb.primaryName, f.firstFilmYear, f.lastFilmYear, f.lastFilmYear - f.firstFilmYear AS careerLength
-FROM f JOIN name_basics nb ON f.nconst = nb.nconst"""
+FROM f JOIN name_basics nb ON f.nconst = nb.nconst
+ORDER BY careerLength DESC NULLS LAST, f.nconst"""
 
 
 def q19(genre: str, n: int) -> str:
@@ -354,3 +365,48 @@ WITH a AS (SELECT t.startYear, k.region, avg(r.averageRating) AS avg_rating
              AND ({codes})
            GROUP BY t.startYear, k.region)
 SELECT startYear, {pivots} FROM a GROUP BY startYear"""
+
+
+def directors_by_rating_all(n: int) -> str:
+    return f"""
+WITH d AS (SELECT c.nconst, avg(r.averageRating) AS avgRating
+           FROM (SELECT tconst, unnest(string_split(directors, ',')) AS nconst FROM title_crew) c
+                JOIN title_ratings r ON c.tconst = r.tconst GROUP BY c.nconst)
+SELECT nb.primaryName, d.avgRating FROM d JOIN name_basics nb ON d.nconst = nb.nconst
+ORDER BY d.avgRating DESC NULLS LAST, d.nconst LIMIT {n}"""
+
+
+def first_last_rating_gain() -> str:
+    return """
+WITH c AS (SELECT DISTINCT p.nconst, p.tconst, t.startYear, r.averageRating
+           FROM title_principals p JOIN title_basics t ON p.tconst = t.tconst
+                JOIN title_ratings r ON p.tconst = r.tconst
+           WHERE t.startYear IS NOT NULL),
+w AS (SELECT nconst, averageRating,
+             row_number() OVER (PARTITION BY nconst ORDER BY startYear, tconst) AS up,
+             row_number() OVER (PARTITION BY nconst ORDER BY startYear DESC, tconst DESC) AS down FROM c)
+SELECT nb.primaryName, l.averageRating - f.averageRating AS rating_gain
+FROM w f JOIN w l ON f.nconst = l.nconst AND f.up = 1 AND l.down = 1
+     JOIN name_basics nb ON f.nconst = nb.nconst
+ORDER BY rating_gain DESC NULLS LAST, f.nconst"""
+
+
+def genre_per_decade() -> str:
+    return """
+WITH c AS (SELECT decade, genre, count(*) AS count
+           FROM (SELECT CAST(floor(startYear / 10) * 10 AS BIGINT) AS decade, unnest(genres) AS genre
+                 FROM title_basics JOIN title_ratings USING (tconst)) GROUP BY decade, genre),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY decade ORDER BY count DESC, genre) AS INTEGER) AS rank FROM c)
+SELECT decade, genre, count, rank FROM r WHERE rank = 1"""
+
+
+def actor_episode_counts(since_year: int, title_type: str, n: int, credited: str) -> str:
+    return f"""
+WITH c AS (SELECT p.nconst, e.parentTconst, count(*) AS episodes
+           FROM title_episode e JOIN title_principals p ON e.{credited} = p.tconst
+                JOIN title_basics s ON e.parentTconst = s.tconst
+           WHERE {ACT} AND s.startYear >= {since_year} AND s.titleType = '{title_type}'
+           GROUP BY p.nconst, e.parentTconst)
+SELECT nb.primaryName, t.primaryTitle, c.episodes
+FROM c JOIN name_basics nb ON c.nconst = nb.nconst JOIN title_basics t ON c.parentTconst = t.tconst
+ORDER BY c.episodes DESC, c.nconst, c.parentTconst LIMIT {n}"""

@@ -33,8 +33,6 @@ SCALE_CONF = {
     # Broadcast only below a checked size: the static planner compares its
     # file-size estimate (compressed Parquet can grow several-fold in memory,
     # so keep Spark's conservative 10 MB), AQE the measured shuffle output.
-    # Small sides that matter at scale are size-checked explicitly instead
-    # (``operators.common.broadcast_if_bounded``).
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
 }
@@ -63,13 +61,25 @@ def local_session(
     return spark
 
 
+def apply_scale_conf(spark: SparkSession) -> list[str]:
+    """Set what SCALE_CONF has and the session's owner left unset; returns the
+    keys that were set."""
+    own = spark.conf.getAll
+    missing = [k for k in SCALE_CONF if k not in own]
+    for k in missing:
+        spark.conf.set(k, SCALE_CONF[k])
+    return missing
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir). Only when neither is set on a ``local`` master -- tests, the bench --
-    a fresh folder under the system temp dir is created and registered. On a
-    cluster a machine-local folder would not survive the loss of an executor
+    dir), which the cluster's owner must make a folder all executors share; a
+    ``file:`` path may be a shared mount, so it is taken as named. Only when
+    neither is set in local mode -- tests, the bench -- a fresh folder under the
+    system temp dir is created and registered. On a cluster (``local-cluster``
+    is one) a machine-local folder would not survive the loss of an executor
     (nor be seen by the others), so an unset dir is an error there.
     """
     sc = spark.sparkContext
@@ -82,7 +92,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: name a shared folder (HDFS, S3, ...) "
             "for the tables this library writes between jobs"

@@ -1,5 +1,5 @@
 from .parquet import BUCKET_KEYS, land_bucketed, land_catalog, load_parquet, load_tables, write_table
-from .sinks import preview, write_parquet
+from .sinks import preview
 from .testdata import load_testdata
 from .tsv import (
     load_tsv,
@@ -22,7 +22,6 @@ __all__ = [
     "load_parquet",
     "write_table",
     "preview",
-    "write_parquet",
     "load_testdata",
     "load_tsv",
     "read_akas",

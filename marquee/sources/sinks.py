@@ -1,4 +1,4 @@
-"""Sinks: console preview and Parquet output."""
+"""Console sink."""
 
 from __future__ import annotations
 
@@ -8,7 +8,3 @@ from pyspark.sql import DataFrame
 def preview(df: DataFrame, n: int = 20, truncate: bool | int = True) -> None:
     """Console table of the first ``n`` rows (the reference's only output)."""
     df.show(n=n, truncate=truncate)
-
-
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)

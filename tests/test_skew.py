@@ -55,6 +55,9 @@ CASES = {
     "most_improved_people": (Q.most_improved_people, {}, O.q10()),
     "actors_by_genre_count": (Q.actors_by_genre_count, {}, O.q11()),
     "directors_by_actor_count": (Q.directors_by_actor_count, {}, O.q12()),
+    "actors_by_director_count": (Q.actors_by_director_count, {}, O.q13()),
+    "people_by_rating_spread": (Q.people_by_rating_spread, dict(n=9), O.q16(9)),
+    "longest_careers": (Q.longest_careers, {}, O.q18()),
 }
 
 
@@ -78,9 +81,9 @@ def test_hot_keys_are_split_and_results_hold(spark, skewed, case):
     assert "SortMergeJoin(skew=true)" in final_plan and "AQEShuffleRead skewed" in final_plan, final_plan
 
 
-# Questions whose credits first meet a broadcast title set: the hot person is
-# collapsed by the partial count before any shuffle, so there is no skewed join
-# to split -- the results must still hold on the skewed catalogue.
+# Questions that count credits per person before the name join: the hot person
+# is collapsed by the partial count -- the results must hold on the skewed
+# catalogue.
 COLLAPSED = {
     "top_series_actors": (Q.top_series_actors, dict(since_year=2000, n=5), O.q8(2000, "tvSeries", 5)),
     "people_by_genre_credits": (Q.people_by_genre_credits, dict(genre="A", n=5), O.q19("A", 5)),
@@ -93,6 +96,31 @@ COLLAPSED = {
 }
 
 
+def test_hot_alias_title_is_counted_before_the_shuffle(spark):
+    rows = skewed_rows()
+    hot = next(t for t in rows["titles"] if t[8] and "A" in t[8] and t[5] is not None and any(r[0] == t[0] and r[1] for r in rows["ratings"]))
+    rows["akas"] = rows["akas"] + [
+        (hot[0], i, "aka", random.Random(i).choice(["US", "UA"]), None, None, None, 0) for i in range(20_000)
+    ]
+    regions = (("US", "usa"), ("UA", "ua"))
+    cat, con = to_catalog(spark, rows), to_duck(rows)
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        df = Q.genre_rating_by_region(cat, genre="A", year_from=1990, year_to=2010, regions=regions)
+        got = [tuple(r) for r in df.collect()]
+        final_plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    res = con.execute(O.q25("A", 1990, 2010, regions))
+    cols = [d[0] for d in res.description]
+    assert _rows(got, df.columns) == _rows(res.fetchall(), cols)
+    before_shuffle = final_plan.split("Exchange hashpartitioning(titleId" if "hashpartitioning(titleId" in final_plan else "Exchange hashpartitioning(tconst")
+    assert len(before_shuffle) > 1 and "partial_count(1)" in before_shuffle[1], final_plan
+
+
 @pytest.mark.parametrize("case", list(COLLAPSED))
 def test_hot_person_is_collapsed_before_the_name_join(spark, skewed, case):
     fn, params, sql = COLLAPSED[case]

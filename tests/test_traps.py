@@ -103,6 +103,53 @@ def test_running_improvement_not_final_minus_first(cat):
     assert rows["Other"] == pytest.approx(3.0)
 
 
+def _careers(spark, credits):
+    """A catalogue of one person per list of (startYear, rating) titles."""
+    from .minicat import to_catalog
+
+    rows = {"titles": [], "ratings": [], "principals": [], "people": []}
+    for p, titles in credits.items():
+        rows["people"].append((p, p, None, None, None, None))
+        for i, (year, rating) in enumerate(titles):
+            t = f"{p}-{i}"
+            rows["titles"].append((t, "movie", t, t, 0, year, None, None, None))
+            rows["ratings"].append((t, rating, 1))
+            rows["principals"].append((t, 1, p, "actor", None, None))
+    return to_catalog(spark, rows)
+
+
+def test_improvement_takes_a_year_as_one_step(spark):
+    cat = _careers(
+        spark,
+        {
+            "one year": [(2000, 9.0), (2000, 5.0)],  # first 9, last of the year 5
+            "two years": [(2000, 6.0), (2000, 3.0), (2001, 9.0), (2001, 4.0)],  # 3-6, 4-6
+            "null first": [(2001, 8.0), (None, 7.0)],
+            "single": [(2003, 2.0)],
+        },
+    )
+    got = {r.primaryName: r.max_improvement for r in Q.most_improved_people(cat).collect()}
+    assert got == {
+        "one year": pytest.approx(-4.0),
+        "two years": pytest.approx(-2.0),
+        "null first": pytest.approx(1.0),
+        "single": pytest.approx(0.0),
+    }
+    gain = {r.primaryName: r.rating_gain for r in Q.first_last_rating_gain(cat).collect()}
+    assert gain == {
+        "one year": pytest.approx(-4.0),
+        "two years": pytest.approx(-2.0),
+        "null first": pytest.approx(0.0),  # the undated title is left out
+        "single": pytest.approx(0.0),
+    }
+
+
+@pytest.mark.parametrize("credits, there", [(50, False), (51, True)])
+def test_more_than_fifty_credits(spark, credits, there):
+    cat = _careers(spark, {"busy": [(2000, 5.0)] * credits})
+    assert [r.primaryName for r in Q.worst_rated_actors(cat).collect()] == ["busy"] * there
+
+
 def test_strict_rating_bound(cat):
     got = {r.tconst for r in Q.titles_above_rating(cat, after_year=2020, min_rating=8).collect()}
     assert got == {"t6"}

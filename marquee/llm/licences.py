@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 # Texts without any of these words hold no licence sentence.
 HINT = "(?i)licen[sc]e|copyright|spdx|warrant|permission|redistribut|public domain"
-# Cuts: line ends, and blanks after a full stop, semicolon or colon.
+# A tag's colon is none of the cuts, which are line ends, and blanks after a full
+# stop, semicolon or colon.
+TAG = "(?i)(license-identifier):"
 CUT = "\\n+|(?:[.;:]) +"
 # Everything but these is a blank in a normalised sentence.
 DROPPED = "[^a-z0-9.+/-]+"
@@ -144,7 +146,7 @@ def licence_scan(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     none = F.array().cast("array<string>")
     like = F.when(
-        text.rlike(HINT), F.filter(F.split(text, CUT), lambda s: s.rlike(HINT) | F.lower(s).rlike("general public|as is|source code|mpl|hope that"))
+        text.rlike(HINT), F.filter(F.split(F.regexp_replace(text, TAG, "$1"), CUT), lambda s: s.rlike(HINT) | F.lower(s).rlike("general public|as is|source code|mpl|hope that"))
     ).otherwise(none)
     step = docs.select(F.col("doc_id").cast("long").alias("doc_id"), like.alias("like"))
     step = step.withColumn("ids", F.filter(F.transform(F.transform("like", _normalised), _identifier), lambda x: x.isNotNull()))
@@ -188,7 +190,7 @@ def scan_sql() -> str:
 WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 cut AS (
   SELECT doc_id, CASE WHEN regexp_matches(text, {hint})
-    THEN list_filter(string_split_regex(text, {quote(CUT)}),
+    THEN list_filter(string_split_regex(regexp_replace(text, {quote(TAG)}, '\\1', 'g'), {quote(CUT)}),
                      lambda s: regexp_matches(s, {hint}) OR regexp_matches(lower(s), 'general public|as is|source code|mpl|hope that'))
     ELSE [] END AS l FROM doc
 ), known AS (

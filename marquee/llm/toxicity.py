@@ -71,7 +71,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, *, ridge: float =
     used = np.flatnonzero(r)
     column = np.zeros(len(r), dtype=np.int64)
     column[used] = np.arange(len(used))
-    lengths = np.array([len(x) for x in rows])
+    lengths = np.array([len(x) for x in rows], dtype=np.int64)
     row = np.repeat(np.arange(len(rows)), lengths)
     col = column[np.concatenate(rows)] if len(rows) else np.empty(0, dtype=np.int64)
     val = r[used][col]
@@ -145,6 +145,8 @@ def train(docs: DataFrame, labels: DataFrame, *, folds: int, held: int, bits: in
     n0, n1 = class_shares(labels, "toxic", folds, held)
     if len(size) == 2:  # the sample's label shares against all labels'
         bias += np.log(n1 / n0) - np.log(size[1] / size[0])
+    else:  # nothing to tell the labels apart by
+        bias = 60.0 if n1 else -60.0
     return Model(bits, wanted, weight, float(bias))
 
 
@@ -152,9 +154,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, folds: int = 4, held:
     """doc_id, held_out, score (the modelled chance of label 1), predicted
     (score >= threshold) for every row of ``docs``, from its whole text.
 
-    Cases: null and empty texts have no n-grams and score the bias; without
-    labels of both kinds every score is 0.5 less the bias learned, i.e. one
-    constant; rows that repeat a doc_id are scored one by one; a null doc_id
+    Cases: null and empty texts have no n-grams and score the bias; with labels
+    of one kind only every score is that label, without any it is 0; rows that repeat a doc_id are scored one by one; a null doc_id
     isn't held out; other columns are ignored; no documents give no rows."""
     model = train(docs, labels, folds=folds, held=held, bits=bits, per_class=per_class)
     shared = docs.sparkSession.sparkContext.broadcast(model.__dict__)  # 2**bits weights

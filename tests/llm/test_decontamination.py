@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from marquee.llm.decontamination import Index, align, leaks, normalised, search, without_leaks
+
+from .conftest import BENCHMARK
+
+
+def semi_global(item, text):
+    """Least edits of the whole item anywhere in the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
+
+
+def mutate(r, text, edits):
+    out = list(text)
+    for _ in range(edits):
+        k = r.randrange(len(out))
+        op = r.random()
+        if op < 0.4:
+            out[k] = r.choice("abcdefgh")
+        elif op < 0.7:
+            out.insert(k, r.choice("abcdefgh"))
+        else:
+            del out[k]
+    return "".join(out)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_found_exactly_where_the_budget_allows(seed):
+    r = random.Random(seed)
+    words = ["abcde", "fgh", "habit", "cafe", "bag", "deed", "face", "gab", "head"]
+    phrase = lambda n: " ".join(r.choice(words) + r.choice(["", "a", "h"]) for _ in range(n))
+    items = [(i, phrase(r.randint(4, 30))) for i in range(8)]
+    index = Index(items, 10, 8)
+    for _ in range(12):
+        k = r.randrange(8)
+        body = items[k][1]
+        text = phrase(20) + " " + mutate(r, body, r.randint(0, len(body) // 8)) + " " + phrase(15)
+        found = {index.ids[i] for i, *_ in search(text, index)}
+        flat = normalised(text)[0].tobytes()
+        for place, item in enumerate(index.ids):
+            own = index.texts[place].tobytes()
+            assert (item in found) == (semi_global(own, flat) <= index.edits[place]), (item, text)
+
+
+def test_case_blanks_and_marks_do_not_hide_an_item():
+    item = "Éa über ndorea as erthndly edst threeain for heed, thheha"
+    index = Index([(7, item)], 10, 8)
+    loud = "x " + item.upper().replace(" ", "!!\n ") + "!! y"
+    ((i, start, end, edits),) = search(loud, index)
+    assert edits == 0 and loud.encode()[start:end].decode().startswith("ÉA")
+
+
+def test_alignment_tells_the_place():
+    item, region = np.frombuffer(b"the quick brown fox", np.uint8), np.frombuffer(b"zz the quikc brown fox zz", np.uint8)
+    edits, start, end = align(item, region, 3)
+    assert edits == 2 and bytes(region[start:end]) == b"the quikc brown fox"
+    assert align(item, np.frombuffer(b"nothing of that kind here", np.uint8), 3) is None
+
+
+def test_small_table_finds_every_verbatim_item(spark, sample):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    flat = {d: normalised(t)[0].tobytes() for d, t in sample.items()}
+    items = {r.item_id: normalised(r.text)[0].tobytes() for r in bench.collect()}
+    want = {(d, i) for d, t in flat.items() for i, x in items.items() if x in t}
+    rows = leaks(docs, bench).collect()
+    assert want <= {(r.doc_id, r.item_id) for r in rows} and want
+    assert {(r.doc_id, r.item_id) for r in rows if r.edits == 0} == want
+    in_parts = leaks(docs, bench, index_bytes=1000).collect()  # several passes, same result
+    assert sorted(in_parts) == sorted(rows)
+    kept = {r.doc_id for r in without_leaks(docs, bench).collect()}
+    assert kept == set(sample) - {r.doc_id for r in rows}
+
+
+def test_odd_rows(spark, odd_docs, no_docs, make_docs):
+    item = " ".join(f"plain{i}" for i in range(20, 40))
+    bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "ab"), (None, item), (1, item)], BENCHMARK)
+    rows = leaks(odd_docs, bench).collect()
+    assert {r.doc_id for r in rows} == {5, 6, 7, None} and {r.item_id for r in rows} == {1, None}
+    assert len(rows) == 4 * 3
+    out = without_leaks(odd_docs, bench)
+    assert out.columns == odd_docs.columns
+    assert sorted((r.doc_id or -1) for r in out.collect()) == [-1, 1, 2, 3, 4, 8, 8, 9, 10]
+    nothing = spark.createDataFrame([], BENCHMARK)
+    assert leaks(odd_docs, nothing).count() == 0 and without_leaks(odd_docs, nothing).count() == 13
+    assert leaks(no_docs, bench).count() == 0

@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from marquee.llm.minhash import collection_size, near_duplicates, without_near_duplicates
+
+
+def shingles(text, width=5):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return set()
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} or {tuple(words)}
+
+
+def brute(docs, percent):
+    ids, root = sorted(docs), {}
+    sets = {d: shingles(t) for d, t in docs.items()}
+    root = {d: d for d in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d)) for d in ids}
+
+
+def edited(r, words, share):
+    out = list(words)
+    for i in range(len(out)):
+        if r.random() < share:
+            out[i] = f"e{r.randint(0, 10**9)}"
+    return out
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_equals_brute_force_with_copies_and_near_copies(make_docs, percent):
+    r = random.Random(percent)
+    docs = {}
+    for base in range(25):
+        words = [f"w{r.randint(0, 400)}" for _ in range(r.randint(3, 120))]
+        for _ in range(r.randint(1, 12)):  # edits around the threshold: chains and stars
+            docs[len(docs)] = " ".join(edited(r, words, r.choice([0, 0, 0.005, 0.01, 0.02, 0.05])))
+    rows = near_duplicates(make_docs(docs.items()), percent=percent).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in rows} == brute(docs, percent)
+    assert all(x.kept == (x.doc_id == x.component_id) for x in rows)
+
+
+def test_small_table_equals_brute_force(spark, sample):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = near_duplicates(docs, percent=85).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in rows} == brute(sample, 85)
+    kept = {x.doc_id for x in without_near_duplicates(docs, percent=80).collect()}
+    assert kept == {d for d, (_, c) in brute(sample, 80).items() if c == d}
+
+
+def test_groups_larger_than_a_block(make_docs, monkeypatch):
+    from marquee.llm import minhash
+
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(150)]
+    docs = {i: " ".join(edited(r, words, r.choice([0.005, 0.01, 0.03]))) for i in range(60)}
+    rows = near_duplicates(make_docs(docs.items()), percent=85).collect()
+    assert {x.doc_id: x.component_id for x in rows} == {d: c for d, (_, c) in brute(docs, 85).items()}
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = near_duplicates(odd_docs, percent=80).collect()
+    assert len(rows) == 13
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows if r.doc_id is not None}
+    assert got[1] == (0, 1, True) and got[2] == (0, 2, True) and got[3] == (0, 3, True)
+    assert got[5][1:] == (5, True) and got[6][1:] == (5, False) and got[7][1:] == (5, False)
+    assert got[8] == (1, 8, True) and got[10] == (1, 10, True)
+    assert [(r.component_id, r.kept) for r in rows if r.doc_id is None] == [(None, True)] * 2
+    assert without_near_duplicates(odd_docs).columns == odd_docs.columns
+    assert near_duplicates(no_docs).count() == 0
+
+
+def test_tables_needed_fall_with_similarity():
+    assert collection_size(0.95) < collection_size(0.85) < collection_size(0.8)
+    assert 2 * (1 - 0.8**2) ** collection_size(0.8) < 1e-6

@@ -19,7 +19,8 @@ first levels:
 Suffixes are packed: a row holds the sorted names of one batch of documents that
 fall into one range of names, and what comes back is a bit for each name, so
 the shuffles carry some 2 and 8 bytes for a name. The texts are written once as
-a bucketed table and never shuffled. Names are 64-bit hashes, in the first step
+a bucketed table and never shuffled. Texts equal to one of a smaller doc_id are
+told by their MD5 and have no suffixes sorted. Names are 64-bit hashes, in the first step
 their leading bits, where a false match only costs work.
 """
 
@@ -42,7 +43,8 @@ WIDTH = 50
 MODULUS = 21
 COVER = (0, 1, 4, 14, 16)
 TUPLE = WIDTH - MODULUS + 1
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 3 << 20
+RANGE_BYTES = 32 << 20  # of text for each range of names
 FIRST_BITS = 30  # of a name within its range, in the first step
 _ESCAPE = 65535
 
@@ -75,12 +77,14 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 class Batch:
     """Concatenated documents, in doc_id order, and their suffixes' names."""
 
-    def __init__(self, ids: np.ndarray, ends: np.ndarray, raw: bytes):
+    def __init__(self, ids: np.ndarray, ends: np.ndarray, raw: bytes, copies: np.ndarray):
         self.ids, self.ends = ids, ends
+        self.copy = np.zeros(len(ids), dtype=bool)
+        self.copy[copies] = True
         self.bytes = np.frombuffer(raw, dtype=np.uint8)
         self.starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-        self.parts = _doubled(self.bytes)
-        p = self.parts
+        p = _doubled(self.bytes)
+        self.rest_hash = _append(p[16], p[4], 16, 4)  # 20 bytes
         self.tuple_hash = _append(p[16], _append(p[8], _append(p[4], p[2], 4, 2), 8, 6), 16, 14)  # 30 bytes
 
     def _doc_of(self, at: np.ndarray) -> np.ndarray:
@@ -90,8 +94,8 @@ class Batch:
         """Sampled offsets, the index of each one's name, the sorted distinct
         names, and whether documents of this batch share the name."""
         there = []
-        for start, end in zip(self.starts.tolist(), self.ends.tolist()):
-            if end - start >= WIDTH:
+        for start, end, copy in zip(self.starts.tolist(), self.ends.tolist(), self.copy.tolist()):
+            if end - start >= WIDTH and not copy:
                 there.append(start + _sampled_offsets(end - start - TUPLE + 1))
         at = np.concatenate(there) if there else np.empty(0, dtype=np.int64)
         names, index = np.unique(_mixed(self.tuple_hash[at]), return_inverse=True)
@@ -114,10 +118,9 @@ class Batch:
         doc = self._doc_of(at)
         ok = at + WIDTH <= self.ends[doc]
         at, doc = at[ok], doc[ok]
-        rest = _append(self.parts[16], self.parts[4], 16, 4)  # 20 bytes
         base = pow(int(odd_constants(1, "suffix-base")[0]), WIDTH - TUPLE, 1 << 64)
         names, index = np.unique(
-            _mixed(self.tuple_hash[at] * np.uint64(base) + rest[at + TUPLE]), return_inverse=True
+            _mixed(self.tuple_hash[at] * np.uint64(base) + self.rest_hash[at + TUPLE]), return_inverse=True
         )
         return at, doc, index, names
 
@@ -156,9 +159,32 @@ def _first_names(names: np.ndarray, ranges: int) -> np.ndarray:
     return ((names % np.uint64(width)) >> np.uint64(max(0, (width - 1).bit_length() - FIRST_BITS))).astype(np.int64)
 
 
+def _wide(values: np.ndarray) -> bytes:
+    """Sorted 64-bit values as 48-bit gaps after the first, or whole where a gap
+    is larger; the first byte tells which."""
+    gaps = np.diff(values)
+    if len(gaps) and int(gaps.max()) >= 1 << 48:
+        return b"\1" + values.tobytes()
+    return b"\0" + values[:1].tobytes() + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unwide(raw: bytes) -> np.ndarray:
+    if raw[0]:
+        return np.frombuffer(raw, "<u8", offset=1)
+    short = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, 6)
+    gaps = np.zeros((len(short), 8), dtype=np.uint8)
+    gaps[:, :6] = short
+    return np.cumsum(np.concatenate((np.frombuffer(raw, "<u8", 1, 1), gaps.view("<u8").ravel())), dtype=np.uint64)
+
+
 def _rows(pdf: pd.DataFrame) -> Iterator[tuple[int, Batch]]:
-    for key, ids, ends, raw in zip(pdf["batch"], pdf["ids"], pdf["ends"], pdf["text"]):
-        yield key, Batch(np.asarray(ids, dtype=np.int64), np.asarray(ends, dtype=np.int64), raw)
+    for key, ids, ends, raw, copies in zip(pdf["batch"], pdf["ids"], pdf["ends"], pdf["text"], pdf["copies"]):
+        places = np.asarray(copies if copies is not None else [], dtype=np.int64)
+        yield key, Batch(np.asarray(ids, dtype=np.int64), np.asarray(ends, dtype=np.int64), raw, places)
+
+
+def _known(found: list | None) -> dict[int, bytes]:
+    return {x["part"]: x["bits"] for x in found} if found is not None else {}
 
 
 def _first_pass(ranges: int):
@@ -236,8 +262,7 @@ def _second_pass(ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for (key, batch), found in zip(_rows(pdf), pdf["found"]):
-                known = {x["part"]: x["bits"] for x in found}
-                at, doc, index, names = batch.candidates(_shared_offsets(batch, known, ranges))
+                at, doc, index, names = batch.candidates(_shared_offsets(batch, _known(found), ranges))
                 least = _least(batch, doc, index, len(names))
                 bounds, out = _range_of(names, ranges), []
                 for r in range(ranges):
@@ -245,7 +270,7 @@ def _second_pass(ranges: int):
                     if i < j:
                         used, place = np.unique(least[i:j], return_inverse=True)
                         kind = "<u2" if len(used) <= 65536 else "<u4"
-                        out.append((r, key, names[i:j].tobytes(), place.astype(kind).tobytes(), batch.ids[used]))
+                        out.append((r, key, _wide(names[i:j]), place.astype(kind).tobytes(), batch.ids[used]))
                 yield pd.DataFrame(out, columns=["part", "batch", "names", "least", "ids"])
 
     return run
@@ -255,7 +280,7 @@ def _earlier(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A bit for each name of each batch: another batch has it in a document
     with a smaller doc_id than any of this batch."""
     for rows in _by_part(batches):
-        names = [np.frombuffer(r.names, np.uint64) for r in rows]
+        names = [_unwide(r.names) for r in rows]
         sizes = np.cumsum([0] + [len(x) for x in names])
         docs = np.concatenate(
             [
@@ -279,10 +304,9 @@ def _last_pass(ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for (_, batch), found, later in zip(_rows(pdf), pdf["found"], pdf["earlier"]):
-                known = {x["part"]: x["bits"] for x in found}
-                at, doc, index, names = batch.candidates(_shared_offsets(batch, known, ranges))
-                least, bounds, earlier = _least(batch, doc, index, len(names)), _range_of(names, ranges), np.zeros(len(names), dtype=bool)
-                bits = {x["part"]: x["bits"] for x in later} if later is not None else {}
+                at, doc, index, names = batch.candidates(_shared_offsets(batch, _known(found), ranges))
+                least, bounds = _least(batch, doc, index, len(names)), _range_of(names, ranges)
+                earlier, bits = np.zeros(len(names), dtype=bool), _known(later)
                 for r in range(ranges):
                     i, j = bounds[r], bounds[r + 1]
                     if i < j:
@@ -299,6 +323,8 @@ def _results(batch: Batch, starts: np.ndarray) -> pd.DataFrame:
     mark[starts] += 1
     np.subtract.at(mark, starts + WIDTH, 1)
     gone = np.cumsum(mark[:-1]) > 0
+    for i, j in zip(batch.starts[batch.copy].tolist(), batch.ends[batch.copy].tolist()):
+        gone[i:j] = j - i >= WIDTH
     out = []
     for doc, i, j in zip(batch.ids.tolist(), batch.starts.tolist(), batch.ends.tolist()):
         g = gone[i:j]
@@ -317,7 +343,15 @@ def _batched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held.sort()
         ends = np.cumsum([len(b) for _, b in held])
         key = (part << 32) | made
-        return pd.DataFrame({"batch": [key], "ids": [[d for d, _ in held]], "ends": [ends], "text": [b"".join(b for _, b in held)]})
+        return pd.DataFrame(
+            {
+                "batch": [key],
+                "ids": [[d for d, _ in held]],
+                "ends": [ends],
+                "digests": [[hashlib.md5(b, usedforsecurity=False).digest() for _, b in held]],
+                "text": [b"".join(b for _, b in held)],
+            }
+        )
 
     held, size = [], 0
     for pdf in batches:
@@ -337,9 +371,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     kept_sha256 (of the remaining bytes) and spans (begin and end bytes of the
     removed runs, flat, in order).
 
-    Texts equal to one of a smaller doc_id are told by their MD5 and length and
-    need no suffixes: they are removed whole, if they have WIDTH bytes. The
-    result is a written table; the batches' table is dropped at the end.
+    The result is a written table; the batches' table is dropped at the end.
 
     Cases: null and empty texts have no bytes; texts under WIDTH bytes lose
     nothing; rows that repeat a doc_id don't remove each other's strings; a row
@@ -350,32 +382,30 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     size = F.octet_length("text").cast("long")
-    keyed = base.withColumn("digest", F.md5("text"))
-    digests = written(keyed.filter("doc_id IS NOT NULL").select("doc_id", "digest", size.alias("n_bytes")), "text-digests")
-    firsts = digests.groupBy("digest", "n_bytes").agg(F.min("doc_id").alias("first"))
-    copies = written(
-        digests.join(firsts, ["digest", "n_bytes"]).filter("doc_id <> first AND n_bytes >= %d" % WIDTH).select("doc_id", "digest", "n_bytes"),
-        "text-copies",
-    )
-    nothing = F.array().cast("array<bigint>")
-    whole = copies.select(
-        "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
-        F.sha2(F.lit(""), 256).alias("kept_sha256"), F.array(F.lit(0).cast("long"), F.col("n_bytes")).alias("spans"),
-    )
+    nothing = F.lit(0).cast("long")
     nameless = base.filter("doc_id IS NULL").select(
-        "doc_id", size.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
-        F.sha2("text", 256).alias("kept_sha256"), nothing.alias("spans"),
+        "doc_id", size.alias("n_bytes"), nothing.alias("n_removed"), nothing.alias("n_spans"),
+        F.sha2("text", 256).alias("kept_sha256"), F.array().cast("array<bigint>").alias("spans"),
     )
-    own = keyed.filter("doc_id IS NOT NULL").join(copies.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti").select("doc_id", "text")
 
-    total = digests.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    ranges = max(16, total >> 24)
+    total = base.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    ranges = max(16, total // RANGE_BYTES)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total >> 26, 8)
     table = f"suffix_batches_{uuid.uuid4().hex[:12]}"
-    own.mapInPandas(_batched, "batch long, ids array<long>, ends array<long>, text binary").write.bucketBy(buckets, "batch").option(
-        "compression", "zstd"
-    ).saveAsTable(table)
-    batches = spark.table(table)
+    base.filter("doc_id IS NOT NULL").mapInPandas(
+        _batched, "batch long, ids array<long>, ends array<long>, digests array<binary>, text binary"
+    ).write.bucketBy(buckets, "batch").option("compression", "zstd").saveAsTable(table)
+    texts = spark.table(table)
+
+    # places of the texts that a smaller doc_id has too, per batch
+    each = texts.select("batch", F.posexplode(F.arrays_zip("ids", "digests")).alias("place", "x"))
+    each = each.select("batch", "place", F.col("x.ids").alias("doc_id"), F.col("x.digests").alias("digest"))
+    firsts = each.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    copies = written(
+        each.join(firsts, "digest").filter("doc_id <> first").groupBy("batch").agg(F.collect_list("place").alias("copies")),
+        "text-copies",
+    )
+    batches = texts.drop("digests").join(copies, "batch", "left")
 
     def per_batch(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias(name))
@@ -386,19 +416,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     bits = "batch long, part int, bits binary"
     named = batches.mapInPandas(_first_pass(ranges), "part int, batch long, names binary, several binary")
     shared = written(sorted_parts(named).mapInPandas(_shared_names, bits), "shared-names")
-    found = batches.join(per_batch(shared, "found"), "batch")
+    found = batches.join(per_batch(shared, "found"), "batch", "left")
     suffixes = found.mapInPandas(_second_pass(ranges), "part int, batch long, names binary, least binary, ids array<long>")
     earlier = written(sorted_parts(suffixes).mapInPandas(_earlier, bits), "earlier-names")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
     marked = found.join(per_batch(earlier, "earlier"), "batch", "left").mapInPandas(_last_pass(ranges), schema)
-    plain = batches.join(shared.select("batch").distinct(), "batch", "left_anti").mapInPandas(_plain, schema)
-    done = written(marked.union(plain).union(whole).union(nameless), "without-repeats")
+    done = written(marked.union(nameless), "without-repeats")
     spark.sql(f"DROP TABLE {table}")
     return done
 
-
-def _plain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Batches without any sampled suffix: only short texts."""
-    for pdf in batches:
-        for _, batch in _rows(pdf):
-            yield _results(batch, np.empty(0, dtype=np.int64))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from marquee.catalog import Catalog
@@ -118,3 +119,35 @@ def test_parquet_and_bucketed_layouts_equal_source(spark, small_catalog):
         for landed in (plain, bucketed):
             other = getattr(landed, name)
             assert df.exceptAll(other).count() == 0 and other.exceptAll(df).count() == 0, name
+
+
+# table: file lines after the header, and the rows expected from its reader
+FILES = {
+    "ratings": (["t1\t7.5\t10", "t2\t\\N\tbad"], [("t1", 7.5, 10), ("t2", None, None)]),
+    "crew": (["t1\tn1,n2\t\\N", "t2\tn3\tn3"], [("t1", "n1,n2", None), ("t2", "n3", "n3")]),
+    "principals": (
+        ['t1\t1\tn1\tactor\t\\N\t["A"]', "t1\tx\tn2\tdirector\tjob\t\\N"],
+        [("t1", 1, "n1", "actor", None, '["A"]'), ("t1", None, "n2", "director", "job", None)],
+    ),
+    "episodes": (["e1\tt1\t1\t\\N", "e2\tt1\t\\N\t4"], [("e1", "t1", 1, None), ("e2", "t1", None, 4)]),
+    "akas": (
+        ["t1\t1\t\"Name\tUS\t\\N\t\\N\t\\N\t0", "t1\t2\t\\N\t\\N\ten\ttype\tattr\t1"],
+        [("t1", 1, '"Name', "US", None, None, None, 0), ("t1", 2, None, None, "en", "type", "attr", 1)],
+    ),
+    "people": (
+        ["n1\tAnn\t1950\t\\N\tactress,writer\tt1,t2", "n2\tBob\t\\N\t2000\t\\N\t\\N"],
+        [("n1", "Ann", 1950, None, ["actress", "writer"], "t1,t2"), ("n2", "Bob", None, 2000, None, None)],
+    ),
+}
+
+
+@pytest.mark.parametrize("table", list(FILES))
+def test_each_reader_gives_its_rows(spark, table):
+    import marquee.sources.tsv as tsv
+
+    schema, name, _ = TABLES[table]
+    lines, want = FILES[table]
+    tmp = tempfile.mkdtemp(prefix="tsv-")
+    _write(tmp, name, "\n".join(["\t".join(schema.names), *lines]))
+    rows = getattr(tsv, f"read_{table}")(spark, tmp).collect()
+    assert [tuple(r) for r in rows] == want

@@ -199,9 +199,16 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, miss:
     sig = written(signatures(docs, width=width, m=m), "minhash-signatures")
     known = sig.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
 
-    firsts = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    copies = known.select("doc_id", "digest").join(firsts, "digest").filter("doc_id <> rep")
-    reps = known.join(firsts.select("digest", F.col("rep").alias("doc_id")), ["doc_id", "digest"], "left_semi")
+    # a table of its own, so that AQE can split a hot digest in the join with it
+    repeated = written(
+        known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"),
+        "minhash-repeated",
+    )
+    copies = written(
+        known.select("doc_id", "digest").join(repeated, "digest").filter("doc_id <> rep").select("doc_id", "digest", "rep"),
+        "minhash-copies",
+    )
+    reps = known.join(copies.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti")
     reps = reps.dropDuplicates(["doc_id", "digest"]).select(F.col("doc_id").alias("rep"), "u", "v")
 
     rows = written(

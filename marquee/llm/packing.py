@@ -24,7 +24,7 @@ from pyspark.sql.functions import pandas_udf
 
 from .common import texts, written
 
-RANK_BUCKET = 4096  # pieces of one length that are numbered in one group
+RANK_BUCKET = 512  # pieces of one length that are numbered in one group
 
 # Letters, digits and white space of Latin-1, where lower-casing and NFC are
 # plain; what the vocabulary's own pre-tokeniser matches there.

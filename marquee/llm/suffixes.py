@@ -395,14 +395,24 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     base.filter("doc_id IS NOT NULL").mapInPandas(
         _batched, "batch long, ids array<long>, ends array<long>, digests array<binary>, text binary"
     ).write.bucketBy(buckets, "batch").option("compression", "zstd").saveAsTable(table)
-    texts = spark.table(table)
+    try:
+        return _resolved(spark.table(table), nameless, ranges)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
 
+
+def _resolved(texts: DataFrame, nameless: DataFrame, ranges: int) -> DataFrame:
+    """The passes over the batches' table; the result is written."""
     # places of the texts that a smaller doc_id has too, per batch
     each = texts.select("batch", F.posexplode(F.arrays_zip("ids", "digests")).alias("place", "x"))
     each = each.select("batch", "place", F.col("x.ids").alias("doc_id"), F.col("x.digests").alias("digest"))
-    firsts = each.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    # a table of its own, so that AQE can split a hot digest in the join with it
+    repeated = written(
+        each.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"),
+        "text-repeated",
+    )
     copies = written(
-        each.join(firsts, "digest").filter("doc_id <> first").groupBy("batch").agg(F.collect_list("place").alias("copies")),
+        each.join(repeated, "digest").filter("doc_id <> first").groupBy("batch").agg(F.collect_list("place").alias("copies")),
         "text-copies",
     )
     batches = texts.drop("digests").join(copies, "batch", "left")
@@ -421,7 +431,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     earlier = written(sorted_parts(suffixes).mapInPandas(_earlier, bits), "earlier-names")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
     marked = found.join(per_batch(earlier, "earlier"), "batch", "left").mapInPandas(_last_pass(ranges), schema)
-    done = written(marked.union(nameless), "without-repeats")
-    spark.sql(f"DROP TABLE {table}")
-    return done
-
+    return written(marked.union(nameless), "without-repeats")

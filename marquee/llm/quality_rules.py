@@ -215,7 +215,8 @@ def stratum_of(docs: DataFrame) -> Column:
 
 def judged(docs: DataFrame, limits: DataFrame, measures: str = "__measures") -> DataFrame:
     """``docs`` (with measures) and __base_failed, __kept. ``limits`` has a row
-    per stratum (languages), so the planner may broadcast it."""
+    per stratum (language). As a written table its size is known to the planner,
+    which then needn't shuffle the texts by language to join it."""
     m = F.col(measures)
     named = limits.select(F.col("stratum").alias("__stratum"), *[F.col(r).alias(f"__{r}") for r in RULES])
     out = docs.withColumn("__stratum", stratum_of(docs)).join(named, "__stratum", "left")
@@ -241,7 +242,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01,
         ),
         "quality-measures",
     )
-    limits = cutoffs(measured.withColumnRenamed("lang", "stratum"), labels, risk=risk, error=error)
+    limits = written(cutoffs(measured.withColumnRenamed("lang", "stratum"), labels, risk=risk, error=error), "quality-cutoffs")
     out = judged(measured, limits, "measures")
     return out.select(
         "doc_id",
@@ -260,7 +261,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01, error:
     measured = with_measures(docs.select("doc_id", "text", *(["lang"] if "lang" in docs.columns else []))).select(
         "doc_id", stratum_of(docs).alias("stratum"), F.col("__measures").alias("measures")
     )
-    limits = cutoffs(measured, labels, risk=risk, error=error)
+    limits = written(cutoffs(measured, labels, risk=risk, error=error), "quality-cutoffs")
     numbered = with_measures(docs).withColumn("__row", F.monotonically_increasing_id())
     kept = judged(numbered, limits).filter("__kept AND __row >= 0")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -57,33 +57,48 @@ class Model:
         return float(self.weight[present(text, self.bits, self.wanted)].sum()) + self.bias
 
 
-def ratios(n0: np.ndarray, n1: np.ndarray, docs0: int, docs1: int, noise: float = 4.0) -> np.ndarray:
-    """Naive Bayes log-count ratios from document counts, add-one smoothed; 0
-    where the ratio is below ``noise`` of its standard errors."""
-    r = np.log((n1 + 1) / (docs1 + 2)) - np.log((n0 + 1) / (docs0 + 2))
-    se = np.sqrt(1 / (n1 + 1) + 1 / (n0 + 1))
-    return np.where(np.abs(r) >= noise * se, r, 0.0)
+def ratios(counts: DataFrame, docs0: int, docs1: int, noise: float = 4.0) -> DataFrame:
+    """(feature, r) of document counts (feature, n0, n1): naive Bayes log-count
+    ratios, add-one smoothed, of at least ``noise`` of their standard errors."""
+    r = F.log((F.col("n1") + 1) / F.lit(docs1 + 2)) - F.log((F.col("n0") + 1) / F.lit(docs0 + 2))
+    error = F.sqrt(1 / (F.col("n1") + 1) + 1 / (F.col("n0") + 1))
+    return counts.select("feature", r.alias("r"), error.alias("error")).filter(F.abs("r") >= noise * F.col("error")).drop("error")
+
+
+def _sums(values: np.ndarray, starts: np.ndarray, n: int, owner: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``values``; ``owner`` tells whose each run is."""
+    out = np.zeros(n)
+    if len(values):
+        out[owner] = np.add.reduceat(values, starts)
+    return out
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, *, ridge: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
     """Logistic regression on presence times ratio by accelerated gradients;
-    returns weights times ratio per feature, and the bias."""
+    returns weights times ratio per feature, and the bias. The presence matrix
+    is held as two 32-bit index lists, by row and by column."""
     used = np.flatnonzero(r)
-    column = np.zeros(len(r), dtype=np.int64)
-    column[used] = np.arange(len(used))
+    n, width, scale = len(rows), len(used), r[used]
+    column = np.zeros(len(r), dtype=np.int32)
+    column[used] = np.arange(width, dtype=np.int32)
     lengths = np.array([len(x) for x in rows], dtype=np.int64)
-    row = np.repeat(np.arange(len(rows)), lengths)
-    col = column[np.concatenate(rows)] if len(rows) else np.empty(0, dtype=np.int64)
-    val = r[used][col]
-    n, width = len(rows), len(used)
+    col = column[np.concatenate(rows)] if n else np.empty(0, dtype=np.int32)
+    row = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    by_row = (np.cumsum(lengths) - lengths)[lengths > 0], n, np.flatnonzero(lengths)
+    times = np.bincount(col, minlength=width) if width else np.empty(0, dtype=np.int64)
+    by_col = (np.cumsum(times) - times)[times > 0], width, np.flatnonzero(times)
+    row = row[np.argsort(col, kind="stable")]
 
     def apply(w: np.ndarray, b: float) -> np.ndarray:
-        return np.bincount(row, val * w[col], n) + b
+        return _sums((scale * w)[col], *by_row) + b
+
+    def back(e: np.ndarray) -> np.ndarray:
+        return scale * _sums(e[row], *by_col)
 
     v = np.ones(width)
     top = 1.0
     for _ in range(20 if width else 0):  # the largest eigenvalue of X'X
-        v = np.bincount(col, val * apply(v, 0.0)[row], width)
+        v = back(apply(v, 0.0))
         top = float(np.linalg.norm(v)) or 1.0
         v /= top
     rate = 1 / (0.25 * top + 0.25 * n + ridge)
@@ -93,20 +108,21 @@ def fit(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, *, ridge: float =
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(apply(yw, yb), -30, 30)))
         e = p - y
-        nw = yw - rate * (np.bincount(col, val * e[row], width) + ridge * yw)
+        nw = yw - rate * (back(e) + ridge * yw)
         nb = yb - rate * e.sum()
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
         yw, yb = nw + (t - 1) / t2 * (nw - w), nb + (t - 1) / t2 * (nb - b)
         w, b, t = nw, nb, t2
     weight = np.zeros(len(r))
-    weight[used] = w * r[used]
+    weight[used] = w * scale
     return weight, b
 
 
 def train(docs: DataFrame, labels: DataFrame, *, folds: int, held: int, bits: int = 20, per_class: int = 5000) -> Model:
     """Fit on at most ``per_class`` documents of each label outside the held-out
-    fold. Feature counts are added up on Spark; the driver gets one count pair
-    per feature (at most 2**bits) and the chosen features of the sample."""
+    fold. Feature counts are added up on Spark; the driver gets the features
+    whose ratio is beyond its noise (at most 2**bits) and which of them each
+    document of the sample has."""
     sample = written(labelled_sample(docs, labels, "toxic", folds, held, per_class).repartition(12), "toxicity-sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,12 +140,12 @@ def train(docs: DataFrame, labels: DataFrame, *, folds: int, held: int, bits: in
         .groupBy("feature")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .filter("n0 + n1 > 2")
-        .toPandas()
     )
-    size = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    n = np.zeros((2, 1 << bits))
-    n[:, counted["feature"].to_numpy(dtype=np.int64)] = counted[["n0", "n1"]].to_numpy(dtype=np.float64).T
-    r = ratios(n[0], n[1], size.get(0, 0), size.get(1, 0)) if len(size) == 2 else np.zeros(1 << bits)
+    size = {x["label"]: x["count"] for x in sample.groupBy("label").count().collect()}
+    r = np.zeros(1 << bits)
+    if len(size) == 2:
+        kept = ratios(counted, size[0], size[1]).toPandas()
+        r[kept["feature"].to_numpy(dtype=np.int64)] = kept["r"].to_numpy(dtype=np.float64)
     wanted = r != 0
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -76,10 +76,24 @@ def test_present_equals_a_plain_set_of_ngrams():
     assert len(present("ab", 20)) == 0 and len(present(None, 20)) == 0
 
 
-def test_ratios_are_log_count_ratios_beyond_noise():
-    r = ratios(np.array([100.0, 0, 5, 0]), np.array([100.0, 60, 4, 1]), 1000, 100)
-    assert r[0] == pytest.approx(math.log(101 / 102) - math.log(101 / 1002)) and r[1] > 3 and r[2] == 0 or r[2] > 0
-    assert r[3] == 0
+def test_ratios_are_log_count_ratios_beyond_noise(spark):
+    counts = spark.createDataFrame([(0, 100, 100), (1, 0, 60), (2, 5, 1), (3, 0, 1), (4, 900, 2)], "feature long, n0 long, n1 long")
+    r = {x.feature: x.r for x in ratios(counts, 1000, 100).collect()}
+    assert set(r) == {0, 1, 4}  # 2 and 3 are within the noise of their counts
+    assert r[0] == pytest.approx(math.log(101 / 102) - math.log(101 / 1002)) and r[1] > 3 and r[4] < -3
+
+
+def test_fit_is_the_ridge_penalised_minimum():
+    rng = np.random.default_rng(1)
+    x = rng.random((60, 8)) < 0.4
+    x[5] = False  # a document without features
+    r = np.concatenate([rng.normal(size=8), [0.0]])
+    y = (x @ r[:8] + 0.5 * rng.normal(size=60) > 0).astype(float)
+    weight, b = toxicity.fit([np.flatnonzero(row).astype(np.uint32) for row in x], y, r, ridge=1.0, steps=3000)
+    design = x * r[:8]
+    w = weight[:8] / r[:8]
+    p = 1 / (1 + np.exp(-(design @ w + b)))
+    assert np.abs(design.T @ (p - y) + w).max() < 1e-4 and abs((p - y).sum()) < 1e-4
 
 
 def test_odd_rows(spark, odd_docs, no_docs):

@@ -13,8 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Texts without any of these words hold no licence sentence.
+# Sentences with any of these words are licence-like, known or not.
 HINT = "(?i)licen[sc]e|copyright|spdx|warrant|permission|redistribut|public domain"
+# In a text with one of those words, so are sentences with one of these.
+MORE = "general public|as is|source code|mpl|hope that"
+# Every known sentence holds one of these words or of HINT's (tests/llm/test_licences.py).
+KNOWN = "(?i)released|dedicated|distributed|reserved|warranties|endorse|mpl"
 # A tag's colon is none of the cuts, which are line ends, and blanks after a full
 # stop, semicolon or colon.
 TAG = "(?i)(license-identifier):"
@@ -121,6 +125,10 @@ def _anchored(pattern: str) -> str:
     return "^" + pattern.replace("2.0", "2[.]0").replace("3.0", "3[.]0").replace("4.0", "4[.]0").replace("1.0", "1[.]0") + "$"
 
 
+def _like(sentence: Column, hinted: Column) -> Column:
+    return sentence.rlike(HINT) | (hinted & F.lower(sentence).rlike(MORE))
+
+
 def _normalised(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), DROPPED, " "), F.lit(" ./-"))
 
@@ -134,22 +142,25 @@ def _identifier(sentence: Column) -> Column:
 
 
 def licence_scan(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_sentences (licence-like ones),
-    sentence_ids (known ones, in order, comma-separated) and licences (found, in
+    """One row per row of ``docs``: doc_id, n_sentences (known or licence-like
+    ones), sentence_ids (known ones, in order, comma-separated) and licences (found, in
     the rules' order, comma-separated; UNKNOWN if no rule matches a text that has
     licence-like sentences; else empty).
 
-    Everything happens within the row: a text is scanned once for licence words,
-    and only texts with one are cut and matched. Cases: null, empty and blank
+    Everything happens within the row: a text is scanned for the words that known
+    and licence-like sentences hold, and only texts with one are cut and matched. Cases: null, empty and blank
     texts have none; repeated rows are scanned one by one; a null doc_id stays
     null; other columns are ignored; no documents give no rows."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     none = F.array().cast("array<string>")
-    like = F.when(
-        text.rlike(HINT), F.filter(F.split(F.regexp_replace(text, TAG, "$1"), CUT), lambda s: s.rlike(HINT) | F.lower(s).rlike("general public|as is|source code|mpl|hope that"))
-    ).otherwise(none)
-    step = docs.select(F.col("doc_id").cast("long").alias("doc_id"), like.alias("like"))
-    step = step.withColumn("ids", F.filter(F.transform(F.transform("like", _normalised), _identifier), lambda x: x.isNotNull()))
+    hinted = text.rlike(HINT)
+    cut = F.when(hinted | text.rlike(KNOWN), F.split(F.regexp_replace(text, TAG, "$1"), CUT)).otherwise(none)
+    step = docs.select(F.col("doc_id").cast("long").alias("doc_id"), hinted.alias("hinted"), cut.alias("cut"))
+    named = F.transform(
+        "cut", lambda s: F.struct(_identifier(_normalised(s)).alias("id"), _like(s, F.col("hinted")).alias("like"))
+    )
+    step = step.withColumn("like", F.filter(named, lambda x: x["id"].isNotNull() | x["like"]))
+    step = step.withColumn("ids", F.filter(F.transform("like", lambda x: x["id"]), lambda x: x.isNotNull()))
     step = step.withColumn("sequence", F.concat_ws("", F.transform("ids", lambda x: F.concat(F.lit("<"), x, F.lit(">")))))
     rules = F.array(
         *[F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("ids")) for name, ids in RULES]

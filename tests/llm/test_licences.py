@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import itertools
+import re
+
 import pytest
 
 from marquee.llm.licences import RULES, SENTENCES, licence_scan
@@ -49,3 +52,49 @@ def test_odd_rows(odd_docs, no_docs):
     rows = licence_scan(odd_docs).collect()
     assert len(rows) == 13 and all((r.n_sentences, r.sentence_ids, r.licences) == (0, "", "") for r in rows)
     assert licence_scan(no_docs).count() == 0
+
+
+def examples(parsed):
+    """Texts that a pattern of SENTENCES matches: every branch, options both out and in."""
+    parts = []
+    for kind, arg in parsed:
+        match str(kind):
+            case "LITERAL":
+                parts.append([chr(arg)])
+            case "ANY":
+                parts.append(["x"])
+            case "IN":
+                parts.append([chr(a) for k, a in arg if str(k) == "LITERAL"])
+            case "SUBPATTERN":
+                parts.append(examples(arg[-1]))
+            case "BRANCH":
+                parts.append([t for branch in arg[1] for t in examples(branch)])
+            case "MAX_REPEAT":
+                parts.append([""] * (arg[0] == 0 and str(arg[2][0][0]) != "ANY") + examples(arg[2]))
+            case _:
+                raise ValueError(kind)
+    return ["".join(p) for p in itertools.product(*parts)]
+
+
+def test_every_known_sentence_is_recognised(spark):
+    # "." stands for itself but in ".*"
+    # "v. 2.0" is cut
+    cases = [(n, t) for n, p in SENTENCES if n != "MPLRef" for t in examples(re._parser.parse(re.sub(r"[.](?![*])", "[.]", p)))]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: r for r in licence_scan(docs).collect()}
+    wrong = [(n, t, found[i].sentence_ids) for i, (n, t) in enumerate(cases) if found[i].sentence_ids != n or found[i].n_sentences != 1]
+    assert not wrong, wrong[:5]
+
+
+@pytest.mark.parametrize(
+    "text, licences",
+    [
+        ("Prose.\nAll rights reserved.", "Proprietary"),
+        ("Released under CC0 1.0.", "CC0-1.0"),
+        ("Released under CC BY 4.0.", "CC-BY-4.0"),
+        ("They released an example.", ""),
+    ],
+)
+def test_sentences_without_licence_words(make_docs, text, licences):
+    (row,) = licence_scan(make_docs([(1, text)])).collect()
+    assert row.licences == licences and row.n_sentences == (licences != "")

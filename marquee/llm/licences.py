@@ -1,15 +1,19 @@
 """Licence recognition by sentences (German, Manabe and Inoue, "A Sentence-
 Matching Method for Automatic License Identification", 2010).
 
-A text is cut into sentences, each is normalised and mapped to the identifier of
-a known licence sentence, and the sequence of identifiers is matched against
-ordered rules; a rule that matches uses up its identifiers.
+A text is normalised and cut into sentences at blank lines and full stops. Known
+licence sentences are mapped to their identifiers: they begin and end with a
+sentence, a line or a clause (semicolon, colon), and may go over line ends and
+clauses. The sequence of identifiers is matched against ordered rules; a rule that
+matches uses up its identifiers.
 
 DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +23,15 @@ HINT = "(?i)licen[sc]e|copyright|spdx|warrant|permission|redistribut|public doma
 MORE = "general public|as is|source code|mpl|hope that"
 # Every known sentence holds one of these words or of HINT's (tests/llm/test_licences.py).
 KNOWN = "(?i)released|dedicated|distributed|reserved|warranties|endorse|mpl"
-# A tag's colon is none of the cuts, which are line ends, and blanks after a full
-# stop, semicolon or colon.
+# A tag's colon and the full stop of "v. 2" are none of the cuts.
 TAG = "(?i)(license-identifier):"
+VERSION = "(?<![a-z0-9])v[.][^a-z0-9]*(?=[0-9])"
+# The cuts of the SQL: line ends, and blanks after a full stop, semicolon or colon.
 CUT = "\\n+|(?:[.;:]) +"
+# Marks in a normalised text: end of a sentence, of a line, of a clause.
+END, LINE, CLAUSE = "\x01", "\x02", "\x03"
+SENTENCE_END = "[.](?: +|[ \\t\\r]*(?=\\n)|$)|\\n[^a-z0-9]*\\n"
+CLAUSE_END = "[;:](?: +|[ \\t\\r]*(?=\\n))"
 # Everything but these is a blank in a normalised sentence.
 DROPPED = "[^a-z0-9.+/-]+"
 
@@ -125,42 +134,62 @@ def _anchored(pattern: str) -> str:
     return "^" + pattern.replace("2.0", "2[.]0").replace("3.0", "3[.]0").replace("4.0", "4[.]0").replace("1.0", "1[.]0") + "$"
 
 
-def _like(sentence: Column, hinted: Column) -> Column:
-    return sentence.rlike(HINT) | (hinted & F.lower(sentence).rlike(MORE))
-
-
 def _normalised(sentence: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(sentence), DROPPED, " "), F.lit(" ./-"))
-
-
-def _identifier(sentence: Column) -> Column:
-    out = None
+    """Words between single blanks and marks, without what surrounds a line's text
+    (comment signs, bullets, dashes)."""
+    out = F.lower(F.translate(sentence, END + LINE + CLAUSE, "   "))
+    for pattern, by in (
+        (TAG, "$1"),
+        (VERSION, "v "),
+        (SENTENCE_END, END),
+        (CLAUSE_END, CLAUSE),
+        ("\\n", LINE),
+        (DROPPED.replace("[^", "[^" + END + LINE + CLAUSE), " "),
+        (f"(?<![ ./-])[ ./-]++(?=[{END}{LINE}{CLAUSE}])", ""),
+        (f"(?<=[{END}{LINE}{CLAUSE}])[ ./-]+", ""),
+    ):
+        out = F.regexp_replace(out, pattern, by)
+    return F.btrim(out, F.lit(" ./-"))
+
+
+def _spanning(pattern: str) -> str:
+    """A known sentence's pattern in a normalised sentence: from mark to mark, with
+    marks for blanks, and as short as ``.*`` allows."""
+    pattern = re.sub(VERSION, "v ", pattern)
+    pattern = re.sub("[.](?![*])", "[.]", pattern).replace(".*)?", ".*)??").replace(".*", "[^<]*?")
+    return f"(?<![^{LINE}{CLAUSE}])" + pattern.replace(" ", f"(?:[ {LINE}{CLAUSE}]+)") + f"(?![^{LINE}{CLAUSE}])"
+
+
+def _identified(sentence: Column) -> Column:
+    """The normalised sentence with <identifier> for each known one. What follows
+    a pattern's ``.*`` within the clause belongs to it, but for known ones."""
     for name, pattern in SENTENCES:
-        test = sentence.rlike(_anchored(pattern))
-        out = F.when(test, name) if out is None else out.when(test, name)
-    return out
+        tail = "~" if pattern.endswith((".*", ".*)?")) else ""
+        sentence = F.regexp_replace(sentence, _spanning(pattern), f"<{name}{tail}>")
+    return F.regexp_replace(sentence, f"~>[^<{CLAUSE}]*", ">")
 
 
 def licence_scan(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_sentences (known or licence-like
-    ones), sentence_ids (known ones, in order, comma-separated) and licences (found, in
-    the rules' order, comma-separated; UNKNOWN if no rule matches a text that has
+    ones), sentence_ids (known ones, in order, comma-separated) and licences
+    (found, in the rules' order, comma-separated; UNKNOWN if no rule matches a text that has
     licence-like sentences; else empty).
 
     Everything happens within the row: a text is scanned for the words that known
-    and licence-like sentences hold, and only texts with one are cut and matched. Cases: null, empty and blank
-    texts have none; repeated rows are scanned one by one; a null doc_id stays
+    and licence-like sentences hold, and only texts with one are cut, and only
+    sentences with one are matched. Cases: null, empty and blank texts have none; repeated rows are scanned one by one; a null doc_id stays
     null; other columns are ignored; no documents give no rows."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     none = F.array().cast("array<string>")
-    hinted = text.rlike(HINT)
-    cut = F.when(hinted | text.rlike(KNOWN), F.split(F.regexp_replace(text, TAG, "$1"), CUT)).otherwise(none)
+    hinted = text.rlike(HINT.replace(" ", "\\s+"))
+    cut = F.when(hinted | text.rlike(KNOWN), F.split(_normalised(text), END)).otherwise(none)
     step = docs.select(F.col("doc_id").cast("long").alias("doc_id"), hinted.alias("hinted"), cut.alias("cut"))
-    named = F.transform(
-        "cut", lambda s: F.struct(_identifier(_normalised(s)).alias("id"), _like(s, F.col("hinted")).alias("like"))
-    )
-    step = step.withColumn("like", F.filter(named, lambda x: x["id"].isNotNull() | x["like"]))
-    step = step.withColumn("ids", F.filter(F.transform("like", lambda x: x["id"]), lambda x: x.isNotNull()))
+    step = step.withColumn("cut", F.filter("cut", lambda s: s.rlike(f"{HINT}|{KNOWN}|{MORE}".replace(" ", f"[ {LINE}]"))))
+    step = step.withColumn("cut", F.transform("cut", _identified))
+    ids = F.transform("cut", lambda s: F.regexp_extract_all(s, F.lit("<([A-Za-z0-9]+)>"), F.lit(1)))
+    rest = F.flatten(F.transform("cut", lambda s: F.split(F.replace(s, F.lit(LINE), F.lit(" ")), f"<[A-Za-z0-9]+>|{CLAUSE}")))
+    like = F.filter(rest, lambda s: s.rlike(HINT) | (F.col("hinted") & s.rlike(MORE)))
+    step = step.select("doc_id", F.flatten(ids).alias("ids"), (F.size(like) + F.size(F.flatten(ids))).cast("long").alias("n_sentences"))
     step = step.withColumn("sequence", F.concat_ws("", F.transform("ids", lambda x: F.concat(F.lit("<"), x, F.lit(">")))))
     rules = F.array(
         *[F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("ids")) for name, ids in RULES]
@@ -178,10 +207,10 @@ def licence_scan(docs: DataFrame) -> DataFrame:
     found = F.when(F.col("sequence") != "", matched).otherwise(none)
     return step.withColumn("found", found).select(
         "doc_id",
-        F.size("like").cast("long").alias("n_sentences"),
+        "n_sentences",
         F.concat_ws(",", "ids").alias("sentence_ids"),
         F.when(F.size("found") > 0, F.concat_ws(",", "found"))
-        .when(F.size("like") > 0, F.lit("UNKNOWN"))
+        .when(F.col("n_sentences") > 0, F.lit("UNKNOWN"))
         .otherwise(F.lit(""))
         .alias("licences"),
     )

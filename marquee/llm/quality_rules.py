@@ -5,11 +5,16 @@ from lenient to strict. For each stratum and rule the cutoffs are tested in that
 order: the hypothesis "more than ``risk`` of the stratum's good documents are
 rejected" is tested by the exact binomial tail P(X <= rejected) with X of
 Bin(good documents, risk). The strictest cutoff before the first that isn't
-significant is used (fixed-sequence testing needs no correction along the grid),
-at ``error`` divided by the number of (stratum, rule) sequences (Bonferroni).
-So, with probability 1 - ``error``, no rule rejects more than ``risk`` of the
-good documents of any stratum. A stratum with too few labels gets no cutoff and
-loses nothing to that rule.
+significant is used (fixed-sequence testing needs no correction along the grid).
+
+A stratum's share of ``error`` (Bonferroni over the strata) is spent in two halves.
+One is divided by the number of rules, so that no rule depends on another. The
+other tests all cutoffs of the stratum undivided, in the fixed order CHAIN, up to
+the first that isn't significant; so fewer labels suffice where good documents
+break no rule. A rule's cutoff is the stricter of the two. By the union bound, with
+probability 1 - ``error``, no rule rejects more than ``risk`` of the good documents
+of any stratum. A stratum with too few labels gets no cutoff and loses nothing to
+that rule.
 
 DataFrame functions only.
 """
@@ -39,6 +44,10 @@ RULES: dict[str, tuple[str, str, bool, tuple[float, ...]]] = {
     "short_words": ("word_chars", "n_words", False, (2.0, 2.5, 3.0)),
     "few_words": ("n_distinct_words", "n_words", False, (0.05, 0.1, 0.2, 0.3)),
 }
+# The rules in the order in which a stratum's undivided half of the error tests them:
+# the most lenient cutoff of each, then the others rule by rule. Repetition is last,
+# as good texts (lists, verse) have some.
+CHAIN = ("symbol_rate", "shout_rate", "long_words", "short_words", "few_words", "dup_line_rate", "repeat_rate")
 MEASURES = (
     "n_words",
     "word_chars",
@@ -189,18 +198,27 @@ def cutoffs(measured: DataFrame, labels: DataFrame, *, risk: float = 0.01, error
     per_stratum = graded.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *counts)
     tests = F.array(
         *[
-            F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("at"), F.lit(c).alias("cutoff"), F.col(f"{rule}_{i}").alias("k"))
+            F.struct(
+                F.lit(rule).alias("rule"),
+                F.lit(i).alias("at"),
+                F.lit(0 if i == 0 else 1 + CHAIN.index(rule)).alias("turn"),
+                F.lit(CHAIN.index(rule) if i == 0 else i).alias("place"),
+                F.lit(c).alias("cutoff"),
+                F.col(f"{rule}_{i}").alias("k"),
+            )
             for rule, spec in RULES.items()
             for i, c in enumerate(spec[3])
         ]
     )
     strata = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))  # a row per stratum
-    rows = per_stratum.withColumn("level", error / (strata * len(RULES))).select(
-        "stratum", "n", "level", F.inline(tests)
+    rows = per_stratum.withColumn("half", error / strata / 2).select("stratum", "n", "half", F.inline(tests))
+    tail = rows.withColumn("tail", binomial_tail(F.col("n"), F.col("k"), risk))
+    tested = tail.withColumn("alone", (F.col("tail") <= F.col("half") / len(RULES)).cast("int")).withColumn(
+        "chained", (F.col("tail") <= F.col("half")).cast("int")
     )
-    tested = rows.withColumn("passed", (binomial_tail(F.col("n"), F.col("k"), risk) <= F.col("level")).cast("int"))
-    so_far = Window.partitionBy("stratum", "rule").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    kept = tested.withColumn("passed", F.min("passed").over(so_far))
+    along = Window.partitionBy("stratum", "rule").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    chain = Window.partitionBy("stratum").orderBy("turn", "place").rowsBetween(Window.unboundedPreceding, 0)
+    kept = tested.withColumn("passed", F.greatest(F.min("alone").over(along), F.min("chained").over(chain)))
     return kept.groupBy("stratum").agg(
         *[
             F.max_by("cutoff", F.when((F.col("passed") == 1) & (F.col("rule") == rule), F.col("at"))).alias(rule)

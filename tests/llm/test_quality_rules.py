@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm.quality_rules import RULES, binomial_tail, cutoffs, keep_good, quality_verdicts, with_measures
+from marquee.llm.quality_rules import CHAIN, RULES, binomial_tail, cutoffs, keep_good, quality_verdicts, with_measures
 
 from .conftest import LABELS
 
@@ -78,6 +78,17 @@ def test_cutoffs_follow_the_labels(spark):
     assert all(none[r] is None for r in RULES)  # too few labels to guarantee 1 %
 
 
+def test_chain_needs_fewer_labels(spark):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], LABELS)
+    assert sorted(CHAIN) == sorted(RULES)
+    # 0.99 ** 400 = 0.018, under 0.05 / 2 but over 0.05 / 7
+    clean = cutoffs(graded(spark, 400, 0), labels).first()
+    assert all(clean[r] == RULES[r][3][-1] for r in RULES)
+    # 1 % break 0.35: the chain ends there, after the most lenient cutoff of each rule
+    stopped = cutoffs(graded(spark, 400, 4), labels).first()
+    assert all(stopped[r] == (0.5 if r == "symbol_rate" else RULES[r][3][0]) for r in RULES)
+
+
 def test_false_rejection_is_limited(spark):
     """Cutoffs learned on one sample reject at most the risk of fresh good ones."""
     import random

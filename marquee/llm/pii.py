@@ -30,22 +30,27 @@ TITLES = {
     "srta": "f", "doña": "f", "madame": "f", "mme": "f", "mademoiselle": "f", "mlle": "f",
     "dr": "n", "dra": "f", "prof": "n", "господин": "m", "госпожа": "f", "κύριος": "m", "κυρία": "f",
 }
-_TITLE = "|".join(sorted((t.capitalize() for t in TITLES), key=len, reverse=True))
-_NAME = r"[^\W\d_a-z][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_TITLE = "|".join(sorted({f(t) for t in TITLES for f in (str.capitalize, str.upper)}, key=len, reverse=True))
+_SECRET = r"(?:sk|pk|ghp|gho|AKIA|xox[bp])[-_A-Za-z0-9]{16,}"
+_WORD = r"[^\W\d_a-z][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_INITIAL = "[A-ZÀ-ÖØ-ÞΆ-ΫЀ-Я]"
+# One to three words, with initials before them; without a full stop only after the title.
+_NAME = rf"(?:{_INITIAL}(?:\.[ ]?|[ ])){{0,3}}{_WORD}(?:[ ](?:{_INITIAL}\.[ ]?){{0,3}}{_WORD}){{0,2}}"
+_PART = re.compile(rf"{_WORD}|{_INITIAL}")
 # One alternation; the first that matches at a place wins.
 _PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<token>\b(?=[0-9a-fA-F]*\d)(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{24,}\b"
-    r"|\b(?:sk|pk|ghp|gho|AKIA|xox[bp])[-_A-Za-z0-9]{16,}\b)"
+    rf"|\b{_SECRET}\b)"
     r"|(?P<ip>\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b(?!\.\d))"
     r"|(?P<ssn>\b\d{3}-\d{2}-\d{4}\b)"
     r"|(?P<card>\b\d(?:[ -]?\d){12,18}\b)"
     r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\b\d{3}[ .-])\d{3,4}[ .-]\d{3,4}\b|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}\b)"
-    rf"|\b(?P<title>{_TITLE})\b\.?[ ](?P<person>{_NAME}(?:[ ]{_NAME}){{0,2}})"
+    rf"|\b(?P<title>{_TITLE})\b\.?[ ](?P<person>{_NAME})"
 )
-# A text without any of these holds no entity.
-_MAYBE = re.compile(rf"[@\d]|\b(?:{_TITLE})\b")
+# A text without any of these holds no entity: each alternative of _PATTERN needs one.
+_MAYBE = re.compile(rf"[@\d]|{_SECRET}|\b(?:{_TITLE})\b")
 
 # Syllables of surrogate names, per script.
 SYLLABLES = {
@@ -82,8 +87,8 @@ def _norm(kind: str, text: str) -> str:
 
 def entities(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, normalised) in text order, without overlaps. Name
-    kinds are name/<role and gender>/<script>; a titled name's words are also
-    found where they occur alone in the same text."""
+    kinds are name/<role and gender>/<script>; a titled name's words, but not its
+    initials, are also found where they occur alone in the same text."""
     if not text or _MAYBE.search(text) is None:
         return []
     out: list[tuple[int, int, str, str]] = []
@@ -93,15 +98,16 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
             out.append((m.start(), m.end(), m.lastgroup, _norm(m.lastgroup, m.group())))
             continue
         gender = TITLES[m["title"].lower()]
-        parts = list(re.finditer(r"[^ ]+", m["person"]))
+        parts = list(_PART.finditer(m["person"]))
         for k, p in enumerate(parts):
             role = "s" if k == len(parts) - 1 else gender
             kind = f"name/{role}/{script(p.group())}"
             names.setdefault(p.group(), kind)
             at = m.start("person") + p.start()
             out.append((at, at + len(p.group()), names[p.group()], _norm("name", p.group())))
-    if names:
-        alone = re.compile(r"\b(?:" + "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True)) + r")\b")
+    words = [n for n in names if len(n) > 1]
+    if words:
+        alone = re.compile(r"\b(?:" + "|".join(re.escape(n) for n in sorted(words, key=len, reverse=True)) + r")\b")
         taken = [(s, e) for s, e, *_ in out]
         k = 0
         for m in alone.finditer(text):
@@ -193,6 +199,8 @@ def _dressed(found: str, kind: str, made: str) -> str:
     if kind == "email":
         return made.upper() if found.isupper() else made
     if kind.startswith("name/"):
+        if len(found) == 1:  # an initial stays one
+            return made[0].upper()
         return made.upper() if found.isupper() and len(found) > 1 else made.capitalize()
     return made
 

@@ -6,6 +6,10 @@ item place). Shared q-grams are counted in diagonal bands of 2 (e + 1) that
 overlap by half, so one band holds them all; a band that reaches the bound is a
 region, and is verified by a banded alignment of the whole item.
 
+The bound must be positive, so short items have fewer edits than EDIT_PERCENT: those
+of 13 to 19, 25 to 29 and 38 or 39 characters one less. Items of under 10 are not
+searched for, even verbatim.
+
 Texts are compared as UTF-8 with ASCII and Latin-1 case folded and every run of
 ASCII blanks and punctuation as one blank; characters are its bytes.
 """

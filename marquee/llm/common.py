@@ -12,11 +12,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> str:
+    """The path of ``df``, written to the cluster's shared checkpoint folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the cluster's shared checkpoint folder: lineage is
     cut and a lost executor costs only its running tasks."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path = stored(df, name)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

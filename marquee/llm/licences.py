@@ -23,11 +23,9 @@ HINT = "(?i)licen[sc]e|copyright|spdx|warrant|permission|redistribut|public doma
 MORE = "general public|as is|source code|mpl|hope that"
 # Every known sentence holds one of these words or of HINT's (tests/llm/test_licences.py).
 KNOWN = "(?i)released|dedicated|distributed|reserved|warranties|endorse|mpl"
-# A tag's colon and the full stop of "v. 2" are none of the cuts.
+# A tag's colon and the full stop of "v. 2" end no sentence.
 TAG = "(?i)(license-identifier):"
 VERSION = "(?<![a-z0-9])v[.][^a-z0-9]*(?=[0-9])"
-# The cuts of the SQL: line ends, and blanks after a full stop, semicolon or colon.
-CUT = "\\n+|(?:[.;:]) +"
 # Marks in a normalised text: end of a sentence, of a line, of a clause.
 END, LINE, CLAUSE = "\x01", "\x02", "\x03"
 SENTENCE_END = "[.](?: +|[ \\t\\r]*(?=\\n)|$)|\\n[^a-z0-9]*\\n"
@@ -130,10 +128,6 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 
 
-def _anchored(pattern: str) -> str:
-    return "^" + pattern.replace("2.0", "2[.]0").replace("3.0", "3[.]0").replace("4.0", "4[.]0").replace("1.0", "1[.]0") + "$"
-
-
 def _normalised(sentence: Column) -> Column:
     """Words between single blanks and marks, without what surrounds a line's text
     (comment signs, bullets, dashes)."""
@@ -216,32 +210,65 @@ def licence_scan(docs: DataFrame) -> DataFrame:
     )
 
 
+def _spanning_sql(pattern: str) -> str:
+    """``_spanning`` without lookarounds: marks are doubled in the SQL, so that two
+    sentences with a mark between them take one each, and put it back."""
+    body = _spanning(pattern).removeprefix(f"(?<![^{LINE}{CLAUSE}])").removesuffix(f"(?![^{LINE}{CLAUSE}])")
+    body = body.replace("(?:", "(").replace("(", "(?:")
+    return f"(^|[{LINE}{CLAUSE}]){body}($|[{LINE}{CLAUSE}])"
+
+
 def scan_sql() -> str:
-    """The same in DuckDB SQL."""
+    """The same in DuckDB SQL, whose patterns have no lookarounds, and without the
+    words that the operator looks for first."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    ident = "CASE " + " ".join(f"WHEN regexp_matches(s, {quote(_anchored(p))}) THEN '{n}'" for n, p in SENTENCES) + " END"
+    replaced = lambda s, pattern, by: f"regexp_replace({s}, {quote(pattern)}, {quote(by)}, 'g')"
+    marks = END + LINE + CLAUSE
+    full_stop = "\x04"  # at the end of a line
+    normal = f"lower(translate(text, {quote(marks + full_stop)}, '    '))"
+    for pattern, by in (
+        (TAG.removeprefix("(?i)"), r"\1"),
+        ("(^|[^a-z0-9])v[.][^a-z0-9]*([0-9])", r"\1v \2"),
+        (r"[.]([ \t\r]*\n)", full_stop + r"\1"),
+        (rf"{full_stop}[ \t\r]*|[.](?: +|$)|\n[^a-z0-9]*\n", END),
+        (r"[;:](?: +|[ \t\r]*(\n))", CLAUSE + r"\1"),
+        ("\n", LINE),
+        (DROPPED.replace("[^", "[^" + marks), " "),
+        (f"[ ./-]+([{marks}])", r"\1"),
+        (f"([{marks}])[ ./-]+", r"\1"),
+    ):
+        normal = replaced(normal, pattern, by)
+    sentence = replaced("s", f"([{LINE}{CLAUSE}])", r"\1\1")
+    for name, pattern in SENTENCES:
+        tail = "~" if pattern.endswith((".*", ".*)?")) else ""
+        sentence = replaced(sentence, _spanning_sql(pattern), rf"\1<{name}{tail}>\2")
+    sentence = replaced(sentence, f"~>[^<{CLAUSE}]*", ">")
     rest, tests = "sequence", []
     for name, ids in RULES:
         own = "".join(f"<{i}>" for i in ids)
         tests.append(f"CASE WHEN contains({rest}, '{own}') THEN '{name}' END")
         rest = f"replace({rest}, '{own}', '<>')"
-    hint = quote(HINT)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    hint = HINT.removeprefix("(?i)")
+    blanks = "[ \t\n\x0b\f\r]+"
     return f"""
-WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-cut AS (
-  SELECT doc_id, CASE WHEN regexp_matches(text, {hint})
-    THEN list_filter(string_split_regex(regexp_replace(text, {quote(TAG)}, '\\1', 'g'), {quote(CUT)}),
-                     lambda s: regexp_matches(s, {hint}) OR regexp_matches(lower(s), 'general public|as is|source code|mpl|hope that'))
-    ELSE [] END AS l FROM doc
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_matches(translate(coalesce(text, ''), '{letters.upper()}', '{letters}'), {quote(hint.replace(" ", blanks))}) AS hinted
+  FROM documents
+), cut AS (
+  SELECT doc_id, hinted, list_transform(string_split(trim({normal}, ' ./-'), {quote(END)}), lambda s: {sentence}) AS cut FROM doc
 ), known AS (
-  SELECT doc_id, l, list_filter(list_transform(
-           list_transform(l, lambda x: trim(regexp_replace(lower(x), {quote(DROPPED)}, ' ', 'g'), ' ./-')),
-           lambda s: {ident}), lambda x: x IS NOT NULL) AS ids FROM cut
+  SELECT doc_id, hinted, flatten(list_transform(cut, lambda s: regexp_extract_all(s, '<([A-Za-z0-9]+)>', 1))) AS ids,
+         flatten(list_transform(cut, lambda s: string_split_regex(regexp_replace(s, '{LINE}+', ' ', 'g'), '<[A-Za-z0-9]+>|{CLAUSE}'))) AS rest
+  FROM cut
 ), seq AS (
-  SELECT doc_id, len(l)::BIGINT AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
-         array_to_string(list_transform(ids, lambda x: '<' || x || '>'), '') AS sequence FROM known
-), hits AS (SELECT *, list_filter([{', '.join(tests)}], lambda x: x IS NOT NULL) AS found FROM seq)
-SELECT doc_id, n_sentences, coalesce(sentence_ids, '') AS sentence_ids,
+  SELECT doc_id, (len(ids) + len(list_filter(rest, lambda s: regexp_matches(s, {quote(hint)})
+                                                  OR (hinted AND regexp_matches(s, {quote(MORE)})))))::BIGINT AS n_sentences,
+         coalesce(array_to_string(ids, ','), '') AS sentence_ids,
+         coalesce(array_to_string(list_transform(ids, lambda x: '<' || x || '>'), ''), '') AS sequence FROM known
+), hits AS (SELECT *, list_filter([{", ".join(tests)}], lambda x: x IS NOT NULL) AS found FROM seq)
+SELECT doc_id, n_sentences, sentence_ids,
        CASE WHEN len(found) > 0 THEN array_to_string(list_filter(found, lambda x, i: list_position(found, x) = i), ',')
             WHEN n_sentences > 0 THEN 'UNKNOWN' ELSE '' END AS licences
 FROM hits"""

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import itertools
+import random
 import re
 
 import pytest
 
-from marquee.llm.licences import RULES, SENTENCES, licence_scan
+from marquee.llm.licences import RULES, SENTENCES, licence_scan, scan_sql
 
 MIT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -188,3 +189,20 @@ def test_wrapped_notices(spark, sign):
 def test_wrapped_lines_are_one_sentence(make_docs):
     (row,) = licence_scan(make_docs([(1, "You need permission\nof the copyright holder.\nMore prose.")])).collect()
     assert (row.n_sentences, row.licences) == (1, "UNKNOWN")
+
+
+def test_sql_agrees_on_mixed_texts(make_docs):
+    """Notices, known sentences and plain ones joined by all kinds of ends, in SQL and Spark."""
+    import duckdb
+    import pandas as pd
+
+    r = random.Random(8)
+    known = [t for _, pattern in SENTENCES for t in examples(re._parser.parse(re.sub(r"[.](?![*])", "[.]", pattern)))[:2]]
+    plain = ["plain words", "You need permission", "public\ndomain", "the source code v. 2", "a -- b", "LicenSe: x", "v.\n2.0", "é İ ok", "mpl"]
+    ends = [". ", ".\n", "\n", "; ", ": ", ";\n", "\n\n", ". \n", "\n---\n", ".\r\n", " ", " ./- ", ".\t\n", "\x01", "\x02", "..", "\n // "]
+    texts = ["".join(r.choice(known + plain + list(NOTICES.values())) + r.choice(ends) for _ in range(r.randint(1, 9))) for _ in range(1500)]
+    docs = list(enumerate(texts)) + [(9000, None), (9001, "")]
+    want = {(x.doc_id, x.n_sentences, x.sentence_ids, x.licences) for x in licence_scan(make_docs(docs)).collect()}
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    assert set(con.execute(scan_sql()).fetchall()) == want

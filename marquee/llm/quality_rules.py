@@ -174,6 +174,13 @@ def binomial_tail(n: Column, k: Column, p: float, terms: int = 20_000) -> Column
     return F.when(k < n * p, F.least(F.lit(1.0), F.exp(log_first) * (total["s"] + rest))).otherwise(F.lit(1.0))
 
 
+def good_ids(labels: DataFrame) -> DataFrame:
+    """doc_id of the documents all of whose labels are good."""
+    known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL")
+    worst = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("__q"))
+    return worst.filter("__q = 1").select("doc_id")
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, *, risk: float = 0.01, error: float = 0.05) -> DataFrame:
     """stratum and a column per rule with its cutoff (null: none), from
     ``measured`` (doc_id, stratum, measures) and ``labels`` (doc_id, quality; 1
@@ -181,14 +188,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, *, risk: float = 0.01, error
 
     Labels are deduplicated per doc_id (good only if all its labels are); null
     qualities are ignored."""
-    good = (
-        labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.min("quality").alias("__q"))
-        .filter("__q = 1")
-        .select("doc_id")
-    )
-    graded = measured.join(good, "doc_id", "left_semi")
+    graded = measured.join(good_ids(labels), "doc_id", "left_semi")
     m = F.col("measures")
     counts = [
         F.sum(rejects(rule, m, F.lit(c)).cast("long")).alias(f"{rule}_{i}")
@@ -271,14 +271,14 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01,
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01, error: float = 0.05) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns. Texts are measured
-    twice -- for the cutoffs, then in place -- and never moved.
+    """The rows of ``docs`` that are kept, with their columns. Texts are measured in
+    place and never moved; those with good labels once more before, for the cutoffs.
 
     The filter must not be pushed below the measures, where it would repeat
     their expressions; a row number, which isn't deterministic, holds it."""
-    measured = with_measures(docs.select("doc_id", "text", *(["lang"] if "lang" in docs.columns else []))).select(
-        "doc_id", stratum_of(docs).alias("stratum"), F.col("__measures").alias("measures")
-    )
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", stratum_of(docs).alias("stratum"))
+    graded = named.join(good_ids(labels), "doc_id", "left_semi")
+    measured = with_measures(graded).select("doc_id", "stratum", F.col("__measures").alias("measures"))
     limits = written(cutoffs(measured, labels, risk=risk, error=error), "quality-cutoffs")
     numbered = with_measures(docs).withColumn("__row", F.monotonically_increasing_id())
     kept = judged(numbered, limits).filter("__kept AND __row >= 0")

@@ -15,7 +15,7 @@ from .negatives import hard_negatives, negatives_sql
 from .packing import pack
 from .pii import with_surrogates
 from .ranking import ranked_quality
-from .quality_rules import RULES, quality_verdicts
+from .quality_rules import CHAIN, RULES, WINDOW, quality_verdicts
 from .sharding import histogram_sort
 from .suffixes import without_repeats
 from .toxicity import toxicity_scores
@@ -129,8 +129,9 @@ QUERIES = {
 
 
 
-def _rules_sql() -> str:
-    """The quality rules in DuckDB SQL, from the contract's definitions."""
+def rules_sql() -> str:
+    """The quality rules in DuckDB SQL, from the contract's definitions: windows of
+    words by rows, both halves of the error as running minima."""
 
     def value(rule: str) -> str:
         above, below, _, _ = RULES[rule]
@@ -140,13 +141,14 @@ def _rules_sql() -> str:
         return f"coalesce({value(rule)} {'>' if RULES[rule][2] else '<'} {cutoff}, false)"
 
     grid = " UNION ALL ".join(
-        f"SELECT stratum, '{rule}' AS rule, {i} AS step, {c}::DOUBLE AS cutoff, count(*) AS n, "
-        f"count(*) FILTER (WHERE {reject(rule, f'{c}::DOUBLE')}) AS k FROM good GROUP BY stratum"
+        f"SELECT stratum, '{rule}' AS rule, {i} AS step, {CHAIN.index(rule) if i == 0 else 100 * (1 + CHAIN.index(rule)) + i} AS turn, "
+        f"{c}::DOUBLE AS cutoff, count(*) AS n, count(*) FILTER (WHERE {reject(rule, f'{c}::DOUBLE')}) AS k FROM good GROUP BY stratum"
         for rule, spec in RULES.items()
         for i, c in enumerate(spec[3])
     )
     chosen = ", ".join(f"max_by(cutoff, step) FILTER (WHERE passed AND rule = '{rule}') AS c_{rule}" for rule in RULES)
     bad = " OR ".join(reject(rule, f"c_{rule}") for rule in RULES)
+    following = ", ".join(f"lead(h, {k}) OVER text_order" for k in range(1, WINDOW))
     return f"""
 WITH doc AS (
   SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
@@ -154,13 +156,19 @@ WITH doc AS (
          list_filter(string_split(coalesce(text, ''), chr(10)),
                      lambda l: regexp_matches(l, '[^ \\t\\n\\x0B\\f\\r]')) AS lines
   FROM documents
-), place AS (
-  SELECT doc_id, unnest(range(1, len(words) - 6)) AS i, words FROM doc WHERE len(words) >= 8
+), word AS (
+  SELECT doc_id, generate_subscripts(hashes, 1) AS i, unnest(hashes) AS h
+  FROM (SELECT doc_id, list_transform(words, lambda w: hash(w)) AS hashes FROM doc)
 ), win AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS times FROM place
+  SELECT doc_id, i, hash(h, {following}) AS win, lead(h, {WINDOW - 1}) OVER text_order IS NOT NULL AS whole
+  FROM word WINDOW text_order AS (PARTITION BY doc_id ORDER BY i)
+), twice AS (
+  SELECT doc_id, win FROM win WHERE whole GROUP BY doc_id, win HAVING count(*) > 1
+), place AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+  FROM win JOIN twice USING (doc_id, win) WHERE whole
 ), rep AS (
-  SELECT doc_id, count(DISTINCT j) AS n_repeat_words
-  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM win WHERE times > 1) GROUP BY doc_id
+  SELECT doc_id, sum(coalesce(least({WINDOW}, i - before), {WINDOW})) AS n_repeat_words FROM place GROUP BY doc_id
 ), m AS MATERIALIZED (
   SELECT doc_id, stratum, len(words)::BIGINT AS n_words,
          length(array_to_string(words, ''))::BIGINT AS word_chars,
@@ -175,12 +183,13 @@ WITH doc AS (
   SELECT m.* FROM m WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)
 ), grid AS ({grid}
 ), tail AS (
-  SELECT *, CASE WHEN k >= n * {RISK} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+  SELECT *, {ERROR} / 2 / (SELECT count(DISTINCT stratum) FROM good) AS half,
+         CASE WHEN k >= n * {RISK} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
            exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) END AS p
   FROM grid
 ), tested AS (
-  SELECT *, bool_and(p <= {ERROR} / (SELECT count(DISTINCT stratum) * {len(RULES)} FROM good))
-            OVER (PARTITION BY stratum, rule ORDER BY step) AS passed
+  SELECT *, bool_and(p <= half / {len(RULES)}) OVER (PARTITION BY stratum, rule ORDER BY step)
+            OR bool_and(p <= half) OVER (PARTITION BY stratum ORDER BY turn) AS passed
   FROM tail
 ), lim AS (SELECT stratum, {chosen} FROM tested GROUP BY stratum
 ), verdict AS (
@@ -195,7 +204,7 @@ FROM verdict"""
 PLANTED_SQL = f"SELECT -1, 0, 'user', '{CONFLICT}' UNION ALL SELECT -1, 1, 'assistant', '{CONFLICT}'"
 
 SQL: dict[str, str] = {
-    "op2_risk_controlled_rules": _rules_sql(),
+    "op2_risk_controlled_rules": rules_sql(),
     "op8_licence_sentences": scan_sql(),
     "op11_inverted_multi_index": negatives_sql(),
     "op12_grammar_round_trip": digest_sql(PLANTED_SQL),

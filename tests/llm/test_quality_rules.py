@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from marquee.llm import queries
 from marquee.llm.quality_rules import CHAIN, RULES, binomial_tail, cutoffs, keep_good, quality_verdicts, with_measures
 
 from .conftest import LABELS
@@ -115,3 +118,54 @@ def test_odd_rows(spark, odd_docs, no_docs):
     empty = spark.createDataFrame([], LABELS)
     assert quality_verdicts(no_docs, empty).count() == 0
     assert quality_verdicts(odd_docs, empty).filter("kept").count() == 5
+
+
+def test_sql_agrees_where_cutoffs_are_certified(spark, tmp_path):
+    """Labels enough for both halves of the error in one language, for the chain
+    only in a second and for nothing in a third; documents on both sides of the cutoffs."""
+    r = random.Random(4)
+    docs, labels = [], []
+
+    def text(kind):
+        words = [f"{r.choice('abcdefg')}ord{r.randint(0, 999)}" for _ in range(40)]
+        if kind == "symbols":
+            words = [w + r.choice(["", "#", "*$"]) for w in words]
+        if kind == "shouts":
+            words = [w + "!" * r.randint(0, 1) for w in words]
+        if kind == "long":
+            words = [w * 3 for w in words]
+        if kind == "few":
+            words = [r.choice(words[:5]) + str(i % 2) for i in range(40)]
+        if kind == "lines":
+            words = [*words, "\nsame line", "\nsame line", "\nsame line"]
+        if kind == "repeats":
+            words = words + words[:9]
+        return " ".join(words)
+
+    for lang, n in (("aa", 900), ("bb", 640), (None, 60)):
+        for _ in range(n):
+            labels.append((len(docs), 1, 0))
+            docs.append((len(docs), text("long" if lang == "bb" and r.random() < 0.3 else "plain"), lang, "s", 1))
+        for kind in ("symbols", "shouts", "long", "few", "lines", "repeats", "plain"):
+            for _ in range(25):
+                docs.append((len(docs), text(kind), lang, "s", 1))
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    df = queries.QUERIES["op2_risk_controlled_rules"](spark, str(tmp_path))
+    got = sorted(map(tuple, df.collect()))
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    found = con.execute(queries.SQL["op2_risk_controlled_rules"])
+    assert [c[0] for c in found.description] == df.columns and sorted(found.fetchall()) == got
+
+    measured = with_measures(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    measured = measured.select("doc_id", F.coalesce("lang", F.lit("")).alias("stratum"), F.col("__measures").alias("measures"))
+    limits = {x.stratum: x.asDict() for x in cutoffs(measured, spark.createDataFrame(labels, LABELS)).collect()}
+    certified = {lang: sum(limits[lang][rule] is not None for rule in RULES) for lang in limits}
+    assert certified["aa"] >= 5 and 1 <= certified["bb"] <= certified["aa"] and certified[""] == 0
+    kept, base = df.columns.index("kept"), df.columns.index("base_failed")
+    assert sum(not x[kept] and not x[base] for x in got) > 100
+    # what the pipeline's first stage keeps is the same
+    rows = keep_good(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    assert {x.doc_id for x in rows.collect()} == {x[0] for x in got if x[kept]}

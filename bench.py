@@ -1,21 +1,20 @@
 """Bench: the 25 questions on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
 1. Map the driver's tables to the seven catalogue tables and land them once
-   (timed, reported as ``land_sec``) in a fresh folder under the session's
-   checkpoint dir: plain Parquet folders (``BENCH_LAYOUT=plain``, the default:
-   shuffle joins, where AQE can split a skewed key) or bucketed on the join
-   keys (``BENCH_LAYOUT=bucketed``).
-   Then, as ``plans.job.run_all`` does, the relations several questions start
-   from -- titles ⨝ ratings, and the credits with their rating and titles -- are
-   written once as shared tables (timed, reported as ``share_sec``).
+   (timed, reported as ``land_sec``) as Parquet folders under the session's
+   checkpoint dir. Then, as ``plans.job.run_all`` does, the relation several
+   questions start from, titles ⨝ ratings, is written once as a shared table
+   (timed, reported as ``share_sec``).
 2. Per question: one warm-up, then the median of 5 runs of a ``noop`` write
    (the full result is computed, nothing is collected to the driver).
 3. Like for like, both on the landed tables without the shared ones
    (``like_for_like``): the questions whose reference form is a window or pivot
-   that we wrote differently (Q7, Q14, Q16-Q19, Q23, Q25), ours and the literal
-   form as Spark SQL; and, with and without the shared credits, Q9-Q11, Q16 and
-   Q18 (``without_shared``).
-4. Per question, the initial plan's exchange / join / broadcast / window counts
+   that we wrote differently (Q7, Q10, Q14, Q16-Q19, Q23, Q25), ours and the
+   literal form as Spark SQL.
+4. What sharing costs and gains (``shared_rated``, ``shared_credits``): the seconds
+   to write the table, and the sums over the questions that use it with and
+   without it. The credits table is not used elsewhere in the bench.
+5. Per question, the initial plan's exchange / join / broadcast / window counts
    (``plans``).
 
 Prints one JSON line.
@@ -29,7 +28,6 @@ import statistics
 import sys
 import tempfile
 import time
-import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -38,13 +36,30 @@ from marquee.plans.inspect import operator_counts, physical_plan  # noqa: E402
 from marquee.plans.job import shared  # noqa: E402
 from marquee.plans.registry import QUESTION_KEYS, REGISTRY, present  # noqa: E402
 from marquee.session import local_session, scratch_path  # noqa: E402
-from marquee.sources import (  # noqa: E402
-    land_bucketed,
-    land_catalog,
-    load_parquet,
-    load_tables,
-    load_testdata,
+from marquee.sources import land_catalog, load_parquet, load_testdata  # noqa: E402
+
+USE_RATED = (
+    "top_titles_by_votes",
+    "titles_above_rating",
+    "top_titles_per_year",
+    "rating_vs_genre_year_mean",
+    "top_writer_genre_sets",
+    "top_genre_set_per_decade",
+    "youngest_actors",
+    "titles_per_year",
+    "genre_rating_by_region",
 )
+USE_CREDITS = ("worst_rated_actors", "most_improved_people", "actors_by_genre_count", "people_by_rating_spread", "longest_careers")
+
+# Q10's window as the reference has it: first and last rating over each person's
+# titles by startYear, up to the current one.
+Q10_LITERAL = """
+WITH w AS (
+  SELECT p.nconst, last(r.averageRating) OVER byYear - first(r.averageRating) OVER byYear AS gain
+  FROM title_principals p JOIN title_basics t ON p.tconst = t.tconst JOIN title_ratings r ON p.tconst = r.tconst
+  WINDOW byYear AS (PARTITION BY p.nconst ORDER BY t.startYear)
+), m AS (SELECT nconst, max(gain) AS max_improvement FROM w GROUP BY nconst)
+SELECT primaryName, max_improvement FROM m JOIN name_basics USING (nconst) ORDER BY max_improvement DESC"""
 
 
 def _noop(df) -> None:
@@ -58,7 +73,6 @@ def main() -> None:
     keys = os.environ.get("BENCH_KEYS")
     keys = keys.split(",") if keys else QUESTION_KEYS
 
-    layout = os.environ.get("BENCH_LAYOUT", "plain")
     parts = 2 * cpus
 
     spark = local_session(
@@ -75,12 +89,7 @@ def main() -> None:
 
     t0 = time.perf_counter()
     mapped = load_testdata(spark, sf_dir)
-    if layout == "bucketed":
-        db = f"bench_{uuid.uuid4().hex[:8]}"
-        land_bucketed(mapped, db, buckets=parts, location=scratch_path(spark, db))
-        cat = load_tables(spark, db)
-    else:
-        cat = load_parquet(spark, land_catalog(mapped, scratch_path(spark, "bench-catalog"), files=parts))
+    cat = load_parquet(spark, land_catalog(mapped, scratch_path(spark, "bench-catalog"), files=parts))
     land_sec = time.perf_counter() - t0
 
     def timed(build) -> float:
@@ -94,7 +103,7 @@ def main() -> None:
 
     plain = cat
     t0 = time.perf_counter()
-    sharing = shared(cat)
+    sharing = shared(plain)
     cat = sharing.__enter__()
     share_sec = time.perf_counter() - t0
 
@@ -116,13 +125,14 @@ def main() -> None:
     # SQL, which keeps them), run on Spark SQL over the same landed tables, next
     # to ours over those tables: the measured gain -- or cost -- of each rewrite.
     like: dict[str, dict[str, float]] = {}
-    without: dict[str, float] = {}
+    gains: dict[str, dict[str, float]] = {}
     if os.environ.get("BENCH_LITERAL", "1") == "1":
         for name, df in plain.items():
             df.createOrReplaceTempView(O.TABLE_OF[name])
         params = {s.key: s.params for s in REGISTRY.values()}
         forms = {
             "rating_vs_genre_year_mean": O.q7(),
+            "most_improved_people": Q10_LITERAL,
             "series_by_episode_count": O.q14(10),
             "people_by_rating_spread": O.q16(10),
             "titles_by_alias_count": O.q17(10),
@@ -145,9 +155,17 @@ def main() -> None:
                 "ours": timed(lambda: present(REGISTRY[key].build(plain))),
                 "literal": timed(lambda: spark.sql(sql)),
             }
-        for key in ("worst_rated_actors", "most_improved_people", "actors_by_genre_count", "people_by_rating_spread", "longest_careers"):
-            if key in timings:
-                without[key] = timed(lambda: REGISTRY[key].build(plain))
+        alone = {key: like[key]["ours"] if key in like else timed(lambda: REGISTRY[key].build(plain)) for key in {*USE_RATED, *USE_CREDITS} & {*timings}}
+        t0 = time.perf_counter()
+        with shared(plain, credits=True) as full:
+            credits_sec = max(0.0, time.perf_counter() - t0 - share_sec)
+            of_credits = {key: timed(lambda: REGISTRY[key].build(full)) for key in USE_CREDITS if key in timings}
+        for name, cost, with_it in (("shared_rated", share_sec, {k: timings[k] for k in USE_RATED if k in timings}), ("shared_credits", credits_sec, of_credits)):
+            gains[name] = {
+                "write": round(cost, 4),
+                "with": round(sum(with_it.values()), 4),
+                "without": round(sum(alone[k] for k in with_it), 4),
+            }
 
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
@@ -161,9 +179,8 @@ def main() -> None:
                 "land_sec": round(land_sec, 4),
                 "share_sec": round(share_sec, 4),
                 "total_with_landing_and_sharing": round(sum(timings.values()) + land_sec + share_sec, 4),
-                "layout": layout,
                 "like_for_like": like,
-                "without_shared": without,
+                **gains,
                 "plans": plans,
                 "cpus": cpus,
                 "runs": runs,

@@ -46,6 +46,19 @@ def rated_titles(cat: Catalog) -> DataFrame:
     return cat.titles.join(cat.ratings, "tconst")
 
 
+def join_rated_titles(rows: DataFrame, cat: Catalog, condition: Column, columns: Sequence[str] = ()) -> DataFrame:
+    """``rows`` (keyed by tconst) ⨝ the titles that meet ``condition`` ⨝ ratings,
+    with ``columns`` of both (``averageRating``, ``numVotes`` are of ratings).
+
+    ``rows`` meet the selection first, so ratings join what is left of them; both
+    joins are on tconst, and beyond the broadcast threshold share its shuffle."""
+    if cat.rated is not None:
+        return rows.join(cat.rated.filter(condition).select("tconst", *columns), "tconst")
+    own = [c for c in columns if c in ("averageRating", "numVotes")]
+    selected = cat.titles.filter(condition).select("tconst", *[c for c in columns if c not in own])
+    return rows.join(selected, "tconst").join(cat.ratings.select("tconst", *own), "tconst")
+
+
 def rated_credits(cat: Catalog) -> DataFrame:
     """principals ⨝ ratings: tconst, nconst, category, averageRating; from the
     catalogue's shared credits when it carries them."""

@@ -12,6 +12,7 @@ from ..functions import ACTING_CATEGORIES, has_any
 from .common import (
     acting_credits,
     finish,
+    join_rated_titles,
     rated_credits,
     rated_titled_credits,
     rated_titles,
@@ -189,13 +190,11 @@ def youngest_actors(
     """Q23. Acting credits on rated titles started in ``year``, counted per
     (primaryName, birthYear); the ``n`` youngest (null birthYear last; ties:
     name), ranked 1..n."""
-    titles = rated_titles(cat).filter(F.col("startYear") == year).select("tconst")
+    credits = acting_credits(cat.principals, categories).select("tconst", "nconst")
     # credits per person first (partial aggregation before the shuffle, so a
     # hot person is one row per map task), then the name join sees one row
     # per person; namesakes of one birth year are summed after it
-    per_person = (
-        acting_credits(cat.principals, categories).select("tconst", "nconst").join(titles, "tconst").groupBy("nconst").count()
-    )
+    per_person = join_rated_titles(credits, cat, F.col("startYear") == year).groupBy("nconst").count()
     counts = with_names(per_person, cat.people, cols=("primaryName", "birthYear")).groupBy(
         "primaryName", "birthYear"
     ).agg(F.sum("count").alias("count"))

@@ -12,6 +12,7 @@ from ..functions import has_any
 from .common import (
     TITLE_COLUMNS,
     finish,
+    join_rated_titles,
     rated_titles,
     top_k_per_group,
     with_title,
@@ -103,22 +104,17 @@ def genre_rating_by_region(
     start year and alias region, one column per region.
 
     A title counts once per matching alias row (several US aliases weight it).
-    Aliases are counted per (title, region) first -- partially before the
-    shuffle, so a title with a third of all aliases costs a few rows per map
-    task -- and the counts weigh the ratings. One conditional aggregation gives
-    all regions; a region with no rows gives null. That is the pivot without its
-    extra distinct-values job and second aggregation."""
+    Aliases meet the selected titles first, so only theirs are joined to ratings
+    and averaged -- partially before the shuffle, a row per year and map task; the
+    join's partition of a title with a third of all aliases is split by AQE. One
+    conditional aggregation gives all regions (the pivot without its second
+    aggregation); a region with no rows gives null."""
     codes = [code for code, _ in regions]
-    titles = (
-        rated_titles(cat)
-        .filter(has_any("genres", [genre]) & F.col("startYear").between(year_from, year_to))
-        .select("tconst", "startYear", "averageRating")
-    )
-    aliases = cat.akas.filter(F.col("region").isin(codes)).groupBy(F.col("titleId").alias("tconst"), "region").count()
-    rows = aliases.join(titles, "tconst")
+    aliases = cat.akas.filter(F.col("region").isin(codes)).select(F.col("titleId").alias("tconst"), "region")
+    wanted = has_any("genres", [genre]) & F.col("startYear").between(year_from, year_to)
+    rows = join_rated_titles(aliases, cat, wanted, ("startYear", "averageRating"))
     rating = F.col("averageRating").cast("double")
-    of = lambda code, value: F.sum(F.when((F.col("region") == code) & rating.isNotNull(), value))
     out = rows.groupBy("startYear").agg(
-        *[(of(code, rating * F.col("count")) / of(code, F.col("count"))).alias(name) for code, name in regions]
+        *[F.avg(F.when(F.col("region") == code, rating)).alias(name) for code, name in regions]
     )
     return out.select("startYear", *[name for _, name in regions])

@@ -1,10 +1,10 @@
 """Batch job: run every question and write each result as Parquet.
 
 This is the reference's run-everything script re-aimed: results are written
-(distributed, one folder per question) instead of printed only. Two relations
-several questions start from are computed once, as tables that live as long as
-the job: titles ⨝ ratings (Q1, Q2, Q6, Q7, Q20, Q22-Q25), and a narrow credits
-table with each credit's rating and titles (Q9-Q11, Q16, Q18). A lost executor
+(distributed, one folder per question) instead of printed only. Relations that
+several questions start from can be computed once, as tables that live as long as
+the job: titles ⨝ ratings (Q1, Q2, Q6, Q7, Q20, Q22-Q25), and, if asked for, a narrow
+credits table with each credit's rating and titles (Q9-Q11, Q16, Q18). A lost executor
 only costs the tasks it ran: every stage reads files.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..operators import rated_titles
-from ..sources import preview
+from ..sources import preview, preview_written
 from .registry import QUESTION_KEYS, REGISTRY
 
 
@@ -41,9 +41,13 @@ def credits_table(catalog: Catalog) -> DataFrame:
 
 
 @contextmanager
-def shared(catalog: Catalog, *, credits: bool = True) -> Iterator[Catalog]:
+def shared(catalog: Catalog, *, credits: bool = False) -> Iterator[Catalog]:
     """The catalogue with its shared relations as managed tables, dropped at the
-    end. Results read from it must be written or shown before that."""
+    end. Results read from it must be written or shown before that.
+
+    The credits table is off by default: writing it cost more than the five
+    questions gained from it wherever it was measured (``bench.py``,
+    ``shared_credits``). It may pay where joining credits to titles dominates."""
     spark = catalog.spark
     made: list[str] = []
 
@@ -70,6 +74,7 @@ def run_all(
     keys: Iterable[str] | None = None,
     reference_params: bool = True,
     share: bool = True,
+    share_credits: bool = False,
     mode: str = "overwrite",
     rows: int = 0,
 ) -> dict[str, str]:
@@ -78,10 +83,10 @@ def run_all(
 
     ``reference_params`` runs each question with its defaults (the reference's
     literals); otherwise with the registry's parameters for the driver's data.
-    A question that is both written and printed is computed once: its result is
-    cached between the two."""
+    A question that is both written and printed is computed once: what is printed
+    is read from what was written."""
     if share:
-        with shared(catalog) as cat:
+        with shared(catalog, credits=share_credits) as cat:
             return run_all(
                 cat, out_dir, keys=keys, reference_params=reference_params, share=False, mode=mode, rows=rows
             )
@@ -91,15 +96,14 @@ def run_all(
     for key in keys or QUESTION_KEYS:
         spec = REGISTRY[key]
         df = Q.QUESTIONS[spec.number](catalog) if reference_params else spec.build(catalog)
-        both = bool(out_dir) and rows > 0
-        if both:
-            df = df.persist()
         if out_dir:
             out[key] = f"{out_dir.rstrip('/')}/{key}"
             df.write.mode(mode).parquet(out[key])
         if rows:
             print(f"Q{spec.number} {key}")
-            preview(df, n=rows, truncate=key != "longest_careers")
-        if both:
-            df.unpersist()
+            whole = key == "longest_careers"
+            if out_dir:
+                preview_written(catalog.spark, out[key], n=rows, truncate=not whole)
+            else:
+                preview(df, n=rows, truncate=not whole)
     return out

@@ -17,6 +17,9 @@ from pyspark.sql.types import ArrayType
 from .. import operators as Q
 from ..catalog import Catalog
 from ..functions import list_text
+from ..schemas import TABLES
+from ..session import scratch_path
+from ..sources import read_table, write_tsv
 from ..sources.testdata import load_testdata
 from . import oracle as O
 
@@ -48,10 +51,22 @@ def _src(table: str) -> Spec:
     return Spec(f"src_{table}", None, lambda cat, t=table: getattr(cat, t), O.source_sql(table))
 
 
+def _tsv(table: str) -> Spec:
+    """The table written as TSV and read back by the reader of the public files."""
+
+    def build(cat: Catalog) -> DataFrame:
+        base = scratch_path(cat.spark, "tsv")
+        write_tsv(getattr(cat, table), f"{base}/{TABLES[table][1]}")
+        return read_table(cat.spark, base, table)
+
+    return Spec(f"tsv_{table}", None, build, O.source_sql(table))
+
+
 ECONOMY = "ECONOMY"  # a part type standing in for a genre on the driver's data
 
 SPECS: list[Spec] = [
     *[_src(t) for t in Catalog.names()],
+    *[_tsv(t) for t in Catalog.names()],
     _q("top_titles_by_votes", 1, Q.top_titles_by_votes, O.q1(2000, 10), since_year=2000, n=10),
     _q("titles_above_rating", 2, Q.titles_above_rating, O.q2(2000, 8), after_year=2000, min_rating=8),
     _q("top_directors_by_rating", 3, Q.top_directors_by_rating, O.q3(10), n=10),

@@ -1,5 +1,5 @@
-from .parquet import BUCKET_KEYS, land_bucketed, land_catalog, load_parquet, load_tables, write_table
-from .sinks import preview
+from .parquet import land_catalog, load_parquet, write_table
+from .sinks import preview, preview_written
 from .testdata import load_testdata
 from .tsv import (
     load_tsv,
@@ -12,16 +12,16 @@ from .tsv import (
     read_table,
     read_titles,
     read_tsv,
+    save_tsv,
+    write_tsv,
 )
 
 __all__ = [
-    "BUCKET_KEYS",
-    "land_bucketed",
-    "load_tables",
     "land_catalog",
     "load_parquet",
     "write_table",
     "preview",
+    "preview_written",
     "load_testdata",
     "load_tsv",
     "read_akas",
@@ -33,4 +33,6 @@ __all__ = [
     "read_table",
     "read_titles",
     "read_tsv",
+    "save_tsv",
+    "write_tsv",
 ]

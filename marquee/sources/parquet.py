@@ -1,22 +1,15 @@
 """Parquet landing: write the catalogue once, query it columnar afterwards.
 
-Two layouts:
+``land_catalog`` / ``load_parquet``: plain Parquet folders, one per table.
+Splittable and column-pruned: a question that uses two columns of
+``principals`` reads two columns.
 
-* ``land_catalog`` / ``load_parquet`` -- plain Parquet folders, one per table.
-  Splittable and column-pruned: a question that uses two columns of
-  ``principals`` reads two columns.
-* ``land_bucketed`` / ``load_tables`` -- catalogue tables bucketed on their
-  join key with one bucket count. ``titles``, ``ratings``, ``crew``,
-  ``principals`` are bucketed on ``tconst``, ``akas`` on ``titleId``,
-  ``episodes`` on ``parentTconst`` and ``people`` on ``nconst``, so every
-  title-key join between them is a sort-merge join *without an exchange* on
-  either side, and a per-title aggregate keeps the partitioning. Choose
-  ``buckets`` so one bucket of the largest table is a few hundred MB (e.g.
-  10 TB of principals -> ~20k buckets); tables with a bucket count that is a
-  multiple of another's still co-locate with
-  ``spark.sql.bucketing.coalesceBucketsInJoin.enabled``.
+There is no layout bucketed on the join keys: a bucket is read by one task, so a
+title with a third of all credits would be one task's work, and adaptive
+execution splits a skewed join only where both sides are shuffled. The plain
+layout's joins are, and it splits them (``tests/test_skew.py``).
 
-Both writes are plain distributed writes; nothing passes through the driver.
+Writes are plain distributed writes; nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -27,18 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..catalog import Catalog
 
-# Join key of each table: the bucket column of the bucketed layout.
-BUCKET_KEYS = {
-    "titles": "tconst",
-    "ratings": "tconst",
-    "crew": "tconst",
-    "principals": "tconst",
-    "episodes": "parentTconst",
-    "akas": "titleId",
-    "people": "nconst",
-}
-
-
 def write_table(df: DataFrame, path: str, *, files: int | None = None, mode: str = "overwrite") -> None:
     """Write ``df`` as balanced Parquet files.
 
@@ -80,38 +61,3 @@ def land_catalog(
 def load_parquet(spark: SparkSession, base_path: str) -> Catalog:
     base = base_path.rstrip("/")
     return Catalog(**{n: spark.read.parquet(f"{base}/{n}") for n in Catalog.names()})
-
-
-def land_bucketed(
-    catalog: Catalog,
-    database: str,
-    *,
-    buckets: int,
-    location: str | None = None,
-    mode: str = "overwrite",
-    parallel: bool = True,
-) -> str:
-    """Write every table as ``database.<name>``, bucketed on its join key.
-
-    ``repartition(buckets, key)`` first, so each bucket is written by one task
-    as one file (without it every write task emits a file per bucket)."""
-    spark = catalog.spark
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
-
-    def write(name: str, df: DataFrame) -> None:
-        key = BUCKET_KEYS[name]
-        (
-            df.repartition(buckets, key)
-            .write.mode(mode)
-            .format("parquet")
-            .bucketBy(buckets, key)
-            .saveAsTable(f"{database}.{name}")
-        )
-
-    _each_table(catalog, write, parallel)
-    return database
-
-
-def load_tables(spark: SparkSession, database: str) -> Catalog:
-    return Catalog(**{n: spark.table(f"{database}.{n}") for n in Catalog.names()})

@@ -63,25 +63,6 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<tconst:string,nconst:string,category:string>" in q8
 
 
-def test_bucketed_layout_removes_title_key_exchanges(spark):
-    from marquee.session import scratch_path
-    from marquee.sources import land_bucketed, load_tables, load_testdata
-
-    land_bucketed(load_testdata(spark, "/root/testdata/sf0.001"), "plan_b", buckets=4, location=scratch_path(spark, "b"))
-    cat = load_tables(spark, "plan_b")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # plan as at scale: no broadcast
-    try:
-        for key in ("worst_rated_actors", "series_by_episode_count", "titles_by_alias_count", "longest_careers"):
-            text = plan(cat, key)
-            assert "SortMergeJoin" in text
-            assert "Exchange hashpartitioning(tconst" not in text, key
-            assert "Exchange hashpartitioning(parentTconst" not in text, key
-            assert "Exchange hashpartitioning(titleId" not in text, key
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_group_means_join_is_left_to_the_planner(spark, small_catalog):
     from marquee.operators import rating_vs_genre_year_mean
 

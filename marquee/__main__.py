@@ -23,12 +23,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--quote", default="", help='TSV quote char ("" = none, the default)')
     ap.add_argument("--out", help="write every full result as Parquet under this folder")
     ap.add_argument("--rows", type=int, default=20, help="rows to print per question (0 = none)")
+    ap.add_argument("--share", action="store_true", help="write titles joined to ratings once, for the questions that start from them")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("marquee").getOrCreate()
     apply_scale_conf(spark)
     cat = load_parquet(spark, args.source) if args.parquet else load_tsv(spark, args.source, quote=args.quote)
-    run_all(cat, args.out, rows=args.rows)
+    run_all(cat, args.out, rows=args.rows, share=args.share)
 
 
 if __name__ == "__main__":

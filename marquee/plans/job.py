@@ -41,13 +41,13 @@ def credits_table(catalog: Catalog) -> DataFrame:
 
 
 @contextmanager
-def shared(catalog: Catalog, *, credits: bool = False) -> Iterator[Catalog]:
+def shared(catalog: Catalog, *, rated: bool = True, credits: bool = False) -> Iterator[Catalog]:
     """The catalogue with its shared relations as managed tables, dropped at the
     end. Results read from it must be written or shown before that.
 
-    The credits table is off by default: writing it cost more than the five
-    questions gained from it wherever it was measured (``bench.py``,
-    ``shared_credits``). It may pay where joining credits to titles dominates."""
+    Opt-in: at the bench's sizes writing either table costs more than its
+    questions gain (``shared_rated`` and ``shared_credits`` in ``bench.py``). It
+    pays where the joins' shuffles dominate, as each is then made once."""
     spark = catalog.spark
     made: list[str] = []
 
@@ -58,7 +58,9 @@ def shared(catalog: Catalog, *, credits: bool = False) -> Iterator[Catalog]:
 
     try:
         base = catalog.with_tables(rated=None, credits=None)
-        out = base.with_tables(rated=table(rated_titles(base), "rated"))
+        out = base
+        if rated:
+            out = out.with_tables(rated=table(rated_titles(base), "rated"))
         if credits:
             out = out.with_tables(credits=table(credits_table(base), "credits"))
         yield out
@@ -73,7 +75,7 @@ def run_all(
     *,
     keys: Iterable[str] | None = None,
     reference_params: bool = True,
-    share: bool = True,
+    share: bool = False,
     share_credits: bool = False,
     mode: str = "overwrite",
     rows: int = 0,
@@ -83,12 +85,13 @@ def run_all(
 
     ``reference_params`` runs each question with its defaults (the reference's
     literals); otherwise with the registry's parameters for the driver's data.
+    ``share`` and ``share_credits`` write the relations of ``shared`` first.
     A question that is both written and printed is computed once: what is printed
     is read from what was written."""
-    if share:
-        with shared(catalog, credits=share_credits) as cat:
+    if share or share_credits:
+        with shared(catalog, rated=share, credits=share_credits) as cat:
             return run_all(
-                cat, out_dir, keys=keys, reference_params=reference_params, share=False, mode=mode, rows=rows
+                cat, out_dir, keys=keys, reference_params=reference_params, mode=mode, rows=rows
             )
     from .. import operators as Q
 

@@ -97,7 +97,7 @@ def test_run_all_writes_every_question_with_its_types(spark, small_catalog):
 
 def test_printed_and_written_results_come_from_one_computation(spark, small_catalog, capsys):
     out = tempfile.mkdtemp(prefix="results-")
-    path = run_all(small_catalog, out, keys=["credits_per_name_and_title"], share=False, rows=5)["credits_per_name_and_title"]
+    path = run_all(small_catalog, out, keys=["credits_per_name_and_title"], rows=5)["credits_per_name_and_title"]
     counts = [int(line.split("|")[3]) for line in capsys.readouterr().out.splitlines() if line.startswith("|") and "Title " in line]
     best = [r["count"] for r in spark.read.parquet(path).orderBy("count", ascending=False).limit(5).collect()]
     assert counts == best  # Q4's most frequent rows, in order
@@ -109,7 +109,7 @@ def test_cli_runs_every_question_on_tsv(spark, small_catalog, capsys):
     from marquee.sources import save_tsv
 
     tmp = save_tsv(small_catalog, tempfile.mkdtemp(prefix="cli-"))
-    main([tmp, "--rows", "3"])
+    main([tmp, "--rows", "3", "--share"])
     text = capsys.readouterr().out
     assert text.count("\nQ") + text.startswith("Q") == 25
 

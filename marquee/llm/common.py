@@ -2,23 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write go as soon as it ends (else when the driver's
+    garbage is collected); what was written doesn't need them."""
+    before = spark.conf.get(_CLEANUP, None)
+    if before is None:  # a Spark without the setting
+        yield
+        return
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> str:
     """The path of ``df``, written to the cluster's shared checkpoint folder."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return path
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove written tables that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the cluster's shared checkpoint folder: lineage is
     cut and a lost executor costs only its running tasks."""
@@ -26,6 +54,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables that are removed at the end of a ``with`` block. Its result
+    must be written by then: what is read lazily from them would be gone."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        discard(self.spark, *self.paths)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(stored(df, name))
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with fixed names and types, whatever else ``docs`` holds;
     a null text stays null."""

@@ -18,7 +18,8 @@ first levels:
 
 Suffixes are packed: a row holds the sorted names of one batch of documents that
 fall into one range of names, and what comes back is a bit for each name, so
-the shuffles carry some 2 and 8 bytes for a name. The texts are written once as
+the shuffles carry some 2.5 and 7 bytes for a name, and about a byte more for ten
+times the text, as a batch then has fewer names in a range. The texts are written once as
 a bucketed table and never shuffled. Texts equal to one of a smaller doc_id are
 told by their MD5 and have no suffixes sorted. Names are 64-bit hashes, in the first step
 their leading bits, where a false match only costs work.
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch, written
 from .shingles import odd_constants
 
 WIDTH = 50
@@ -45,8 +46,8 @@ COVER = (0, 1, 4, 14, 16)
 TUPLE = WIDTH - MODULUS + 1
 BATCH_BYTES = 3 << 20
 RANGE_BYTES = 32 << 20  # of text for each range of names
-FIRST_BITS = 30  # of a name within its range, in the first step
-_ESCAPE = 65535
+RANGES = 4  # at least
+FIRST_BITS = 32  # of a name within its range, in the first step: one name in 600 is taken for shared by chance
 
 
 def _doubled(b: np.ndarray) -> dict[int, np.ndarray]:
@@ -138,43 +139,48 @@ def _range_of(names: np.ndarray, ranges: int) -> np.ndarray:
     return np.searchsorted(names, np.array([min(k * width, (1 << 64) - 1) for k in range(ranges)], dtype=np.uint64)).tolist() + [len(names)]
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Sorted distinct small values as 16-bit gaps; larger gaps take escapes."""
-    gaps = np.diff(values.astype(np.int64), prepend=-1) - 1
-    more = gaps // _ESCAPE
-    out = np.full(len(gaps) + int(more.sum()), _ESCAPE, dtype="<u2")
-    out[np.cumsum(more + 1) - 1] = gaps % _ESCAPE
-    return out.tobytes()
+def _fixed(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bits of each value, one after another."""
+    bits = np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return np.packbits(bits[:, 64 - width :]).tobytes()
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    gaps = np.frombuffer(raw, dtype="<u2").astype(np.int64)
-    ends = gaps != _ESCAPE
-    return (np.cumsum(gaps) + np.cumsum(ends) - 1)[ends]
+def _unfixed(raw: bytes, n: int, width: int) -> np.ndarray:
+    bits = np.zeros((n, 64), dtype=np.uint8)
+    bits[:, 64 - width :] = np.unpackbits(np.frombuffer(raw, np.uint8), count=n * width).reshape(n, width)
+    return np.packbits(bits, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
-def _first_names(names: np.ndarray, ranges: int) -> np.ndarray:
-    """The leading FIRST_BITS within a range, for sorted names of that range."""
-    width = -(-(1 << 64) // ranges)
-    return ((names % np.uint64(width)) >> np.uint64(max(0, (width - 1).bit_length() - FIRST_BITS))).astype(np.int64)
+def _packed(values: np.ndarray, bits: int) -> bytes:
+    """Sorted distinct values below 2^bits in Elias-Fano code: the low bits as they are,
+    the others as the places of ones in a bitmap. That takes two bits more than
+    log2(2^bits / n) for each of n values, however dense they are."""
+    n = len(values)
+    low = max(0, bits - n.bit_length())
+    ones = np.zeros(n + (1 << (bits - low)) + 1, dtype=np.uint8)
+    ones[(values.astype(np.uint64) >> np.uint64(low)).astype(np.int64) + np.arange(n)] = 1
+    return np.array([n], "<u4").tobytes() + (_fixed(values, low) if low else b"") + np.packbits(ones).tobytes()
+
+
+def _unpacked(raw: bytes, bits: int) -> np.ndarray:
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    low = max(0, bits - n.bit_length())
+    cut = 4 + -(-n * low // 8)
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, offset=cut)))[:n] - np.arange(n)
+    out = high.astype(np.uint64) << np.uint64(low)
+    return out | _unfixed(raw[4:cut], n, low) if low else out
 
 
-def _wide(values: np.ndarray) -> bytes:
-    """Sorted 64-bit values as 48-bit gaps after the first, or whole where a gap
-    is larger; the first byte tells which."""
-    gaps = np.diff(values)
-    if len(gaps) and int(gaps.max()) >= 1 << 48:
-        return b"\1" + values.tobytes()
-    return b"\0" + values[:1].tobytes() + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _range_bits(ranges: int) -> tuple[int, int]:
+    """Width of a range of names, and the bits of a place in it."""
+    width = -(-(1 << 64) // ranges)
+    return width, (width - 1).bit_length()
 
 
-def _unwide(raw: bytes) -> np.ndarray:
-    if raw[0]:
-        return np.frombuffer(raw, "<u8", offset=1)
-    short = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, 6)
-    gaps = np.zeros((len(short), 8), dtype=np.uint8)
-    gaps[:, :6] = short
-    return np.cumsum(np.concatenate((np.frombuffer(raw, "<u8", 1, 1), gaps.view("<u8").ravel())), dtype=np.uint64)
+def _first_names(names: np.ndarray, ranges: int) -> np.ndarray:
+    """The leading FIRST_BITS within a range, for sorted names of that range."""
+    width, bits = _range_bits(ranges)
+    return (names % np.uint64(width)) >> np.uint64(max(0, bits - FIRST_BITS))
 
 
 def _rows(pdf: pd.DataFrame) -> Iterator[tuple[int, Batch]]:
@@ -193,6 +199,7 @@ def _first_pass(ranges: int):
             for key, batch in _rows(pdf):
                 _, _, names, several = batch.sampled()
                 bounds, out = _range_of(names, ranges), []
+                bits = _range_bits(ranges)[1]
                 for r in range(ranges):
                     i, j = bounds[r], bounds[r + 1]
                     if i < j:
@@ -203,7 +210,7 @@ def _first_pass(ranges: int):
                         flag = np.zeros(int(group[-1]) + 1, dtype=bool)
                         np.logical_or.at(flag, group, several[i:j])
                         flag |= np.bincount(group) > 1
-                        out.append((r, key, _packed(first[new]), np.packbits(flag).tobytes()))
+                        out.append((r, key, _packed(first[new], min(FIRST_BITS, bits)), np.packbits(flag).tobytes()))
                 yield pd.DataFrame(out, columns=["part", "batch", "names", "several"])
 
     return run
@@ -222,17 +229,22 @@ def _by_part(batches: Iterator[pd.DataFrame]) -> Iterator[list]:
         yield held
 
 
-def _shared_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in _by_part(batches):
-        names = [_unpacked(r.names) for r in rows]
-        sizes = np.cumsum([0] + [len(x) for x in names])
-        several = np.concatenate([np.unpackbits(np.frombuffer(r.several, np.uint8), count=len(x)) for r, x in zip(rows, names)])
-        _, index, times = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
-        shared = (times[index] > 1) | (several > 0)
-        yield pd.DataFrame(
-            [(r.batch, r.part, np.packbits(shared[i:j]).tobytes()) for r, i, j in zip(rows, sizes, sizes[1:])],
-            columns=["batch", "part", "bits"],
-        )
+def _shared_names(ranges: int):
+    width = min(FIRST_BITS, _range_bits(ranges)[1])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _by_part(batches):
+            names = [_unpacked(r.names, width) for r in rows]
+            sizes = np.cumsum([0] + [len(x) for x in names])
+            several = np.concatenate([np.unpackbits(np.frombuffer(r.several, np.uint8), count=len(x)) for r, x in zip(rows, names)])
+            _, index, times = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
+            shared = (times[index] > 1) | (several > 0)
+            yield pd.DataFrame(
+                [(r.batch, r.part, np.packbits(shared[i:j]).tobytes()) for r, i, j in zip(rows, sizes, sizes[1:])],
+                columns=["batch", "part", "bits"],
+            )
+
+    return run
 
 
 def _bits(found: list, part: int, n: int) -> np.ndarray:
@@ -265,39 +277,42 @@ def _second_pass(ranges: int):
                 at, doc, index, names = batch.candidates(_shared_offsets(batch, _known(found), ranges))
                 least = _least(batch, doc, index, len(names))
                 bounds, out = _range_of(names, ranges), []
+                width, bits = _range_bits(ranges)
                 for r in range(ranges):
                     i, j = bounds[r], bounds[r + 1]
                     if i < j:
                         used, place = np.unique(least[i:j], return_inverse=True)
-                        kind = "<u2" if len(used) <= 65536 else "<u4"
-                        out.append((r, key, _wide(names[i:j]), place.astype(kind).tobytes(), batch.ids[used]))
+                        own = _packed(names[i:j] % np.uint64(width), bits)
+                        out.append((r, key, own, _fixed(place, len(used).bit_length()), batch.ids[used]))
                 yield pd.DataFrame(out, columns=["part", "batch", "names", "least", "ids"])
 
     return run
 
 
-def _earlier(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _earlier(ranges: int):
     """A bit for each name of each batch: another batch has it in a document
     with a smaller doc_id than any of this batch."""
-    for rows in _by_part(batches):
-        names = [_unwide(r.names) for r in rows]
-        sizes = np.cumsum([0] + [len(x) for x in names])
-        docs = np.concatenate(
-            [
-                np.asarray(r.ids, np.int64)[np.frombuffer(r.least, "<u2" if len(r.least) == 2 * len(x) else "<u4")]
-                for r, x in zip(rows, names)
-            ]
-        )
-        flat = np.concatenate(names)
-        order = np.argsort(flat, kind="stable")
-        new = np.concatenate(([True], flat[order][1:] != flat[order][:-1]))
-        least = np.minimum.reduceat(docs[order], np.flatnonzero(new))
-        earlier = np.empty(len(flat), dtype=bool)
-        earlier[order] = least[np.cumsum(new) - 1] < docs[order]
-        yield pd.DataFrame(
-            [(r.batch, r.part, np.packbits(earlier[i:j]).tobytes()) for r, i, j in zip(rows, sizes, sizes[1:])],
-            columns=["batch", "part", "bits"],
-        )
+    width = _range_bits(ranges)[1]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _by_part(batches):
+            names = [_unpacked(r.names, width) for r in rows]
+            sizes = np.cumsum([0] + [len(x) for x in names])
+            docs = np.concatenate(
+                [np.asarray(r.ids, np.int64)[_unfixed(r.least, len(x), len(r.ids).bit_length()).astype(np.int64)] for r, x in zip(rows, names)]
+            )
+            flat = np.concatenate(names)
+            order = np.argsort(flat, kind="stable")
+            new = np.concatenate(([True], flat[order][1:] != flat[order][:-1]))
+            least = np.minimum.reduceat(docs[order], np.flatnonzero(new))
+            earlier = np.empty(len(flat), dtype=bool)
+            earlier[order] = least[np.cumsum(new) - 1] < docs[order]
+            yield pd.DataFrame(
+                [(r.batch, r.part, np.packbits(earlier[i:j]).tobytes()) for r, i, j in zip(rows, sizes, sizes[1:])],
+                columns=["batch", "part", "bits"],
+            )
+
+    return run
 
 
 def _last_pass(ranges: int):
@@ -371,7 +386,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     kept_sha256 (of the remaining bytes) and spans (begin and end bytes of the
     removed runs, flat, in order).
 
-    The result is a written table; the batches' table is dropped at the end.
+    The result is a written table; all others are dropped at the end.
 
     Cases: null and empty texts have no bytes; texts under WIDTH bytes lose
     nothing; rows that repeat a doc_id don't remove each other's strings; a row
@@ -389,29 +404,30 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     )
 
     total = base.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    ranges = max(16, total // RANGE_BYTES)
+    ranges = max(RANGES, total // RANGE_BYTES)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total >> 26, 8)
     table = f"suffix_batches_{uuid.uuid4().hex[:12]}"
     base.filter("doc_id IS NOT NULL").mapInPandas(
         _batched, "batch long, ids array<long>, ends array<long>, digests array<binary>, text binary"
     ).write.bucketBy(buckets, "batch").option("compression", "zstd").saveAsTable(table)
     try:
-        return _resolved(spark.table(table), nameless, ranges)
+        with Scratch(spark) as scratch:
+            return _resolved(spark.table(table), nameless, ranges, scratch)
     finally:
         spark.sql(f"DROP TABLE {table}")
 
 
-def _resolved(texts: DataFrame, nameless: DataFrame, ranges: int) -> DataFrame:
+def _resolved(texts: DataFrame, nameless: DataFrame, ranges: int, scratch: Scratch) -> DataFrame:
     """The passes over the batches' table; the result is written."""
     # places of the texts that a smaller doc_id has too, per batch
     each = texts.select("batch", F.posexplode(F.arrays_zip("ids", "digests")).alias("place", "x"))
     each = each.select("batch", "place", F.col("x.ids").alias("doc_id"), F.col("x.digests").alias("digest"))
     # a table of its own, so that AQE can split a hot digest in the join with it
-    repeated = written(
+    repeated = scratch.written(
         each.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"),
         "text-repeated",
     )
-    copies = written(
+    copies = scratch.written(
         each.join(repeated, "digest").filter("doc_id <> first").groupBy("batch").agg(F.collect_list("place").alias("copies")),
         "text-copies",
     )
@@ -425,10 +441,10 @@ def _resolved(texts: DataFrame, nameless: DataFrame, ranges: int) -> DataFrame:
 
     bits = "batch long, part int, bits binary"
     named = batches.mapInPandas(_first_pass(ranges), "part int, batch long, names binary, several binary")
-    shared = written(sorted_parts(named).mapInPandas(_shared_names, bits), "shared-names")
+    shared = scratch.written(sorted_parts(named).mapInPandas(_shared_names(ranges), bits), "shared-names")
     found = batches.join(per_batch(shared, "found"), "batch", "left")
     suffixes = found.mapInPandas(_second_pass(ranges), "part int, batch long, names binary, least binary, ids array<long>")
-    earlier = written(sorted_parts(suffixes).mapInPandas(_earlier, bits), "earlier-names")
+    earlier = scratch.written(sorted_parts(suffixes).mapInPandas(_earlier(ranges), bits), "earlier-names")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
     marked = found.join(per_batch(earlier, "earlier"), "batch", "left").mapInPandas(_last_pass(ranges), schema)
     return written(marked.union(nameless), "without-repeats")

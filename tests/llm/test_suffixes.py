@@ -71,9 +71,24 @@ def test_odd_rows(odd_docs, no_docs, spark):
 
 def test_packed_values_round_trip():
     rng = np.random.default_rng(0)
-    for top in (10**6, 10**9):
-        v = np.unique(rng.integers(0, top, 500))
-        assert (suffixes._unpacked(suffixes._packed(v)) == v).all()
-    for n in (1, 2, 5000):
-        v = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
-        assert (suffixes._unwide(suffixes._wide(v)) == v).all()
+    for bits in (1, 8, 30, 33, 60, 62):
+        for n in (1, 2, 500, 5000):
+            v = np.unique(rng.integers(0, 2**bits, n).astype(np.uint64))
+            assert (suffixes._unpacked(suffixes._packed(v, bits), bits) == v).all()
+    dense = np.arange(256, dtype=np.uint64)
+    assert (suffixes._unpacked(suffixes._packed(dense, 8), 8) == dense).all()
+    for width in (1, 7, 10, 64):
+        v = rng.integers(0, 2 ** min(width, 63), 777).astype(np.uint64)
+        assert (suffixes._unfixed(suffixes._fixed(v, width), 777, width) == v).all()
+
+
+@pytest.mark.parametrize("ranges, first, second", [(16, 2.6, 7.0), (900, 3.3, 7.0), (9000, 3.8, 7.1)])
+def test_bytes_for_a_name_hardly_grow_with_the_ranges(ranges, first, second):
+    """A full batch's names in one range, at 0.5, 30 and 300 GB of text."""
+    width, bits = suffixes._range_bits(ranges)
+    rng = np.random.default_rng(1)
+    sampled = max(1, suffixes.BATCH_BYTES * len(suffixes.COVER) // suffixes.MODULUS // ranges)
+    names = np.unique(rng.integers(0, width - 1, sampled, dtype=np.uint64))
+    short = np.unique(suffixes._first_names(names, ranges))
+    assert len(suffixes._packed(short, suffixes.FIRST_BITS)) / len(short) < first
+    assert len(suffixes._packed(names, bits)) / len(names) < second

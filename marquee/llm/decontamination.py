@@ -6,9 +6,9 @@ item place). Shared q-grams are counted in diagonal bands of 2 (e + 1) that
 overlap by half, so one band holds them all; a band that reaches the bound is a
 region, and is verified by a banded alignment of the whole item.
 
-The bound must be positive, so short items have fewer edits than EDIT_PERCENT: those
-of 13 to 19, 25 to 29 and 38 or 39 characters one less. Items of under 10 are not
-searched for, even verbatim.
+The bound must be positive, so q is chosen for each item: ``Q``, or less for short
+items (q <= m / (e + 1)), which keep their full edit budget; items too short for an
+edit are found verbatim. Items of one q have an index of their own.
 
 Texts are compared as UTF-8 with ASCII and Latin-1 case folded and every run of
 ASCII blanks and punctuation as one blank; characters are its bytes.
@@ -16,6 +16,7 @@ ASCII blanks and punctuation as one blank; characters are its bytes.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,8 @@ from .shingles import odd_constants
 
 Q = 10
 EDIT_PERCENT = 8
-INDEX_BYTES = 32 << 20  # of benchmark text that one pass broadcasts
+INDEX_BYTES = 4 << 20  # of benchmark text that one pass broadcasts; its index takes up to a hundred times that while it is built
+_LEAK = ("doc_id", "item_id", "start", "end", "edits")
 _COMMON = 4  # q-grams with more places than this may be left out of a count
 _BITS = 22
 
@@ -87,93 +89,110 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)
 
 
+def edits_of(m: int, percent: int) -> int:
+    return m * percent // 100
+
+
+def q_of(m: int, percent: int, q: int = Q) -> int:
+    """The largest q up to ``q`` at which an item of m characters keeps a q-gram."""
+    return min(q, m // (edits_of(m, percent) + 1))
+
+
 class Index:
-    """q-grams of the items: sorted hashes, their places, and each item's edit
-    budget and bound. Items without a q-gram are not searched for."""
+    """q-grams of the items whose normalised text is given: sorted hashes, their
+    places, and each item's edit budget and bound."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, percent: int):
+    def __init__(self, items: list[tuple[int, np.ndarray]], q: int, percent: int):
         self.q = q
-        self.ids, self.texts, self.edits, self.bound = [], [], [], []
-        hashes, owner, place = [], [], []
-        for item, text in items:
-            b, _ = normalised(text or "")
-            m = len(b)
-            if m < q:
-                continue
-            k = len(self.ids)
-            edits = max(0, min(m * percent // 100, (m - q) // q))  # so that the bound is positive
-            self.ids.append(item)
-            self.texts.append(b)
-            self.edits.append(edits)
-            self.bound.append(m - q + 1 - q * edits)
-            g = grams(b, q)
-            hashes.append(g)
-            owner.append(np.full(len(g), k, dtype=np.int32))
-            place.append(np.arange(len(g), dtype=np.int32))
-        h = np.concatenate(hashes) if hashes else np.empty(0, dtype=np.uint64)
-        o = np.concatenate(owner) if hashes else np.empty(0, dtype=np.int32)
-        p = np.concatenate(place) if hashes else np.empty(0, dtype=np.int32)
+        self.ids = [item for item, _ in items]
+        self.texts = [b for _, b in items]
+        sizes = np.array([len(b) for b in self.texts], dtype=np.int64)
+        self.edits = sizes * percent // 100
+        self.bound = sizes - q + 1 - q * self.edits
+        h = np.concatenate([grams(b, q) for b in self.texts])
+        o = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes - q + 1)
+        p = np.arange(len(h), dtype=np.int64) - np.repeat(np.cumsum(sizes - q + 1) - (sizes - q + 1), sizes - q + 1)
         order = np.argsort(h, kind="stable")
-        h, o, p = h[order], o[order], p[order]
+        h, o, p = h[order], o[order], p[order].astype(np.int32)
+        del order
         # an item may do without its commonest q-grams if its bound falls by as many
-        _, inverse, times = np.unique(h, return_inverse=True, return_counts=True)
-        times = times[inverse] if len(h) else times
+        new = np.concatenate(([True], h[1:] != h[:-1]))
+        first = np.flatnonzero(new)
+        times = np.diff(np.append(first, len(h))).astype(np.int32)[np.cumsum(new) - 1]
+        common = np.flatnonzero(times > _COMMON)
+        common = common[np.lexsort((-times[common], o[common]))]
+        rank = np.arange(len(common)) - np.searchsorted(o[common], o[common])
+        drop = common[rank < (self.bound[o[common]] - 1) // 2]
+        self.bound -= np.bincount(o[drop], minlength=len(sizes))
         keep = np.ones(len(h), dtype=bool)
-        by_item = np.lexsort((-times, o))
-        start = np.searchsorted(o[by_item], np.arange(len(self.ids) + 1))
-        for k in range(len(self.ids)):
-            mine = by_item[start[k] : start[k + 1]]
-            drop = mine[times[mine] > _COMMON][: (self.bound[k] - 1) // 2]
-            keep[drop] = False
-            self.bound[k] -= len(drop)
-        self.owner, self.place = o[keep], p[keep]
-        self.hashes, self.first, self.times = np.unique(h[keep], return_index=True, return_counts=True)
+        keep[drop] = False
+        h, self.owner, self.place = h[keep], o[keep], p[keep]
+        self.hashes, self.first, self.times = np.unique(h, return_index=True, return_counts=True)
         self.seen = np.zeros(1 << _BITS, dtype=bool)
         self.seen[_slot(self.hashes)] = True
-        self.edits, self.bound = np.array(self.edits, dtype=np.int64), np.array(self.bound, dtype=np.int64)
-
-
-def align(item: np.ndarray, region: np.ndarray, budget: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best place of the whole item in the region, if
-    within budget. Costs above the budget are not told apart."""
-
-    def ends(a: np.ndarray, b: np.ndarray, free: bool) -> np.ndarray:
-        at = np.arange(len(b) + 1)
-        row = np.zeros(len(b) + 1, dtype=np.int64) if free else at.copy()
-        for c in a:
-            step = np.minimum(np.concatenate(([row[0] + 1], row[:-1] + (b != c))), row + 1)
-            row = np.minimum.accumulate(step - at) + at
-            if row.min() > budget:
-                break
-        return row
-
-    last = ends(item, region, True)
-    end = int(last.argmin())
-    edits = int(last[end])
-    if edits > budget:
+
+
+def indexes(items: list[tuple[int, str]], q: int, percent: int) -> list[Index]:
+    """An index for each q that the items need; texts without characters need none."""
+    by_q: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for item, text in items:
+        b, _ = normalised(text or "")
+        if len(b):
+            by_q.setdefault(q_of(len(b), percent, q), []).append((item, b))
+    return [Index(own, k, percent) for k, own in sorted(by_q.items())]
+
+
+def _banded(a: np.ndarray, b: np.ndarray, low: int, width: int, budget: int, free: bool) -> tuple[int, int] | None:
+    """(edits, end): the fewest edits between all of ``a`` and some b[start:end] on the
+    diagonals (place in b less place in a) low .. low + width - 1, and the least such
+    end; start is any place, or 0 unless ``free``. None above ``budget``."""
+    far = budget + 1
+    at = np.arange(width)
+    place = low + at  # in b, before the first character of a
+    row = np.where((place >= 0) & (place <= len(b)), 0 if free else np.abs(place), far)
+    if not free:
+        row[place < 0] = far
+    # b[place] for all diagonals of a row is a slice of this
+    before, after = max(0, -low), max(0, low + width + len(a) - len(b))
+    padded = np.concatenate([np.zeros(before, np.int16) - 1, b.astype(np.int16), np.zeros(after, np.int16) - 1])
+    for i, c in enumerate(a.tolist()):
+        same = padded[low + before + i : low + before + i + width] == c
+        step = np.minimum(row + ~same, np.append(row[1:], far) + 1)  # a character of both; one of a alone
+        j = place + i + 1
+        step[(j < 0) | (j > len(b))] = far
+        row = np.minimum(np.minimum.accumulate(step - at) + at, far)  # characters of b alone
+        row[(j < 0) | (j > len(b))] = far
+        if row.min() > budget:
+            return None
+    best = int(row.argmin())
+    return int(row[best]), int(place[best] + len(a))
+
+
+def align(item: np.ndarray, text: np.ndarray, low: int, width: int, budget: int) -> tuple[int, int, int] | None:
+    """(edits, start, end) of the best place of the whole item in the text on the
+    diagonals low .. low + width - 1, if within budget."""
+    found = _banded(item, text, low, width, budget, True)
+    if found is None:
         return None
-    back = region[max(0, end - len(item) - budget) : end][::-1]
-    first = ends(item[::-1], back, False)
-    return edits, end - int(first.argmin()), end
+    edits, end = found
+    back = text[max(0, end - len(item) - budget) : end][::-1]
+    length = _banded(item[::-1], back, -budget, 2 * budget + 1, budget, False)[1]
+    return edits, end - length, end
 
 
-def search(text: str | None, index: Index) -> list[tuple[int, int, int, int]]:
-    """(item, start, end, edits) of the items found, in bytes of the text. Of
-    places of an item that overlap, the one with the fewest edits."""
-    if not text or not len(index.hashes):
-        return []
-    b, origin = normalised(text)
-    g = grams(b, index.q)
+def _shared(g: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Items and bands of a text's q-grams that reach the bound."""
+    none = np.empty(0, dtype=np.int64)
     at = np.flatnonzero(index.seen[_slot(g)])
     if not len(at):
-        return []
+        return none, none
     h = g[at]
     k = np.searchsorted(index.hashes, h)
     k[k == len(index.hashes)] = 0
     ok = index.hashes[k] == h
     at, k = at[ok], k[ok]
     if not len(at):
-        return []
+        return none, none
     times = index.times[k]
     which = np.repeat(index.first[k] - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
     owner, place = index.owner[which], index.place[which]
@@ -188,43 +207,96 @@ def search(text: str | None, index: Index) -> list[tuple[int, int, int, int]]:
     distinct = new | np.concatenate(([True], place[1:] != place[:-1]))
     start = np.flatnonzero(new)
     counts = np.add.reduceat(distinct.astype(np.int64), start)
+    start = start[counts >= index.bound[owner[start]]]
+    return owner[start], band[start]
+
+
+def search(text: str | None, index: Index) -> list[tuple[int, int, int, int]]:
+    """(item, start, end, edits) of the items found, in bytes of the text. Of
+    places of an item that overlap, the one with the fewest edits."""
+    if not text:
+        return []
+    b, origin = normalised(text)
     found: dict[int, list[tuple[int, int, int]]] = {}
-    for s in start[counts >= index.bound[owner[start]]]:
-        item = int(owner[s])
+    for item, band in zip(*(x.tolist() for x in _shared(grams(b, index.q), index))):
         body, e = index.texts[item], int(index.edits[item])
-        lo = max(0, int(band[s]) * (e + 1) - e)
-        hi = min(len(b), (int(band[s]) + 2) * (e + 1) + len(body) + e)
+        low, width = band * (e + 1) - e, 4 * e + 3  # q-grams in the band, and e diagonals around
+        lo, hi = max(0, low), min(len(b), low + width + len(body))
         exact = b[lo:hi].tobytes().find(body.tobytes())
-        got = (0, exact, exact + len(body)) if exact >= 0 else align(body, b[lo:hi], e)
+        if exact >= 0:
+            got = (0, exact, exact + len(body))
+        else:
+            got = align(body, b[lo:hi], low - lo, width, e) if e else None
         if got:
             found.setdefault(item, []).append((got[0], lo + got[1], lo + got[2]))
     out = []
     for item, places in sorted(found.items()):
-        taken: list[tuple[int, int]] = []
-        for edits, i, j in sorted(places):
-            if j > i and all(j <= x or i >= y for x, y in taken):
-                taken.append((i, j))
+        taken: list[tuple[int, int]] = []  # apart from each other, in order
+        for edits, i, j in sorted(set(places)):
+            k = bisect.bisect(taken, (i, j))
+            if j > i and (k == 0 or taken[k - 1][1] <= i) and (k == len(taken) or j <= taken[k][0]):
+                taken.insert(k, (i, j))
                 out.append((item, int(origin[i]), int(origin[j - 1]) + 1, edits))
     return out
 
 
-def _scan(docs: DataFrame, items: list[tuple[int, str]], q: int, percent: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = Index(shared.value, q, percent)
-        for pdf in batches:
+def _found(texts: Iterator[pd.Series], items: list[tuple[int, str]], q: int, percent: int) -> Iterator[list[list[tuple]]]:
+    """For each batch of texts, for each text, (item_id, start, end, edits) in characters."""
+    own = indexes(items, q, percent)  # once for a task
+    for batch in texts:
+        out = []
+        for text in batch:
             rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
+            for index in own:
                 for item, i, j, edits in search(text, index):
                     raw = text.encode("utf-8", "surrogatepass")
                     start = len(raw[:i].decode("utf-8", "replace"))
-                    rows.append((doc, index.ids[item], start, start + len(raw[i:j].decode("utf-8", "replace")), edits))
-            made = pd.DataFrame(rows, columns=["doc_id", "item_id", "start", "end", "edits"])
-            made["doc_id"] = made["doc_id"].astype("Int64")
+                    rows.append((index.ids[item], start, start + len(raw[i:j].decode("utf-8", "replace")), edits))
+            out.append(rows)
+        yield out
+
+
+def _scan(docs: DataFrame, items: list[tuple[int, str]], q: int, percent: int) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids: list = []
+
+        def texts() -> Iterator[pd.Series]:
+            for pdf in batches:
+                ids.append([None if missing else doc for doc, missing in zip(pdf["doc_id"].tolist(), pdf["missing"])])
+                yield pdf["text"]
+
+        for found in _found(texts(), shared.value, q, percent):
+            rows = [(doc, *row) for doc, own in zip(ids.pop(), found) for row in own]
+            made = pd.DataFrame({c: pd.array(list(v), dtype="Int64") for c, v in zip(_LEAK, zip(*rows))} if rows else {c: [] for c in _LEAK})
             yield made
 
-    return docs.mapInPandas(run, "doc_id long, item_id long, start long, end long, edits long")
+    # a null in a column of longs would make it one of doubles in pandas
+    named = docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("missing"), "text")
+    return named.mapInPandas(run, ", ".join(f"{c} long" for c in _LEAK))
+
+
+def _clean(spark: SparkSession, items: list[tuple[int, str]], q: int, percent: int):
+    """Whether a text holds none of the items."""
+    shared = spark.sparkContext.broadcast(items)
+
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for found in _found(texts, shared.value, q, percent):
+            yield pd.Series([not rows for rows in found], dtype=bool)
+
+    return clean
+
+
+def _parts(benchmark: DataFrame, index_bytes: int) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark's items, in parts of some ``index_bytes`` of text."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = -(-total // index_bytes) or 1
+    for k in range(parts):
+        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) if parts > 1 else items
+        yield [(r["item_id"], r["text"]) for r in mine.collect()]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, percent: int = EDIT_PERCENT, index_bytes: int = INDEX_BYTES) -> DataFrame:
@@ -236,38 +308,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, percent: int = E
     larger benchmark is taken in parts of that size, one scan for each, whose
     results are written before the next.
 
-    Cases: null, empty and short texts (items under ``q`` characters) match
-    nothing; repeated items are each reported, as are repeated documents; a
+    Cases: null and empty texts, and items without characters, match nothing;
+    repeated items are each reported, as are repeated documents; a
     document with a null doc_id is searched and its rows have a null doc_id;
     empty tables give no rows; other columns are ignored."""
-    spark: SparkSession = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = -(-total // index_bytes) or 1
     narrow, out = texts(docs), None
-    for k in range(parts):
-        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) if parts > 1 else items
-        found = _scan(narrow, [(r["item_id"], r["text"]) for r in mine.collect()], q, percent)
-        if parts > 1:
-            found = written(found, "leaks")
-        out = found if out is None else out.union(found)
+    for items in _parts(benchmark, index_bytes):
+        found = _scan(narrow, items, q, percent)
+        if out is not None:
+            out = out.union(written(found, "leaks"))
+        else:
+            out = found
     return out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, with their columns, whose text holds no benchmark
-    item. The doc_ids found are written and anti-joined; rows without a doc_id
-    are searched by their text."""
-    found = written(
-        leaks(docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), _row_key())), benchmark, **options)
-        .select(F.col("doc_id").alias("__leak"))
-        .distinct(),
-        "leak-ids",
-    )
-    key = F.coalesce(docs["doc_id"].cast("long"), _row_key())
-    return docs.join(found, key == found["__leak"], "left_anti")
-
-
-def _row_key():
-    """Stands for a missing doc_id: rows with the same text share it."""
-    return F.xxhash64("text", F.lit("no doc_id"))
+def without_leaks(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, percent: int = EDIT_PERCENT, index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose own text holds no benchmark
+    item: decided row by row, whatever their doc_ids are, in one scan for each part
+    of the benchmark."""
+    for items in _parts(benchmark, index_bytes):
+        clean = _clean(docs.sparkSession, items, q, percent)
+        docs = docs.filter(clean(F.col("text").cast("string")))
+    return docs

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
 
-from marquee.llm.decontamination import Index, align, leaks, normalised, search, without_leaks
+from marquee.llm.decontamination import align, edits_of, indexes, leaks, normalised, q_of, search, without_leaks
 
 from .conftest import BENCHMARK
 
@@ -24,8 +25,8 @@ def semi_global(item, text):
 def mutate(r, text, edits):
     out = list(text)
     for _ in range(edits):
-        k = r.randrange(len(out))
-        op = r.random()
+        k = r.randrange(len(out) or 1)
+        op = r.random() if out else 0.5
         if op < 0.4:
             out[k] = r.choice("abcdefgh")
         elif op < 0.7:
@@ -40,22 +41,33 @@ def test_found_exactly_where_the_budget_allows(seed):
     r = random.Random(seed)
     words = ["abcde", "fgh", "habit", "cafe", "bag", "deed", "face", "gab", "head"]
     phrase = lambda n: " ".join(r.choice(words) + r.choice(["", "a", "h"]) for _ in range(n))
-    items = [(i, phrase(r.randint(4, 30))) for i in range(8)]
-    index = Index(items, 10, 8)
+    items = [(i, phrase(r.randint(4, 30))) for i in range(5)]
+    items += [(5 + k, phrase(8)[: r.randint(1, 40)].strip() or "x") for k in range(5)]  # short ones too
+    every = indexes(items, 10, 8)
     for _ in range(12):
-        k = r.randrange(8)
+        k = r.randrange(10)
         body = items[k][1]
-        text = phrase(20) + " " + mutate(r, body, r.randint(0, len(body) // 8)) + " " + phrase(15)
-        found = {index.ids[i] for i, *_ in search(text, index)}
+        before, after = phrase(20) + " ", " " + phrase(15)
+        text = r.choice([before, ""]) + mutate(r, body, r.randint(0, len(body) // 8)) + r.choice([after, ""])
+        found = {index.ids[i] for index in every for i, *_ in search(text, index)}
         flat = normalised(text)[0].tobytes()
-        for place, item in enumerate(index.ids):
-            own = index.texts[place].tobytes()
-            assert (item in found) == (semi_global(own, flat) <= index.edits[place]), (item, text)
+        assert sum(len(index.ids) for index in every) == 10
+        for index in every:
+            for place, item in enumerate(index.ids):
+                own = index.texts[place].tobytes()
+                assert index.edits[place] == len(own) * 8 // 100
+                assert (item in found) == (semi_global(own, flat) <= index.edits[place]), (item, text)
+
+
+def test_every_length_keeps_its_whole_budget():
+    for m in range(1, 2000):
+        e, q = edits_of(m, 8), q_of(m, 8)
+        assert e == m * 8 // 100 and 1 <= q <= 10 and m - q + 1 - q * e >= 1
 
 
 def test_case_blanks_and_marks_do_not_hide_an_item():
     item = "Éa über ndorea as erthndly edst threeain for heed, thheha"
-    index = Index([(7, item)], 10, 8)
+    (index,) = indexes([(7, item)], 10, 8)
     loud = "x " + item.upper().replace(" ", "!!\n ") + "!! y"
     ((i, start, end, edits),) = search(loud, index)
     assert edits == 0 and loud.encode()[start:end].decode().startswith("ÉA")
@@ -63,9 +75,44 @@ def test_case_blanks_and_marks_do_not_hide_an_item():
 
 def test_alignment_tells_the_place():
     item, region = np.frombuffer(b"the quick brown fox", np.uint8), np.frombuffer(b"zz the quikc brown fox zz", np.uint8)
-    edits, start, end = align(item, region, 3)
+    edits, start, end = align(item, region, -3, 12, 3)
     assert edits == 2 and bytes(region[start:end]) == b"the quikc brown fox"
-    assert align(item, np.frombuffer(b"nothing of that kind here", np.uint8), 3) is None
+    assert align(item, np.frombuffer(b"nothing of that kind here", np.uint8), -3, 12, 3) is None
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_banded_alignment_equals_the_full_table(seed):
+    r = random.Random(seed)
+    for _ in range(60):
+        item = "".join(r.choice("abc") for _ in range(r.randint(1, 25)))
+        text = "".join(r.choice("abc") for _ in range(r.randint(0, 6))) + mutate(r, item, r.randint(0, 3)) + "".join(r.choice("abc") for _ in range(r.randint(0, 6)))
+        a, b = (np.frombuffer(x.encode(), np.uint8) for x in (item, text))
+        least = semi_global(item.encode(), text.encode())
+        for budget in (0, 1, 3):
+            got = align(a, b, -budget, len(b) + 2 * budget + 1, budget)
+            assert (got is not None) == (least <= budget)
+            if got:
+                edits, start, end = got
+                own = text[start:end].encode()
+                assert edits == least == semi_global(item.encode(), own) and (len(item) - budget <= end - start <= len(item) + budget)
+
+
+def test_a_long_item_is_aligned_on_its_band_only():
+    r = random.Random(9)
+    item = "".join(r.choice("abcdefgh ") for _ in range(20_000))
+    text = "before " + mutate(r, item, 900) + " after"
+    (index,) = indexes([(1, item)], 10, 8)
+    began = time.process_time()
+    ((_, _, _, edits),) = search(text, index)
+    assert 0 < edits <= 900 and time.process_time() - began < 30
+
+
+def test_short_items_and_repeated_ones():
+    every = indexes([(1, "Ninebytes"), (2, "exactly17 bytes x"), (3, "z"), (4, None), (5, " !? "), (6, "")], 10, 8)
+    found = lambda text: sorted((index.ids[i], edits) for index in every for i, _, _, edits in search(text, index))
+    assert found("so ninebytes it is") == [(1, 0)]
+    assert found("an exactly17 bites x here") == [(2, 1)]
+    assert found("zz z" + " z" * 500) == [(3, 0)] * 503
 
 
 def test_small_table_finds_every_verbatim_item(spark, sample):
@@ -95,3 +142,32 @@ def test_odd_rows(spark, odd_docs, no_docs, make_docs):
     nothing = spark.createDataFrame([], BENCHMARK)
     assert leaks(odd_docs, nothing).count() == 0 and without_leaks(odd_docs, nothing).count() == 13
     assert leaks(no_docs, bench).count() == 0
+
+
+def test_rows_are_decided_by_their_own_text(spark, make_docs):
+    """Rows that share a doc_id, or have none."""
+    item = "the benchmark item of some length that leaks"
+    bench = spark.createDataFrame([(1, item), (2, "Ninebytes")], BENCHMARK)
+    docs = make_docs([(1, "clean"), (1, f"x {item} y"), (2, None), (None, "clean too"), (None, item.upper()), (3, "has ninebytes in it"), (3, "clean")])
+    for size in (1 << 22, 20):
+        out = without_leaks(docs, bench, index_bytes=size)
+        assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(
+            map(str, [(1, "clean"), (2, None), (None, "clean too"), (3, "clean")])
+        )
+        assert out.columns == docs.columns
+
+
+def test_index_memory_is_bounded_by_the_part():
+    """A full part of distinct text is indexed within 1 GB."""
+    import tracemalloc
+
+    from marquee.llm import decontamination
+
+    rng = np.random.default_rng(2)
+    size = decontamination.INDEX_BYTES // 400
+    items = [(i, bytes(rng.integers(97, 123, 400, dtype=np.uint8)).decode()) for i in range(size)]
+    tracemalloc.start()
+    (index,) = indexes(items, 10, 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(index.ids) == size and peak < 1 << 30

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +73,26 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.paths[-1])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has such a column (column names differ by
+    more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row_key(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` and a column (its name is returned) that tells its rows apart, repeated
+    ones too: a 64-bit hash of the row's place in its Parquet file, or, where rows
+    have none, a number, with which the rows are written first."""
+    name = free_name(df, "row_key")
+    try:
+        return df.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(name)), name
+    except AnalysisException:
+        return written(df.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with fixed names and types, whatever else ``docs`` holds;
     a null text stays null."""

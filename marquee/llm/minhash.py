@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import free_name, texts, with_row_key, written
 from .components import connected_components
 from .shingles import WordHashes, minhashes, mix, odd_constants, shingle_set, words_of
 
@@ -260,9 +260,23 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, miss:
 
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, with their columns, of the first document of each
-    group. The doc_ids to drop are written and anti-joined; rows without a
-    doc_id stay."""
-    found = near_duplicates(docs, **options)
-    drop = written(found.filter("NOT kept").select(F.col("doc_id").alias("__drop")).distinct(), "near-duplicates")
-    return docs.join(drop, docs["doc_id"].cast("long") == drop["__drop"], "left_anti")
+    """The rows of ``docs``, with their columns, of which one is kept of each group:
+    that of the smallest doc_id.
+
+    Rows decide, not doc_ids: a row without doc_id, or one of several with the same,
+    is a document of its own (after all others where one of its group is chosen).
+    The rows to drop are written and anti-joined."""
+    rows, key = with_row_key(docs)
+    doc_id = F.col("doc_id").cast("long")
+    several = docs.filter(doc_id.isNotNull()).groupBy(doc_id.alias("__several")).count().filter("count > 1")
+    # a table of its own, whose size the planner knows
+    several = written(several.select("__several"), "repeated-ids")
+    node, mark = free_name(rows, "node"), free_name(rows, "__several")
+    several = several.withColumnRenamed("__several", mark)
+    own = F.col(key).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    named = rows.join(several, doc_id == F.col(mark), "left").withColumn(
+        node, F.when(doc_id.isNull() | F.col(mark).isNotNull(), own).otherwise(doc_id)
+    )
+    found = near_duplicates(named.select(F.col(node).alias("doc_id"), "text"), **options)
+    drop = written(found.filter("NOT kept").select(F.col("doc_id").alias(node)).distinct(), "near-duplicates")
+    return named.join(drop, node, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.llm.minhash import collection_size, near_duplicates, without_near_duplicates
 
@@ -87,3 +88,25 @@ def test_odd_rows(odd_docs, no_docs):
 def test_tables_needed_fall_with_similarity():
     assert collection_size(0.95) < collection_size(0.85) < collection_size(0.8)
     assert 2 * (1 - 0.8**2) ** collection_size(0.8) < 1e-6
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_rows_decide_where_ids_repeat_or_are_missing(spark, make_docs, tmp_path, stored):
+    r = random.Random(11)
+    text = lambda: " ".join(f"w{r.randint(0, 10**6)}" for _ in range(40))
+    a, b, c, clean, other = (text() for _ in range(5))
+    rows = [
+        (1, a), (2, a + " tail"), (2, clean),  # a clean text shares its doc_id with a near copy
+        (3, b), (3, b), (3, b), (None, b),  # repeated rows
+        (None, c), (None, c), (None, other), (4, None), (4, None), (5, ""), (6, c),
+    ]
+    docs = make_docs(rows).withColumn("row_key", F.lit("x")).withColumn("node", F.lit("y"))
+    if stored:
+        docs.write.parquet(f"{tmp_path}/docs")
+        docs = spark.read.parquet(f"{tmp_path}/docs")
+    out = without_near_duplicates(docs, percent=80)
+    assert out.columns == docs.columns
+    kept = sorted(((x.doc_id, x.text) for x in out.collect()), key=str)
+    assert kept == sorted([(1, a), (2, clean), (3, b), (None, other), (4, None), (4, None), (5, ""), (6, c)], key=str) or kept == sorted(
+        [(1, a), (2, clean), (None, b), (None, other), (4, None), (4, None), (5, ""), (6, c)], key=str
+    )

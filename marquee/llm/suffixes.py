@@ -437,7 +437,7 @@ def _resolved(texts: DataFrame, nameless: DataFrame, ranges: int, scratch: Scrat
         return rows.groupBy("batch").agg(F.collect_list(F.struct("part", "bits")).alias(name))
 
     def sorted_parts(rows: DataFrame) -> DataFrame:
-        return rows.repartition(ranges, "part").sortWithinPartitions("part")
+        return rows.repartitionById(ranges, "part").sortWithinPartitions("part")  # a task each
 
     bits = "batch long, part int, bits binary"
     named = batches.mapInPandas(_first_pass(ranges), "part int, batch long, names binary, several binary")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import written
+from .common import free_name, with_row_key, written
 
 _OFFSET = 1 << 63
 _TOP = 1 << 128
@@ -132,7 +132,8 @@ def splitters(keys: DataFrame, shards: int, tolerance: float, slice_bytes: int,
         for least, most, b in intervals:
             inside = [t for t in targets if size < t < size + b and min(t - size, size + b - t) > near]
             if (inside or b > limit) and most > least:
-                wanted += _spread(least, most, probes * max(1, len(inside), min(math.ceil(b / limit), 1 << 16)))
+                # hashed keys are even, so some two probes for each slice will do
+                wanted += _spread(least, most, probes * len(inside) + (2 * math.ceil(b / limit) if b > limit else 0))
             size += b
         fresh = [k for k in wanted if k not in known.below]
         if not fresh:
@@ -165,21 +166,23 @@ def histogram_sort(
 
     Each shard is dealt out as at least ``slices_per_shard`` slices of at most
     about ``slice_bytes``, so no task holds a shard. The driver holds the probes
-    only: some 64 per shard and round plus those for slices, as many as a range
+    only: some 64 per shard and round plus two for each slice, as many as a range
     partitioner of that width has.
 
-    Cases: a null text has size 1 and sorts with other nulls; a null doc_id
-    sorts first among equal texts; rows with the same text and doc_id can't be
+    Cases: a null text has size 1 and sorts with other nulls; rows without doc_id
+    are ordered among equal texts by a hash of their place in their file; rows with the same text and doc_id can't be
     told apart by key, stay in one shard and take its slots in any order; empty
     tables give no rows; fewer rows than shards leave shards empty."""
-    base = docs.withColumns(
+    keyed, row = with_row_key(docs)
+    h, d, part, rank, place_of = (free_name(docs, name) for name in ("sort_hash", "sort_id", "sort_slice", "sort_rank", "sort_place"))
+    base = keyed.withColumns(
         {
             "size": F.coalesce(F.octet_length(F.col("text")), F.lit(0)).cast("long") + 1,
-            "__h": F.xxhash64("text"),
-            "__d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-_OFFSET)),
+            h: F.xxhash64("text"),
+            d: F.coalesce(F.col("doc_id").cast("long"), F.col(row)),
         }
     )
-    keys = written(base.select(F.col("__h").alias("h"), F.col("__d").alias("d"), "size"), "sort-keys")
+    keys = written(base.select(F.col(h).alias("h"), F.col(d).alias("d"), "size"), "sort-keys")
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     slice_bytes = min(slice_bytes, max(1, total // (shards * slices_per_shard)))
     cuts, known = splitters(keys, shards, tolerance, slice_bytes, probes)
@@ -210,13 +213,13 @@ def histogram_sort(
     def place(s: pd.Series) -> pd.DataFrame:
         return pd.DataFrame({"shard": owner[s.to_numpy()], "base": first[s.to_numpy()]})
 
-    dealt = base.withColumn("__slice", slice_of("__h", "__d"))
-    rank = F.row_number().over(Window.partitionBy("__slice").orderBy("__h", "__d"))
-    out = dealt.withColumn("__rank", rank).withColumn("__place", place("__slice"))
-    kept = [F.col(c) for c in docs.columns if c not in ("size", "shard", "slot")]
+    dealt = base.withColumn(part, slice_of(h, d))
+    within = F.row_number().over(Window.partitionBy(part).orderBy(h, d))
+    out = dealt.withColumn(rank, within).withColumn(place_of, place(part))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("size", "shard", "slot")]
     return out.select(
         *kept,
         "size",
-        F.col("__place.shard").alias("shard"),
-        (F.col("__place.base") + F.col("__rank") - 1).cast("long").alias("slot"),
+        F.col(f"{place_of}.shard").alias("shard"),
+        (F.col(f"{place_of}.base") + F.col(rank) - 1).cast("long").alias("slot"),
     )

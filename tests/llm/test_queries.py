@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 import pytest
 
@@ -36,6 +37,10 @@ def test_contract_of_the_sharding_query(spark):
     rows = df.collect()
     assert {r.law for r in rows} == {"bytes"} and all(r.grown_shard is None for r in rows)
     assert {r.shard for r in rows} <= set(range(16))
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {
+        d: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in texts.items()
+    }
 
 
 def test_pipeline_stages(spark, sample):

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.llm.sharding import histogram_sort
 
@@ -55,3 +56,43 @@ def test_repeated_identical_rows_stay_together(make_docs):
     rows = histogram_sort(make_docs([(1, "same")] * 200 + [(2, "other")]), shards=4).collect()
     assert len({r["shard"] for r in rows if r["doc_id"] == 1}) == 1
     held(rows, 4)
+
+
+def test_hot_rows_without_ids_are_cut(make_docs, spark, tmp_path):
+    """A third of all rows has neither a doc_id nor a text; columns have the names used inside."""
+    pairs = [(None, None) if i % 3 == 0 else (i, f"text {i}") for i in range(3000)]
+    docs = make_docs(pairs)
+    for name in ("sort_hash", "sort_id", "sort_slice", "sort_rank", "sort_place", "row_key", "__h", "__d"):
+        docs = docs.withColumn(name, F.col("lang"))
+    docs.write.parquet(f"{tmp_path}/docs")
+    for source in (docs, spark.read.parquet(f"{tmp_path}/docs")):
+        out = histogram_sort(source, shards=4)
+        assert [c for c in out.columns if c not in ("size", "shard", "slot")] == [c for c in docs.columns if c != "size"]
+        rows = out.collect()
+        assert sorted(map(str, ((x.doc_id, x.text) for x in rows))) == sorted(map(str, pairs))
+        sizes = [sum(x.size for x in part) for part in held(rows, 4).values()]
+        assert max(sizes) - min(sizes) <= 0.002 * sum(sizes) / 4 + 20
+        assert all(x["__h"] == x.lang == x.sort_rank for x in rows)
+
+
+def test_probes_grow_with_the_slices_only(monkeypatch):
+    """10 TB of even keys in 16 shards, slices of 64 MB: the driver's probes."""
+    from marquee.llm import sharding
+
+    total, top = 10 * 10**12, 1 << 128
+
+    def even(_, probes):
+        edges = [0, *probes, top]
+        return [
+            {"at": i, "bytes": (b - a) * total // top, "n": (b - a) * 10**9 // top, "least": parts(a), "most": parts(b - 1)}
+            for i, (a, b) in enumerate(zip(edges, edges[1:]))
+        ]
+
+    parts = lambda k: ((k >> 64) - (1 << 63), (k & ((1 << 64) - 1)) - (1 << 63))
+    monkeypatch.setattr(sharding, "_histogram", even)
+    cuts, known = sharding.splitters(None, 16, 0.001, 64 << 20, 64)
+    assert len(cuts) == 15 and len(known.below) < 600_000
+    sizes = [known.below[c][0] for c in cuts]
+    assert all(abs(s - total * (k + 1) / 16) <= 0.001 * total / 16 for k, s in enumerate(sizes))
+    edges = sorted(v[0] for v in known.below.values())
+    assert max(b - a for a, b in zip(edges, edges[1:])) <= 64 << 20

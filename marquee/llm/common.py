@@ -60,17 +60,23 @@ class Scratch:
     must be written by then: what is read lazily from them would be gone."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+        self.spark, self.paths = spark, {}
 
     def __enter__(self) -> "Scratch":
         return self
 
     def __exit__(self, *_) -> None:
-        discard(self.spark, *self.paths)
+        self.done(*self.paths)
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
-        self.paths.append(stored(df, name))
-        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+        self.paths[name] = stored(df, name)
+        return self.spark.read.schema(df.schema).parquet(self.paths[name])
+
+    def done(self, *names: str) -> None:
+        """Remove these tables now."""
+        for name in names or ():
+            discard(self.spark, self.paths[name])
+        self.paths = {k: v for k, v in self.paths.items() if k not in names}
 
 
 def free_name(df: DataFrame, name: str) -> str:

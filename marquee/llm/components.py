@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,19 +35,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
     MapReduce and Beyond", 2014): a partially aggregated minimum per node and an
     equi-join back, which AQE splits where a hub is hot. The rounds -- some
     log(n) of them -- end when the edge set no longer changes; every round is a
-    written table. Null ends and self-loops are ignored."""
+    written table, and the one before it is removed. Null ends and self-loops are ignored."""
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(
         "a IS NOT NULL AND b IS NOT NULL AND a <> b"
     )
-    current, before = pairs.distinct(), None
+    spark, current, path, before = edges.sparkSession, pairs.distinct(), None, None
     while True:
         seen = Observation()
-        current = written(
-            _star(_star(current, True), False).observe(
-                seen, F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")
-            ),
-            "components",
+        made = _star(_star(current, True), False).observe(
+            seen, F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")
         )
+        last, path = path, stored(made, "components")
+        if last:
+            discard(spark, last)
+        current = spark.read.schema("a long, b long").parquet(path)
         now = seen.get
         if now == before:
             return current.select(F.col("a").alias("node"), F.col("b").alias("component"))

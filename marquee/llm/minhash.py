@@ -11,7 +11,10 @@ and ``m`` is chosen so that this is below ``miss`` at the threshold.
 Tables are not materialised: rows are dealt by U part, and within a U group a
 pair shares table (i, j) iff it also agrees in V_j. A pair is looked at only in
 the group of its first common U part, so once. Groups above ``BLOCK`` members
-are dealt out as pairs of blocks. Candidates are confirmed on full sets, inside
+are first compared with one of their members: those that are similar to it are
+connected, so pairs among them need no look, and a large group of near copies
+costs one comparison for each. What is left is dealt out as pairs of blocks.
+Candidates are confirmed on full sets, inside
 the group, and only a spanning forest of the confirmed links leaves it -- never
 all pairs of a group.
 """
@@ -27,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, texts, with_row_key, written
+from .common import Scratch, free_name, texts, with_row_key, written
 from .components import connected_components
 from .shingles import WordHashes, minhashes, mix, odd_constants, shingle_set, words_of
 
@@ -182,6 +185,71 @@ def _shingle_rows(width: int):
     return run
 
 
+def _hot_groups(rows: DataFrame) -> DataFrame:
+    """ukey and leader of each group above BLOCK members: of those with the
+    commonest first V part, the smallest, so that it is one of many alike."""
+    by_v = rows.groupBy("ukey", F.get("v", F.lit(0)).alias("v0")).agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("leader"))
+    by_key = by_v.groupBy("ukey").agg(F.sum("n").alias("n"), F.max_by("leader", F.struct("n", "leader")).alias("leader"))
+    return by_key.filter(F.col("n") > BLOCK).drop("n")
+
+
+def _similar_to_leader(percent: int):
+    """Rows sorted by (leader, bucket, kind): the leader's set, then its members'."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, held = None, []  # a doc_id that repeats has several sets
+        for pdf in batches:
+            out = []
+            for leader, bucket, kind, rep, raw in zip(*(pdf[c] for c in ("leader", "bucket", "kind", "rep", "shingles"))):
+                own = np.frombuffer(raw, dtype=np.uint64)
+                if group != (leader, bucket):
+                    group, held = (leader, bucket), []
+                if kind == 0:
+                    held.append(own)
+                elif any(similar(own, of_leader, percent) for of_leader in held):
+                    out.append((rep, leader))
+            yield pd.DataFrame(out, columns=["rep", "leader"], dtype="int64")
+
+    return run
+
+
+def _stars(rows: DataFrame, hot: DataFrame, sets_of, percent: int) -> DataFrame:
+    """(rep, leader): members of hot groups that are similar to their leader. A
+    leader's set goes to a bucket for every BLOCK members."""
+    pairs = rows.select("ukey", "rep").join(hot, "ukey").filter("rep <> leader").select("rep", "leader").distinct()
+    sizes = hot.join(rows.groupBy("ukey").count(), "ukey").groupBy("leader").agg(F.ceil(F.sum("count") / BLOCK).cast("int").alias("nb"))
+    of_members = (
+        pairs.join(sizes, "leader")
+        .select("leader", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int").alias("bucket"), F.lit(1).alias("kind"), "rep")
+        .join(sets_of(pairs.select(F.col("rep").alias("doc_id")).distinct()), "rep")
+    )
+    of_leaders = sizes.select(
+        "leader", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bucket"), F.lit(0).alias("kind"), F.col("leader").alias("rep")
+    ).join(sets_of(hot.select(F.col("leader").alias("doc_id")).distinct()), "rep")
+    dealt = of_members.unionByName(of_leaders).repartition("leader", "bucket").sortWithinPartitions("leader", "bucket", "kind")
+    return dealt.mapInPandas(_similar_to_leader(percent), "rep long, leader long")
+
+
+def _dealt(rows: DataFrame, hot: DataFrame, stars: DataFrame) -> DataFrame:
+    """Rows to the pairs of blocks (b1, b2) of their group in which they are compared.
+    Blocks of a hot group's star come first and aren't compared with each other."""
+    led = rows.join(hot, "ukey", "left").join(stars.withColumn("starred", F.lit(True)), ["rep", "leader"], "left")
+    star = F.coalesce(F.col("starred"), F.col("rep") == F.col("leader"), F.lit(False))
+    led = led.select("ukey", "part", "rep", "u", "v", star.alias("star"))
+    sizes = led.groupBy("ukey").agg(
+        F.count(F.lit(1)).alias("n"), F.ceil(F.count_if("star") / BLOCK).cast("int").alias("ns"), F.ceil(F.count_if(~F.col("star")) / BLOCK).cast("int").alias("nr")
+    )
+    place = F.xxhash64("rep", F.lit(1))
+    block = F.when(F.col("star"), F.pmod(place, F.greatest("ns", F.lit(1)))).otherwise(F.col("ns") + F.pmod(place, F.greatest("nr", F.lit(1)))).cast("int")
+    others = F.sequence(F.when(F.col("star"), F.col("ns")).otherwise(F.lit(0)), F.col("ns") + F.col("nr") - 1)
+    return (
+        led.join(sizes.filter("n > 1 AND nr > 0"), "ukey")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(others))
+        .select("ukey", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "part", "rep", "u", "v")
+    )
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, miss: float = 1e-6) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -194,60 +262,63 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, miss:
     through their smallest doc_id (never as pairs); rows that repeat a doc_id
     are one node, linked if any of its texts is, and each row is returned; a
     row without doc_id has a null component and is kept; other columns are
-    ignored; no documents give no rows."""
-    m = collection_size(percent / 100, miss=miss)
-    sig = written(signatures(docs, width=width, m=m), "minhash-signatures")
+    ignored; no documents give no rows. The result is a written table."""
+    with Scratch(docs.sparkSession) as scratch:
+        return _linked(docs, percent, width, collection_size(percent / 100, miss=miss), scratch)
+
+
+def _linked(docs: DataFrame, percent: int, width: int, m: int, scratch: Scratch) -> DataFrame:
+    sig = scratch.written(signatures(docs, width=width, m=m), "minhash-signatures")
     known = sig.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
 
     # a table of its own, so that AQE can split a hot digest in the join with it
-    repeated = written(
+    repeated = scratch.written(
         known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"),
         "minhash-repeated",
     )
-    copies = written(
+    copies = scratch.written(
         known.select("doc_id", "digest").join(repeated, "digest").filter("doc_id <> rep").select("doc_id", "digest", "rep"),
         "minhash-copies",
     )
     reps = known.join(copies.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti")
     reps = reps.dropDuplicates(["doc_id", "digest"]).select(F.col("doc_id").alias("rep"), "u", "v")
 
-    rows = written(
+    rows = scratch.written(
         reps.select("rep", "u", "v", F.posexplode("u").alias("part", "upart")).select(
             F.xxhash64("part", "upart").alias("ukey"), "part", "rep", "u", "v"
         ),
         "minhash-parts",
     )
-    shared = rows.groupBy("ukey").count().filter("count > 1")
-    blocks = F.ceil(F.col("count") / F.lit(BLOCK)).cast("int")
-    dealt = (
-        rows.join(shared, "ukey")
-        .withColumn("nb", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("nb")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        .select("ukey", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "part", "rep", "u", "v")
-    )
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = texts(docs).join(ids, "doc_id", "left_semi")
+        return wanted.mapInPandas(_shingle_rows(width), "rep long, shingles binary")
+
+    hot = scratch.written(_hot_groups(rows), "minhash-hot")
+    if hot.isEmpty():
+        stars = docs.sparkSession.createDataFrame([], "rep long, leader long")
+    else:
+        stars = scratch.written(_stars(rows, hot, sets_of, percent), "minhash-stars")
+    dealt = _dealt(rows, hot, stars)
     group = ["ukey", "b1", "b2"]
     schema = "ukey long, b1 int, b2 int, block int, part int, rep long, u array<long>, v array<long>"
-    members = written(
+    members = scratch.written(
         dealt.repartition(*group).sortWithinPartitions(*group).mapInPandas(_candidate_members, schema),
         "minhash-candidates",
     )
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = (
-        texts(docs)
-        .join(wanted, "doc_id", "left_semi")
-        .mapInPandas(_shingle_rows(width), "rep long, shingles binary")
-    )
+    scratch.done("minhash-parts")
     links = (
-        members.join(sets, "rep")
+        members.join(sets_of(members.select(F.col("rep").alias("doc_id")).distinct()), "rep")
         .repartition(*group)
         .sortWithinPartitions(*group)
         .mapInPandas(_confirmed(percent), "a long, b long")
     )
-    edges = links.union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    found = connected_components(written(edges, "minhash-links"))
+    edges = links.union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))).union(stars)
+    edges = scratch.written(edges, "minhash-links")
+    scratch.done("minhash-candidates")
+    found = connected_components(edges)
     component = F.coalesce("component", "doc_id")
-    return (
+    out = (
         sig.select("doc_id", "n_shingles")
         .join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select(
@@ -257,6 +328,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, miss:
             (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"),
         )
     )
+    return written(out, "near-duplicate-components")
 
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:

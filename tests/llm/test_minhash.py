@@ -110,3 +110,43 @@ def test_rows_decide_where_ids_repeat_or_are_missing(spark, make_docs, tmp_path,
     assert kept == sorted([(1, a), (2, clean), (3, b), (None, other), (4, None), (4, None), (5, ""), (6, c)], key=str) or kept == sorted(
         [(1, a), (2, clean), (None, b), (None, other), (4, None), (4, None), (5, ""), (6, c)], key=str
     )
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_hot_groups_are_linked_through_a_leader(spark, make_docs, monkeypatch, seed):
+    """Near copies, and others that share some of their parts; a doc_id with two texts."""
+    from marquee.llm import minhash
+
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    second = base[:110] + [f"v{i}" for i in range(40)]
+    docs = {i: " ".join(edited(r, base, 0.004)) for i in range(70)}
+    docs |= {100 + i: " ".join(edited(r, second, r.choice([0.0, 0.01, 0.02]))) for i in range(40)}
+    docs |= {200 + i: " ".join(f"x{r.randint(0, 10**6)}" for _ in range(60)) for i in range(10)}
+    rows = near_duplicates(make_docs(docs.items()), percent=85).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in rows} == brute(docs, 85)
+    twice = [*docs.items(), (5, docs[200]), (0, docs[201])]
+    got = {x.doc_id: x.component_id for x in near_duplicates(make_docs(twice), percent=85).collect()}
+    want = {d: c for d, (_, c) in brute(docs, 85).items()}
+    assert got[200] == got[201] == got[5] == 0 and all(got[d] == c for d, c in want.items() if d not in (200, 201))
+
+
+def test_a_group_of_near_copies_needs_no_pairs(spark, monkeypatch):
+    """Rows that are dealt out to be compared: none of a star's, n times the rest of others."""
+    from marquee.llm import minhash
+
+    monkeypatch.setattr(minhash, "BLOCK", 10)
+    n, rest = 1000, 7
+    rows = spark.createDataFrame([(1, 0, i, [1, 2], [3, 4]) for i in range(n)] + [(2, 0, 5000 + i, [1, 2], [3, 4]) for i in range(9)],
+                                 "ukey long, part int, rep long, u array<long>, v array<long>")
+    hot = minhash._hot_groups(rows)
+    assert [tuple(x) for x in hot.collect()] == [(1, 0)]
+    star = lambda k: spark.createDataFrame([(i, 0) for i in range(1, k)], "rep long, leader long")
+    small = lambda df: df.filter("ukey = 2").count()
+    dealt = minhash._dealt(rows, hot, star(n))
+    assert dealt.filter("ukey = 1").count() == 0 and small(dealt) == 9
+    dealt = minhash._dealt(rows, hot, star(n - rest))
+    blocks = -(-(n - rest) // 10)
+    assert dealt.filter("ukey = 1").count() == (n - rest) + rest * (blocks + 1) and small(dealt) == 9
+    assert dealt.filter("b1 < b2 AND b2 < 100").count() == 0

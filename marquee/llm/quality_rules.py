@@ -271,14 +271,14 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01,
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, risk: float = 0.01, error: float = 0.05) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns. Texts are measured in
-    place and never moved; those with good labels once more before, for the cutoffs.
+    """The rows of ``docs`` that are kept, with their columns. Texts are measured
+    twice -- for the cutoffs, then in place -- and never moved: only measures meet
+    the labels, as choosing the labelled texts first would shuffle all of them.
 
     The filter must not be pushed below the measures, where it would repeat
     their expressions; a row number, which isn't deterministic, holds it."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", stratum_of(docs).alias("stratum"))
-    graded = named.join(good_ids(labels), "doc_id", "left_semi")
-    measured = with_measures(graded).select("doc_id", "stratum", F.col("__measures").alias("measures"))
+    measured = with_measures(named).select("doc_id", "stratum", F.col("__measures").alias("measures"))
     limits = written(cutoffs(measured, labels, risk=risk, error=error), "quality-cutoffs")
     numbered = with_measures(docs).withColumn("__row", F.monotonically_increasing_id())
     kept = judged(numbered, limits).filter("__kept AND __row >= 0")

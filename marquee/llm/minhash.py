@@ -352,3 +352,31 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     found = near_duplicates(named.select(F.col(node).alias("doc_id"), "text"), **options)
     drop = written(found.filter("NOT kept").select(F.col("doc_id").alias(node)).distinct(), "near-duplicates")
     return named.join(drop, node, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def duplicates_sql(percent: int, width: int = 5) -> str:
+    """``near_duplicates`` in DuckDB SQL: overlaps of all sets that share a shingle,
+    equal sets through their smallest doc_id, and a walk over the links."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{letters.upper()}', '{letters}'), '[ \\t\\n\\x0B\\f\\r]+'),
+                             lambda w: w <> '') AS words FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + {width - 1}], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {width - 2}, 2))) AS i FROM doc WHERE len(words) > 0)
+), whole AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS digest FROM shingle GROUP BY doc_id
+), named AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY digest) AS rep FROM whole
+), own AS (SELECT rep, n, s FROM named JOIN shingle USING (doc_id) WHERE doc_id = rep
+), pair AS (
+  SELECT a.rep AS a, b.rep AS b FROM own a JOIN own b ON a.s = b.s AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
+), link AS (
+  SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair
+  UNION ALL SELECT doc_id, rep FROM named WHERE doc_id <> rep UNION ALL SELECT rep, doc_id FROM named WHERE doc_id <> rep
+), reach AS (
+  SELECT doc_id, doc_id AS node FROM doc UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.node = link.a
+), component AS (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM component LEFT JOIN whole USING (doc_id)"""

@@ -10,14 +10,14 @@ from .chat import digest_sql, format_conversations, read_back
 from .common import read_table
 from .decontamination import leaks
 from .licences import licence_scan, scan_sql
-from .minhash import near_duplicates
+from .minhash import duplicates_sql, near_duplicates
 from .negatives import hard_negatives, negatives_sql
 from .packing import pack
 from .pii import with_surrogates
 from .ranking import ranked_quality
 from .quality_rules import CHAIN, RULES, WINDOW, quality_verdicts
 from .sharding import histogram_sort
-from .suffixes import without_repeats
+from .suffixes import repeats_sql, without_repeats
 from .toxicity import toxicity_scores
 from .whitening import whitened
 
@@ -205,7 +205,9 @@ PLANTED_SQL = f"SELECT -1, 0, 'user', '{CONFLICT}' UNION ALL SELECT -1, 1, 'assi
 
 SQL: dict[str, str] = {
     "op2_risk_controlled_rules": rules_sql(),
+    "op4_difference_cover": repeats_sql(),
     "op8_licence_sentences": scan_sql(),
+    "op9_minhash_tensored": duplicates_sql(85),
     "op11_inverted_multi_index": negatives_sql(),
     "op12_grammar_round_trip": digest_sql(PLANTED_SQL),
 }

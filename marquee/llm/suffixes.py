@@ -448,3 +448,31 @@ def _resolved(texts: DataFrame, nameless: DataFrame, ranges: int, scratch: Scrat
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
     marked = found.join(per_batch(earlier, "earlier"), "batch", "left").mapInPandas(_last_pass(ranges), schema)
     return written(marked.union(nameless), "without-repeats")
+
+
+def repeats_sql() -> str:
+    """The query by all windows of bytes, in DuckDB SQL. Bytes are pairs of hex digits."""
+    return f"""
+WITH doc AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents
+), win AS (
+  SELECT doc_id, i, substring(h, 2 * i + 1, {2 * WIDTH}) AS w
+  FROM (SELECT doc_id, h, unnest(range(0, n - {WIDTH - 1})) AS i FROM doc WHERE n >= {WIDTH})
+), shared AS (
+  SELECT w, min(doc_id) AS first FROM win GROUP BY w HAVING min(doc_id) < max(doc_id)
+), hit AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {WIDTH}, true) AS new
+  FROM win JOIN shared USING (w) WHERE doc_id > first
+), run AS (
+  SELECT doc_id, min(i) AS b, max(i) + {WIDTH} AS e
+  FROM (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM hit) GROUP BY doc_id, g
+), cut AS (  -- what is kept before each run, and after the last
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS b, b AS e FROM run
+  UNION ALL SELECT doc_id, coalesce(max(e), 0), max(n) FROM doc LEFT JOIN run USING (doc_id) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, coalesce(string_agg(substring(h, 2 * b + 1, 2 * (e - b)), '' ORDER BY b) FILTER (WHERE e > b), '') AS h
+  FROM cut JOIN doc USING (doc_id) GROUP BY doc_id
+), removed AS (SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans FROM run GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM doc JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)"""

@@ -22,6 +22,16 @@ def semi_global(item, text):
     return min(row)
 
 
+def least_edits(item, text):
+    """``semi_global`` on byte arrays, a row at a time."""
+    at = np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, dtype=np.int64)
+    for c in item:
+        step = np.minimum(np.concatenate(([row[0] + 1], row[:-1] + (text != c))), row + 1)
+        row = np.minimum.accumulate(step - at) + at
+    return int(row.min())
+
+
 def mutate(r, text, edits):
     out = list(text)
     for _ in range(edits):

@@ -7,6 +7,7 @@ histogram alone, which has ``seq_len`` bins whatever the corpus size.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -36,6 +37,37 @@ _LATIN = re.compile(
 
 
 _BEYOND = re.compile(r"[^\x00-\xff]")
+# The normaliser and pre-tokeniser that _LATIN and the cuts at blanks are equal to. Fixed values.
+_NORMALISER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PRE_TOKENISER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def _cut_as_here(tokenizer) -> bool:
+    """Whether texts may be cut into pre-tokens here: another vocabulary's rules
+    need the whole text."""
+    spec = json.loads(tokenizer.to_str())
+    return (
+        spec["normalizer"] == _NORMALISER
+        and spec["pre_tokenizer"] == _PRE_TOKENISER
+        and spec["post_processor"] is None
+        and spec["model"]["type"] == "BPE"
+        and spec["model"]["dropout"] is None
+        and all("<|" in t["content"] for t in spec["added_tokens"])
+    )
 
 
 def _byte_symbols() -> dict[int, str]:
@@ -59,6 +91,7 @@ class _Ids(dict):
         super().__init__()
         self.tokenizer, self.bound = Tokenizer.from_file(path), bound
         self.model, self.symbols, self.parts = self.tokenizer.model, _byte_symbols(), {}
+        self.cut = _cut_as_here(self.tokenizer)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -88,14 +121,15 @@ def _ids_of_worker(path: str) -> _Ids:
 
 
 def token_ids(text: str | None, ids: _Ids) -> bytes:
-    """The vocabulary's ids of a text. Its pre-tokeniser cuts at white space and
-    between letters, digits and marks, and nothing crosses those cuts, so a text
-    is the concatenation of its pre-tokens' ids. Latin-1 texts are cut by an
-    equal pattern; others at blanks, each part left to the vocabulary; texts
-    with a special token's string are given to it whole."""
+    """The vocabulary's ids of a text. Where its pre-tokeniser is the one known here,
+    it cuts at white space and between letters, digits and marks, and nothing
+    crosses those cuts, so a text is the concatenation of its pre-tokens' ids.
+    Latin-1 texts are cut by an equal pattern; others at blanks, each part left to
+    the vocabulary. Texts with a special token's string, and all texts of other
+    vocabularies, are given to it whole."""
     if not text:
         return b""
-    if "<|" in text:
+    if not ids.cut or "<|" in text:
         return ids.whole(text)
     if text.isascii() or _BEYOND.search(text) is None:
         return b"".join(map(ids.__getitem__, _LATIN.findall(text.lower())))

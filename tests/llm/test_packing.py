@@ -91,3 +91,23 @@ def test_plan_uses_every_piece_once_and_few_bins(seed):
     table = slots(packed)
     for x in np.flatnonzero(counts):  # ranges of ranks partition each length
         assert table["rank"][table["length"] == x][0] == 0
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_the_vocabularys_own(make_docs, sample, name):
+    """Also of a vocabulary with other rules, whose texts are given to it whole."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from marquee.llm.packing import _cut_as_here, token_pieces
+
+    path = str(public_tokenizers.path(name))
+    tokenizer = Tokenizer.from_file(path)
+    assert _cut_as_here(tokenizer) == (name == "word_bpe_49k.json")
+    texts = dict(list(sample.items())[:60])
+    texts |= {9001: "It's  THE\n\nÀÉ 12³ <|endoftext|> x", 9002: "日本 \U0001f600 Ünḯ", 9003: None, 9004: " "}
+    rows = token_pieces(make_docs(texts.items()), path, seq_len=64, end_id=0, with_ids=True).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        got.setdefault(r.doc_id, []).extend(r.ids)
+    assert got == {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for d, t in texts.items()}

@@ -33,6 +33,19 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
+@contextmanager
+def arrow_records(spark: SparkSession, records: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for the writes within, where rows are
+    large (the default is ten thousand, whatever their size)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(records))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> str:
     """The path of ``df``, written to the cluster's shared checkpoint folder."""
     path = scratch_path(df.sparkSession, name)

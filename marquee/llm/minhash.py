@@ -11,9 +11,9 @@ and ``m`` is chosen so that this is below ``miss`` at the threshold.
 Tables are not materialised: rows are dealt by U part, and within a U group a
 pair shares table (i, j) iff it also agrees in V_j. A pair is looked at only in
 the group of its first common U part, so once. Groups above ``BLOCK`` members
-are first compared with one of their members: those that are similar to it are
-connected, so pairs among them need no look, and a large group of near copies
-costs one comparison for each. What is left is dealt out as pairs of blocks.
+have leaders, and each member is first compared with one of them: those similar to
+the same are connected, so pairs among them need no look, and a large group of near
+copies costs one comparison for each. What is left is dealt out as pairs of blocks.
 Candidates are confirmed on full sets, inside
 the group, and only a spanning forest of the confirmed links leaves it -- never
 all pairs of a group.
@@ -30,12 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_name, texts, with_row_key, written
+from .common import Scratch, arrow_records, free_name, texts, with_row_key, written
 from .components import connected_components
 from .shingles import WordHashes, minhashes, mix, odd_constants, shingle_set, words_of
 
 BLOCK = 512  # members of a U group that one task compares with as many others
 PARTS = 2
+ARROW_RECORDS = 1000  # texts, or sets of shingles, in one Arrow batch
 
 
 def collection_size(similarity: float, parts: int = PARTS, miss: float = 1e-6) -> int:
@@ -185,10 +186,17 @@ def _shingle_rows(width: int):
     return run
 
 
-def _hot_groups(rows: DataFrame) -> DataFrame:
+def _exploded(reps: DataFrame, *columns: str) -> DataFrame:
+    """A row for each U part: ukey, part, rep and the columns named."""
+    parts = reps.select("rep", *columns, F.posexplode("u").alias("part", "upart"))
+    return parts.select(F.xxhash64("part", "upart").alias("ukey"), "part", "rep", *columns)
+
+
+def _hot_groups(reps: DataFrame) -> DataFrame:
     """ukey and leader of each group above BLOCK members: of those with the
     commonest first V part, the smallest, so that it is one of many alike."""
-    by_v = rows.groupBy("ukey", F.get("v", F.lit(0)).alias("v0")).agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("leader"))
+    narrow = _exploded(reps.select("rep", "u", F.get("v", F.lit(0)).alias("v0")), "v0")
+    by_v = narrow.groupBy("ukey", "v0").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("leader"))
     by_key = by_v.groupBy("ukey").agg(F.sum("n").alias("n"), F.max_by("leader", F.struct("n", "leader")).alias("leader"))
     return by_key.filter(F.col("n") > BLOCK).drop("n")
 
@@ -213,38 +221,53 @@ def _similar_to_leader(percent: int):
     return run
 
 
-def _stars(rows: DataFrame, hot: DataFrame, sets_of, percent: int) -> DataFrame:
-    """(rep, leader): members of hot groups that are similar to their leader. A
-    leader's set goes to a bucket for every BLOCK members."""
-    pairs = rows.select("ukey", "rep").join(hot, "ukey").filter("rep <> leader").select("rep", "leader").distinct()
-    sizes = hot.join(rows.groupBy("ukey").count(), "ukey").groupBy("leader").agg(F.ceil(F.sum("count") / BLOCK).cast("int").alias("nb"))
+def _stars(reps: DataFrame, hot: DataFrame, sets_of, percent: int) -> DataFrame:
+    """(rep, leader): members of hot groups that are similar to a leader. Each member
+    is compared with one, the smallest leader of its hot groups, so its set is moved
+    once; a leader's set goes to a bucket for every BLOCK members."""
+    pairs = _exploded(reps.select("rep", "u")).join(hot, "ukey").groupBy("rep").agg(F.min("leader").alias("leader")).filter("leader < rep")
+    sizes = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
     of_members = (
         pairs.join(sizes, "leader")
         .select("leader", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int").alias("bucket"), F.lit(1).alias("kind"), "rep")
-        .join(sets_of(pairs.select(F.col("rep").alias("doc_id")).distinct()), "rep")
+        .join(sets_of(pairs.select(F.col("rep").alias("doc_id"))), "rep")
     )
     of_leaders = sizes.select(
         "leader", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bucket"), F.lit(0).alias("kind"), F.col("leader").alias("rep")
-    ).join(sets_of(hot.select(F.col("leader").alias("doc_id")).distinct()), "rep")
+    ).join(sets_of(sizes.select(F.col("leader").alias("doc_id"))), "rep")
     dealt = of_members.unionByName(of_leaders).repartition("leader", "bucket").sortWithinPartitions("leader", "bucket", "kind")
-    return dealt.mapInPandas(_similar_to_leader(percent), "rep long, leader long")
-
-
-def _dealt(rows: DataFrame, hot: DataFrame, stars: DataFrame) -> DataFrame:
-    """Rows to the pairs of blocks (b1, b2) of their group in which they are compared.
-    Blocks of a hot group's star come first and aren't compared with each other."""
-    led = rows.join(hot, "ukey", "left").join(stars.withColumn("starred", F.lit(True)), ["rep", "leader"], "left")
-    star = F.coalesce(F.col("starred"), F.col("rep") == F.col("leader"), F.lit(False))
-    led = led.select("ukey", "part", "rep", "u", "v", star.alias("star"))
+    return dealt.mapInPandas(_similar_to_leader(percent), "rep long, leader long").distinct()
+
+
+def _classes(stars: DataFrame) -> DataFrame:
+    """(rep, class): the least leader reached over a few links of ``stars``, in which
+    leaders have leaders too. A class that isn't followed to its end costs
+    comparisons only."""
+    out = stars.select("rep", F.col("leader").alias("class"))
+    for _ in range(2):
+        above = out.select(F.col("rep").alias("class"), F.col("class").alias("above"))
+        out = out.join(above, "class", "left").select("rep", F.coalesce("above", "class").alias("class"))
+    return out
+
+
+def _dealt(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows (ukey, part, rep, class, u, v) to the pairs of blocks (b1, b2) of their
+    group in which they are compared. The members of a hot group (ukey, class of its
+    leader) of the leader's class are connected: their blocks come first and aren't
+    compared with each other."""
+    led = rows.join(hot.withColumnRenamed("class", "leading"), "ukey", "left")
+    led = led.withColumn("star", F.coalesce(F.col("class") == F.col("leading"), F.lit(False)))
     sizes = led.groupBy("ukey").agg(
-        F.count(F.lit(1)).alias("n"), F.ceil(F.count_if("star") / BLOCK).cast("int").alias("ns"), F.ceil(F.count_if(~F.col("star")) / BLOCK).cast("int").alias("nr")
+        F.count(F.lit(1)).alias("n"),
+        F.ceil(F.count_if("star") / BLOCK).cast("int").alias("ns"),
+        F.ceil(F.count_if(~F.col("star")) / BLOCK).cast("int").alias("nr"),
     )
     place = F.xxhash64("rep", F.lit(1))
-    block = F.when(F.col("star"), F.pmod(place, F.greatest("ns", F.lit(1)))).otherwise(F.col("ns") + F.pmod(place, F.greatest("nr", F.lit(1)))).cast("int")
+    block = F.when(F.col("star"), F.pmod(place, F.greatest("ns", F.lit(1)))).otherwise(F.col("ns") + F.pmod(place, F.greatest("nr", F.lit(1))))
     others = F.sequence(F.when(F.col("star"), F.col("ns")).otherwise(F.lit(0)), F.col("ns") + F.col("nr") - 1)
     return (
         led.join(sizes.filter("n > 1 AND nr > 0"), "ukey")
-        .withColumn("block", block)
+        .withColumn("block", block.cast("int"))
         .withColumn("other", F.explode(others))
         .select("ukey", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "part", "rep", "u", "v")
     )
@@ -263,7 +286,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, miss:
     are one node, linked if any of its texts is, and each row is returned; a
     row without doc_id has a null component and is kept; other columns are
     ignored; no documents give no rows. The result is a written table."""
-    with Scratch(docs.sparkSession) as scratch:
+    spark = docs.sparkSession
+    with Scratch(spark) as scratch, arrow_records(spark, ARROW_RECORDS):
         return _linked(docs, percent, width, collection_size(percent / 100, miss=miss), scratch)
 
 
@@ -282,24 +306,24 @@ def _linked(docs: DataFrame, percent: int, width: int, m: int, scratch: Scratch)
     )
     reps = known.join(copies.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti")
     reps = reps.dropDuplicates(["doc_id", "digest"]).select(F.col("doc_id").alias("rep"), "u", "v")
-
-    rows = scratch.written(
-        reps.select("rep", "u", "v", F.posexplode("u").alias("part", "upart")).select(
-            F.xxhash64("part", "upart").alias("ukey"), "part", "rep", "u", "v"
-        ),
-        "minhash-parts",
-    )
+    reps = scratch.written(reps, "minhash-reps")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = texts(docs).join(ids, "doc_id", "left_semi")
         return wanted.mapInPandas(_shingle_rows(width), "rep long, shingles binary")
 
-    hot = scratch.written(_hot_groups(rows), "minhash-hot")
+    hot = scratch.written(_hot_groups(reps), "minhash-hot")
     if hot.isEmpty():
         stars = docs.sparkSession.createDataFrame([], "rep long, leader long")
+        rows, hot = reps.withColumn("class", F.col("rep")), hot.withColumnRenamed("leader", "class")
     else:
-        stars = scratch.written(_stars(rows, hot, sets_of, percent), "minhash-stars")
-    dealt = _dealt(rows, hot, stars)
+        stars = scratch.written(_stars(reps, hot, sets_of, percent), "minhash-stars")
+        classes = scratch.written(_classes(stars), "minhash-classes")
+        rows = reps.join(classes, "rep", "left").withColumn("class", F.coalesce("class", "rep"))
+        leading = hot.join(classes.withColumnRenamed("rep", "leader"), "leader", "left")
+        hot = scratch.written(leading.select("ukey", F.coalesce("class", "leader").alias("class")), "minhash-leading")
+    rows = scratch.written(_exploded(rows, "class", "u", "v"), "minhash-parts")
+    dealt = _dealt(rows, hot)
     group = ["ukey", "b1", "b2"]
     schema = "ukey long, b1 int, b2 int, block int, part int, rep long, u array<long>, v array<long>"
     members = scratch.written(

@@ -26,15 +26,14 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import arrow_records, written
 from .vectors import integer_vectors
 
 SAMPLE = 16_384  # rows the codebooks are fitted on; every row is indexed
@@ -45,7 +44,6 @@ BATCH = 256  # anchors compared at once
 GROUP = 128  # blocks that stream past a batch in one group
 FIRST_ROUND, GROWTH = 4096, 8  # rows an anchor visits in its first round; growth of their number
 LARGEST = float(1 << 22)  # of an integer entry: 100 x scores of 4096 dimensions fit a long
-_BATCHES = "arrow.maxRecordsPerBatch"
 
 
 def _half_distances(z: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -134,18 +132,6 @@ def cells_to_visit(
     return out
 
 
-@contextmanager
-def _small_arrow_batches(spark: SparkSession, records: int):
-    """Rows here are blocks; ten thousand in one Arrow batch would be gigabytes."""
-    key = f"spark.sql.execution.{_BATCHES}"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(records))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _matrix(raw: bytes, d: int) -> np.ndarray:
     return np.frombuffer(raw, dtype="<i4").reshape(-1, d)
 
@@ -359,7 +345,7 @@ class MultiIndex:
                 now = windows.withColumn("need", F.col("lo"))
             # a batch has at most BATCH anchors, each with a window for each positive
             per_batch = now.groupBy("block").agg(F.collect_list(F.struct("at", "w", "lo", "hi", "need")).cast(_WINDOWS).alias("windows"))
-            with _small_arrow_batches(self.spark, 32):
+            with arrow_records(self.spark, 32):  # rows are blocks; ten thousand at once would be gigabytes
                 asking = written(batches.join(per_batch, "block"), "multi-index-asking")
                 visits = written(
                     asking.mapInPandas(_visits(self.books, self.d, done, budget), "batch long, cell int, mask binary, n_blocks long"),

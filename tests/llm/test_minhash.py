@@ -133,20 +133,28 @@ def test_hot_groups_are_linked_through_a_leader(spark, make_docs, monkeypatch, s
 
 
 def test_a_group_of_near_copies_needs_no_pairs(spark, monkeypatch):
-    """Rows that are dealt out to be compared: none of a star's, n times the rest of others."""
+    """Rows that are dealt out to be compared: none of a leader's class, n times the rest of others."""
     from marquee.llm import minhash
 
     monkeypatch.setattr(minhash, "BLOCK", 10)
     n, rest = 1000, 7
-    rows = spark.createDataFrame([(1, 0, i, [1, 2], [3, 4]) for i in range(n)] + [(2, 0, 5000 + i, [1, 2], [3, 4]) for i in range(9)],
-                                 "ukey long, part int, rep long, u array<long>, v array<long>")
-    hot = minhash._hot_groups(rows)
-    assert [tuple(x) for x in hot.collect()] == [(1, 0)]
-    star = lambda k: spark.createDataFrame([(i, 0) for i in range(1, k)], "rep long, leader long")
-    small = lambda df: df.filter("ukey = 2").count()
-    dealt = minhash._dealt(rows, hot, star(n))
-    assert dealt.filter("ukey = 1").count() == 0 and small(dealt) == 9
-    dealt = minhash._dealt(rows, hot, star(n - rest))
-    blocks = -(-(n - rest) // 10)
-    assert dealt.filter("ukey = 1").count() == (n - rest) + rest * (blocks + 1) and small(dealt) == 9
-    assert dealt.filter("b1 < b2 AND b2 < 100").count() == 0
+    reps = spark.createDataFrame([(i, [1, 2], [3, 4]) for i in range(n)] + [(5000 + i, [8, 9], [3, 4]) for i in range(9)], "rep long, u array<long>, v array<long>")
+    hot = minhash._hot_groups(reps)
+    assert sorted(x.leader for x in hot.collect()) == [0, 0]  # a group for each of two U parts
+    ukey = hot.first().ukey
+    leading = hot.select("ukey", F.lit(0).cast("long").alias("class"))
+    for left in (0, rest):
+        classes = F.when(F.col("rep") < n - left, 0).otherwise(F.col("rep")).cast("long")
+        rows = minhash._exploded(reps.withColumn("class", classes), "class", "u", "v")
+        dealt = minhash._dealt(rows, leading)
+        blocks = -(-(n - left) // 10)
+        assert dealt.filter(F.col("ukey") == ukey).count() == ((n - left) + left * (blocks + 1) if left else 0)
+        assert dealt.filter("rep >= 5000").count() == 2 * 9
+        assert dealt.filter(f"b1 < b2 AND b2 < {blocks}").count() == 0
+
+
+def test_classes_follow_leaders_of_leaders(spark):
+    from marquee.llm.minhash import _classes
+
+    stars = spark.createDataFrame([(9, 7), (8, 7), (7, 3), (3, 1), (20, 15)], "rep long, leader long")
+    assert {(r.rep, r["class"]) for r in _classes(stars).collect()} == {(9, 1), (8, 1), (7, 1), (3, 1), (20, 15)}

@@ -67,7 +67,7 @@ _NAME = rf"(?:{_INITIAL}(?:\.[ ]?|[ ])){{0,3}}{_WORD}(?:[ ](?:{_INITIAL}\.[ ]?){
 _PART = re.compile(r"[^\W\d_]+")
 _GIVEN = "|".join(sorted(GIVEN, key=len, reverse=True))
 # One alternation; the first that matches at a place wins.
-_PATTERN = re.compile(
+_SHAPED = (
     r"(?P<email>[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<token>\b(?=[0-9a-fA-F]*\d)(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{24,}\b"
@@ -78,11 +78,24 @@ _PATTERN = re.compile(
     r"|(?P<card>\b\d(?:[ -]?\d){12,18}\b)"
     r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\b\d{3}[ .-])\d{3,4}[ .-]\d{3,4}\b|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}\b"
     r"|(?<![\w.,/-])[2-9]\d{2}-\d{4}\b(?![-/]|[.,]\d))"
-    rf"|\b(?P<title>{_TITLE})\b\.?[ ](?P<person>{_NAME})"
-    rf"|\b(?P<full>(?:{_GIVEN})(?:-(?:{_GIVEN}))?(?:[ ]{_INITIAL}\.)*[ ]{_WORD})"
 )
-# A text without any of these holds no entity: each alternative of _PATTERN needs one.
-_MAYBE = re.compile(rf"[@\d]|{_SECRET}|\b(?:{_TITLE}|{_GIVEN})\b")
+_TITLED = rf"|\b(?P<title>{_TITLE})\b\.?[ ](?P<person>{_NAME})"
+_FULL = rf"|\b(?P<full>(?:{_GIVEN})(?:-(?:{_GIVEN}))?(?:[ ]{_INITIAL}\.)*[ ]{_WORD})"
+_PATTERN = re.compile(_SHAPED + _TITLED + _FULL)
+_PATTERNS = {(t, f): re.compile(_SHAPED + _TITLED * t + _FULL * f) for t in (False, True) for f in (False, True)}
+# What the alternatives need: a digit, an at sign or a secret; a title; a given name.
+_MAYBE = re.compile(rf"[@\d]|{_SECRET}")
+_CAPITALISED = re.compile(r"\b[^\W\d_a-z][^\W\d_]*")
+_TITLE_WORDS = frozenset(_TITLE.split("|"))
+
+
+def _pattern_of(text: str) -> re.Pattern | None:
+    """The alternatives that can match in a text (the words that names begin with are
+    many, so they are looked for only where there is one); None if none can."""
+    words = set(_CAPITALISED.findall(text))
+    titled, full = not words.isdisjoint(_TITLE_WORDS), not words.isdisjoint(GIVEN)
+    return _PATTERNS[titled, full] if titled or full or _MAYBE.search(text) else None
+
 
 # Syllables of surrogate names, per script.
 SYLLABLES = {
@@ -122,12 +135,13 @@ def entities(text: str | None) -> list[tuple[int, int, str, str, str]]:
     kinds are name/<script>, one entity for each word or initial of a name; gender is
     what this text says of a name (m, f or nothing) and empty for others. A
     name's words, but not its initials, are also found where they occur alone in the same text."""
-    if not text or _MAYBE.search(text) is None:
+    pattern = _pattern_of(text) if text else None
+    if pattern is None:
         return []
     out: list[tuple[int, int, str, str]] = []
     said: dict[str, set[str]] = {}
     alone: dict[str, str] = {}
-    for m in _PATTERN.finditer(text):
+    for m in pattern.finditer(text):
         group = m.lastgroup
         if group not in ("person", "full"):
             out.append((m.start(), m.end(), group, _norm(group, m.group())))

@@ -138,7 +138,10 @@ def test_prefilter_holds_where_the_pattern_finds(sample):
     assert all(pii._PATTERN.search(t) and entities(t) for t in alone)
     texts = [t for t in sample.values() if t]
     texts += [re.sub(r"[\d@]", "", t) for t in texts]
-    assert all(pii._MAYBE.search(t) for t in texts if pii._PATTERN.search(t))
+    texts += alone + [f"x{t}y {t}" for t in alone] + [" ".join(alone)]
+    for t in texts:
+        chosen = pii._pattern_of(t)
+        assert [m.span() for m in pii._PATTERN.finditer(t)] == ([m.span() for m in chosen.finditer(t)] if chosen else [])
 
 
 def test_untitled_full_names_and_hyphens():

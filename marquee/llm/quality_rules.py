@@ -210,8 +210,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame, *, risk: float = 0.01, error
             for i, c in enumerate(spec[3])
         ]
     )
-    strata = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))  # a row per stratum
-    rows = per_stratum.withColumn("half", error / strata / 2).select("stratum", "n", "half", F.inline(tests))
+    per_stratum = written(per_stratum, "quality-counts")  # a row per stratum
+    half = error / max(1, per_stratum.count()) / 2
+    rows = per_stratum.withColumn("half", F.lit(half)).select("stratum", "n", "half", F.inline(tests))
     tail = rows.withColumn("tail", binomial_tail(F.col("n"), F.col("k"), risk))
     tested = tail.withColumn("alone", (F.col("tail") <= F.col("half") / len(RULES)).cast("int")).withColumn(
         "chained", (F.col("tail") <= F.col("half")).cast("int")

@@ -10,7 +10,7 @@ and ``m`` is chosen so that this is below ``miss`` at the threshold.
 
 Tables are not materialised: rows are dealt by U part, and within a U group a
 pair shares table (i, j) iff it also agrees in V_j. A pair is looked at only in
-the group of its first common U part, so once. Groups above ``BLOCK`` members
+the group of its first common U part, so once. Groups above ``HOT`` members
 have leaders, and each member is first compared with one of them: those similar to
 the same are connected, so pairs among them need no look, and a large group of near
 copies costs one comparison for each. What is left is dealt out as pairs of blocks.
@@ -35,6 +35,7 @@ from .components import connected_components
 from .shingles import WordHashes, minhashes, mix, odd_constants, shingle_set, words_of
 
 BLOCK = 512  # members of a U group that one task compares with as many others
+HOT = 8 * BLOCK  # members of a group with a leader: below, its pairs of blocks cost less than reading texts once more
 PARTS = 2
 ARROW_RECORDS = 1000  # texts, or sets of shingles, in one Arrow batch
 
@@ -193,12 +194,12 @@ def _exploded(reps: DataFrame, *columns: str) -> DataFrame:
 
 
 def _hot_groups(reps: DataFrame) -> DataFrame:
-    """ukey and leader of each group above BLOCK members: of those with the
+    """ukey and leader of each group above HOT members: of those with the
     commonest first V part, the smallest, so that it is one of many alike."""
     narrow = _exploded(reps.select("rep", "u", F.get("v", F.lit(0)).alias("v0")), "v0")
     by_v = narrow.groupBy("ukey", "v0").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("leader"))
     by_key = by_v.groupBy("ukey").agg(F.sum("n").alias("n"), F.max_by("leader", F.struct("n", "leader")).alias("leader"))
-    return by_key.filter(F.col("n") > BLOCK).drop("n")
+    return by_key.filter(F.col("n") > HOT).drop("n")
 
 
 def _similar_to_leader(percent: int):

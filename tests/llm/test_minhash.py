@@ -118,6 +118,7 @@ def test_hot_groups_are_linked_through_a_leader(spark, make_docs, monkeypatch, s
     from marquee.llm import minhash
 
     monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "HOT", 8)
     r = random.Random(seed)
     base = [f"w{i}" for i in range(150)]
     second = base[:110] + [f"v{i}" for i in range(40)]
@@ -137,6 +138,7 @@ def test_a_group_of_near_copies_needs_no_pairs(spark, monkeypatch):
     from marquee.llm import minhash
 
     monkeypatch.setattr(minhash, "BLOCK", 10)
+    monkeypatch.setattr(minhash, "HOT", 10)
     n, rest = 1000, 7
     reps = spark.createDataFrame([(i, [1, 2], [3, 4]) for i in range(n)] + [(5000 + i, [8, 9], [3, 4]) for i in range(9)], "rep long, u array<long>, v array<long>")
     hot = minhash._hot_groups(reps)

@@ -44,6 +44,21 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("SpdxGPL3", "spdx-license-identifier gpl-3.0(-only)?"),
     ("SpdxGPL3plus", "spdx-license-identifier gpl-3.0(\\+|-or-later)"),
     ("SpdxMPL2", "spdx-license-identifier mpl-2.0"),
+    ("SpdxLGPL2", "spdx-license-identifier lgpl-2.(0|1)(-only)?"),
+    ("SpdxLGPL2plus", "spdx-license-identifier lgpl-2.(0|1)(\\+|-or-later)"),
+    ("SpdxLGPL3", "spdx-license-identifier lgpl-3.0(-only)?"),
+    ("SpdxLGPL3plus", "spdx-license-identifier lgpl-3.0(\\+|-or-later)"),
+    ("SpdxAGPL3", "spdx-license-identifier agpl-3.0(-only)?"),
+    ("SpdxAGPL3plus", "spdx-license-identifier agpl-3.0(\\+|-or-later)"),
+    ("SpdxISC", "spdx-license-identifier isc"),
+    ("SpdxZlib", "spdx-license-identifier zlib"),
+    ("SpdxBoost", "spdx-license-identifier bsl-1.0"),
+    ("SpdxUnlicense", "spdx-license-identifier unlicense"),
+    ("SpdxEPL2", "spdx-license-identifier epl-2.0"),
+    ("SpdxArtistic2", "spdx-license-identifier artistic-2.0"),
+    ("SpdxCC0", "spdx-license-identifier cc0-1.0"),
+    ("SpdxCCBY", "spdx-license-identifier cc-by-4.0"),
+    ("SpdxCCBYSA", "spdx-license-identifier cc-by-sa-4.0"),
     ("ApacheRef", "((this|the) (work|file|software|project|program) is )?(licensed|released|distributed) under the( terms of the)? apache license( version)? 2.0( the license)?"),
     ("ApacheUse", "you may not use this file except in compliance with the license"),
     ("ApacheCopy", "you may obtain a copy of the license at( .*)?"),
@@ -81,6 +96,17 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("CCBYSARef", "((this|the) (work|file|text|dataset) is )?(licensed|released) under (a )?(cc|creative commons) by-sa( 4.0)?( international)?( license)?"),
     ("CCBYNDRef", "((this|the) (work|file|text|dataset) is )?(licensed|released) under (a )?(cc|creative commons) by-nd( 4.0)?( international)?( license)?"),
     ("CCBYRef", "((this|the) (work|file|text|dataset) is )?(licensed|released) under (a )?(cc|creative commons) by( 4.0)?( international)?( license)?"),
+    ("ISCRef", "((this|the) (work|file|software|project|program) is )?(licensed|released|distributed) under the( terms of the)? isc license"),
+    ("ZlibRef", "((this|the) (work|file|software|project|program) is )?(licensed|released|distributed) under the( terms of the)? zlib license"),
+    ("ZlibAsIs", "this software is provided as-is without any express or implied warranty"),
+    ("ZlibUse", "permission is granted to anyone to use this software for any purpose including commercial applications.*"),
+    ("BoostRef", "((this|the) (work|file|software|project|program) is )?(licensed|released|distributed) under the( terms of the)? boost software license( version)?( 1.0)?"),
+    ("BoostPerm", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation.*"),
+    ("UnlicenseFree", "this is free and unencumbered software released into the public domain"),
+    ("EPLRef", "((this|the) (work|file|software|project|program) is )?(licensed|released|distributed) under the( terms of the)? eclipse public license( version| v)? ?2(.0)?"),
+    ("EPLNotice", "this program and the accompanying materials are made available under the terms of the eclipse public license.* 2.0.*"),
+    ("ArtisticRef", "((this|the) (work|file|software|project|program) is )?(licensed|released|distributed) under the( terms of the)? artistic license( version)? 2.0"),
+    ("CC0Waiver", "to the extent possible under law .* waived all copyright and related or neighboring rights.*"),
     ("AllRights", "all rights reserved"),
 )
 
@@ -98,6 +124,11 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("GPL-2.0-or-later", ("GPL2Later", "GPLHope", "GPLSee", "GPLCopy")),
     ("GPL-3.0-or-later", ("GPL3Later",)),
     ("GPL-2.0-or-later", ("GPL2Later",)),
+    ("Zlib", ("ZlibAsIs", "ZlibUse")),
+    ("BSL-1.0", ("BoostPerm",)),
+    ("Unlicense", ("UnlicenseFree",)),
+    ("EPL-2.0", ("EPLNotice",)),
+    ("CC0-1.0", ("CC0Waiver",)),
     ("MPL-2.0", ("MPLRef", "MPLCopy")),
     ("MPL-2.0", ("MPLRef",)),
     ("Apache-2.0", ("ApacheRef",)),
@@ -124,6 +155,26 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("GPL-3.0-only", ("SpdxGPL3",)),
     ("GPL-3.0-or-later", ("SpdxGPL3plus",)),
     ("MPL-2.0", ("SpdxMPL2",)),
+    ("ISC", ("ISCRef",)),
+    ("Zlib", ("ZlibRef",)),
+    ("BSL-1.0", ("BoostRef",)),
+    ("EPL-2.0", ("EPLRef",)),
+    ("Artistic-2.0", ("ArtisticRef",)),
+    ("LGPL", ("SpdxLGPL2",)),
+    ("LGPL", ("SpdxLGPL2plus",)),
+    ("LGPL", ("SpdxLGPL3",)),
+    ("LGPL", ("SpdxLGPL3plus",)),
+    ("AGPL", ("SpdxAGPL3",)),
+    ("AGPL", ("SpdxAGPL3plus",)),
+    ("ISC", ("SpdxISC",)),
+    ("Zlib", ("SpdxZlib",)),
+    ("BSL-1.0", ("SpdxBoost",)),
+    ("Unlicense", ("SpdxUnlicense",)),
+    ("EPL-2.0", ("SpdxEPL2",)),
+    ("Artistic-2.0", ("SpdxArtistic2",)),
+    ("CC0-1.0", ("SpdxCC0",)),
+    ("CC-BY-4.0", ("SpdxCCBY",)),
+    ("CC-BY-SA-4.0", ("SpdxCCBYSA",)),
     ("Proprietary", ("AllRights",)),
 )
 

@@ -172,6 +172,38 @@ the Free Software Foundation; either version 2 of the License, or
 }
 
 
+OTHERS = {
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:""",
+    "BSL-1.0": """Distributed under the Boost Software License, Version 1.0.
+(See accompanying file LICENSE_1_0.txt)""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software.""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+http://www.eclipse.org/legal/epl-2.0.""",
+    "CC0-1.0": """To the extent possible under law, the author has waived all copyright and
+related or neighboring rights to this work.""",
+    "AGPL": "SPDX-License-Identifier: AGPL-3.0-or-later",
+    "LGPL": "SPDX-License-Identifier: LGPL-2.1",
+}
+
+
+@pytest.mark.parametrize("sign", ["", "# "])
+@pytest.mark.parametrize("name", list(OTHERS))
+def test_more_notices(make_docs, name, sign):
+    text = "\n".join(sign + line for line in OTHERS[name].split("\n"))
+    (row,) = licence_scan(make_docs([(1, f"Title\n{text}\nimport x")])).collect()
+    assert name in row.licences.split(",")
+
+
 @pytest.mark.parametrize("sign", ["", "# ", "// ", " * "])
 def test_wrapped_notices(spark, sign):
     """All sentences of the longest rule, with and without comment signs, between other lines."""

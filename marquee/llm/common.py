@@ -73,7 +73,8 @@ class Scratch:
     must be written by then: what is read lazily from them would be gone."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, {}
+        self.spark = spark
+        self.paths: dict[str, list[str]] = {}
 
     def __enter__(self) -> "Scratch":
         return self
@@ -82,14 +83,14 @@ class Scratch:
         self.done(*self.paths)
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
-        self.paths[name] = stored(df, name)
-        return self.spark.read.schema(df.schema).parquet(self.paths[name])
+        path = stored(df, name)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def done(self, *names: str) -> None:
-        """Remove these tables now."""
-        for name in names or ():
-            discard(self.spark, self.paths[name])
-        self.paths = {k: v for k, v in self.paths.items() if k not in names}
+        """Remove the tables written under these names so far."""
+        for name in names:
+            discard(self.spark, *self.paths.pop(name, []))
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_records, written
+from .common import Scratch, arrow_records, written
 from .vectors import integer_vectors
 
 SAMPLE = 16_384  # rows the codebooks are fitted on; every row is indexed
@@ -292,8 +292,8 @@ def _scored(d: int, k: int, same: bool):
 class MultiIndex:
     """The inverted multi-index of rows (vec_id, label, x)."""
 
-    def __init__(self, rows: DataFrame, d: int):
-        self.d, self.spark = d, rows.sparkSession
+    def __init__(self, rows: DataFrame, d: int, scratch: Scratch):
+        self.d, self.spark, self.scratch = d, rows.sparkSession, scratch
         total = rows.count()
         k = int(min(CENTROIDS, max(1, round((total / CELL_ROWS) ** 0.5))))
         sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("x").collect()
@@ -301,10 +301,10 @@ class MultiIndex:
         cut = d // 2
         self.books = Codebooks(_codebook(z[:, :cut], k), _codebook(z[:, cut:], k))
         schema = "vec_id long, label long, z binary, cell int, i int, j int, r1 double, r2 double"
-        self.rows = written(rows.mapInPandas(_indexed(self.books), schema), "multi-index-rows")
+        self.rows = scratch.written(rows.mapInPandas(_indexed(self.books), schema), "multi-index-rows")
         self._radii()
         ordered = self._ordered(self.rows)
-        self.blocks = written(ordered.mapInPandas(_packed(BLOCK, True), _BLOCK_SCHEMA), "multi-index-blocks")
+        self.blocks = scratch.written(ordered.mapInPandas(_packed(BLOCK, True), _BLOCK_SCHEMA), "multi-index-blocks")
         shape = (len(self.books.centroids[0]), len(self.books.centroids[1]))
         counts = self.blocks.groupBy("cell").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("blocks")).collect()
         self.books.rows, self.books.blocks = np.zeros(shape, dtype=np.int64), np.zeros(shape, dtype=np.int64)
@@ -327,7 +327,7 @@ class MultiIndex:
 
     def batches(self, condition: Column | str) -> DataFrame:
         """Anchors, in batches of neighbours."""
-        return written(self._ordered(self.rows.filter(condition)).mapInPandas(_packed(BATCH, False), _BLOCK_SCHEMA), "multi-index-anchors")
+        return self.scratch.written(self._ordered(self.rows.filter(condition)).mapInPandas(_packed(BATCH, False), _BLOCK_SCHEMA), "multi-index-anchors")
 
     def search(self, batches: DataFrame, windows: DataFrame, k: int, same: bool) -> DataFrame:
         """anchor_id, w, score, id: for each window (anchor_id, block, at, w, lo,
@@ -346,8 +346,8 @@ class MultiIndex:
             # a batch has at most BATCH anchors, each with a window for each positive
             per_batch = now.groupBy("block").agg(F.collect_list(F.struct("at", "w", "lo", "hi", "need")).cast(_WINDOWS).alias("windows"))
             with arrow_records(self.spark, 32):  # rows are blocks; ten thousand at once would be gigabytes
-                asking = written(batches.join(per_batch, "block"), "multi-index-asking")
-                visits = written(
+                asking = self.scratch.written(batches.join(per_batch, "block"), "multi-index-asking")
+                visits = self.scratch.written(
                     asking.mapInPandas(_visits(self.books, self.d, done, budget), "batch long, cell int, mask binary, n_blocks long"),
                     "multi-index-visits",
                 )
@@ -358,7 +358,9 @@ class MultiIndex:
                 if best is not None:
                     found = found.unionByName(best)
                 order = Window.partitionBy("anchor_id", "w").orderBy(F.desc("score"), "id")
-                best = written(found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).drop("r"), "multi-index-best")
+                ranked = found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).drop("r")
+                best = self.scratch.written(ranked, f"multi-index-best-{budget}")
+                self.scratch.done("multi-index-asking", "multi-index-visits")
             done, budget = budget, budget * GROWTH
 
     def _round(self, asking: DataFrame, visits: DataFrame, pairs: int, n_batches: int, k: int, same: bool) -> DataFrame:
@@ -401,7 +403,14 @@ def hard_negatives(
     repeat a vec_id count once (the one with the least label and vector). An anchor
     without other rows of its label, or a positive without rows in its window
     (always so where its score is negative), gives no rows; empty tables neither.
-    Other columns are ignored. The result is read from written tables."""
+    Other columns are ignored. The result is a written table."""
+    with Scratch(table.sparkSession) as scratch:
+        return _mined(table, anchors, positives, negatives, low, high, scale, scratch)
+
+
+def _mined(
+    table: DataFrame, anchors: Column | str, positives: int, negatives: int, low: int, high: int, scale: int, scratch: Scratch
+) -> DataFrame:
     spark = table.sparkSession
     schema = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     usable, d = integer_vectors(table, key="vec_id", vector="embedding", scale=scale, shift=0, below=LARGEST, keep=("label",))
@@ -409,30 +418,31 @@ def hard_negatives(
         return spark.createDataFrame([], schema)
     labelled = usable.select("vec_id", F.col("label").cast("long").alias("label"), "x").dropna(subset=["vec_id", "label"])
     one = labelled.groupBy("vec_id").agg(F.min(F.struct("label", "x")).alias("r")).select("vec_id", "r.label", "r.x")
-    rows = written(one, "multi-index-vectors")
+    rows = scratch.written(one, "multi-index-vectors")
     if rows.isEmpty():
         return spark.createDataFrame([], schema)
-    index = MultiIndex(rows, d)
+    index = MultiIndex(rows, d, scratch)
     batches = index.batches(anchors)
 
     everything = 1 << 62
-    places = written(batches.select("block", "ids", "n").mapInPandas(_places, "block long, at int, anchor_id long"), "multi-index-places")
+    places = scratch.written(batches.select("block", "ids", "n").mapInPandas(_places, "block long, at int, anchor_id long"), "multi-index-places")
     open_windows = places.select("*", F.lit(0).alias("w"), F.lit(-everything).alias("lo"), F.lit(everything).alias("hi"))
     order = Window.partitionBy("anchor_id").orderBy(F.desc("score"), "id")
     found = index.search(batches, open_windows, positives, True)
     chosen = found.select("anchor_id", F.row_number().over(order).alias("w"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
-    chosen = written(chosen, "multi-index-positives")
+    chosen = scratch.written(chosen, "multi-index-positives")
     score = F.col("positive_score")
     asked = chosen.join(places, "anchor_id").select(
         "block", "at", "anchor_id", "w", (-_floor_percent(-score, low)).alias("lo"), _floor_percent(score, high).alias("hi")
     )
-    answered = index.search(batches, written(asked.filter("lo <= hi"), "multi-index-windows"), negatives, False)
+    answered = index.search(batches, scratch.written(asked.filter("lo <= hi"), "multi-index-windows"), negatives, False)
     rank = F.row_number().over(Window.partitionBy("anchor_id", "w").orderBy(F.desc("score"), "id"))
-    return (
+    out = (
         answered.withColumn("rank", rank)
         .join(chosen, ["anchor_id", "w"])
         .select("anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
     )
+    return written(out, "hard-negatives")
 
 
 def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.llm import negatives
+from marquee.llm.common import Scratch
 from marquee.llm.negatives import Codebooks, MultiIndex, _codebook, cells_to_visit, hard_negatives, multi_sequence
 from marquee.llm.vectors import integer_vectors
 
@@ -116,7 +117,7 @@ def test_bounds_hold_all_scores_and_stop_early():
 def test_every_row_is_indexed(spark):
     rows = clustered(np.random.default_rng(5), 200)
     usable, d = integer_vectors(table(spark, rows), key="vec_id", vector="embedding", scale=256, shift=0, below=1e9, keep=("label",))
-    index = MultiIndex(usable, d)
+    index = MultiIndex(usable, d, Scratch(spark))
     assert index.blocks.agg(F.sum("n")).first()[0] == 200 == index.books.rows.sum()
     ids = [i for r in index.blocks.collect() for i in np.frombuffer(r.ids, "<i8").tolist()]
     assert sorted(ids) == list(range(200))

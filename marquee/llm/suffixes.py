@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, written
+from .common import Scratch, arrow_records, written
 from .shingles import odd_constants
 
 WIDTH = 50
@@ -411,7 +411,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         _batched, "batch long, ids array<long>, ends array<long>, digests array<binary>, text binary"
     ).write.bucketBy(buckets, "batch").option("compression", "zstd").saveAsTable(table)
     try:
-        with Scratch(spark) as scratch:
+        # rows are batches of some megabytes: a worker gets two at a time, not all of its bucket
+        with Scratch(spark) as scratch, arrow_records(spark, 2):
             return _resolved(spark.table(table), nameless, ranges, scratch)
     finally:
         spark.sql(f"DROP TABLE {table}")

@@ -119,3 +119,22 @@ def test_credits_are_counted_per_person_before_the_name_join(spark, small_catalo
     ids = ", ".join(rf"{k}#\d+" for k in keys)
     assert re.search(rf"HashAggregate\(keys=\[{ids}\], functions=\[partial_count\(1\)\]", text), text
     assert re.search(r"HashAggregate\(keys=\[primaryName#\d+, \w+#\d+\], functions=\[partial_sum\(count", text), text
+
+
+def test_selected_titles_meet_the_large_table_before_ratings(spark, small_catalog):
+    from pyspark.sql import functions as F
+
+    from marquee.operators.common import join_rated_titles
+
+    credits = small_catalog.principals.select("tconst", "nconst")
+    df = join_rated_titles(credits, small_catalog, F.col("startYear") == 2000, ("startYear", "averageRating"))
+    assert df.columns == ["tconst", "nconst", "startYear", "averageRating"]
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    left, right = (side.outputSet().toString() for side in (node.left(), node.right()))
+    assert "nconst" in left and "startYear" in left and "averageRating" not in left and "averageRating" in right
+    # a shared table of rated titles takes both joins' place, with the same rows
+    rated = small_catalog.with_tables(rated=small_catalog.titles.join(small_catalog.ratings, "tconst"))
+    other = join_rated_titles(credits, rated, F.col("startYear") == 2000, ("startYear", "averageRating"))
+    assert df.count() > 0 and df.exceptAll(other).count() == 0 and other.exceptAll(df).count() == 0

@@ -18,8 +18,8 @@ first levels:
 
 Suffixes are packed: a row holds the sorted names of one batch of documents that
 fall into one range of names, and what comes back is a bit for each name, so
-the shuffles carry some 2.5 and 7 bytes for a name, and about a byte more for ten
-times the text, as a batch then has fewer names in a range. The texts are written once as
+the shuffles carry some 2.5 and 7 bytes for a name, the first with half a byte more
+for ten times the text, as a batch then has fewer names in a range. The texts are written once as
 a bucketed table and never shuffled. Texts equal to one of a smaller doc_id are
 told by their MD5 and have no suffixes sorted. Names are 64-bit hashes, in the first step
 their leading bits, where a false match only costs work.

@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents, and held-out splits."""
+"""Labelled documents, bounded samples of them, and held-out splits."""
 
 from __future__ import annotations
 
@@ -13,18 +13,24 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")), F.lit(folds))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_class: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``per_class`` documents of each label 0
-    and 1 outside fold ``held``, taken in the order of a hash of the doc_id. The
-    label rows chosen -- 2 * per_class at most -- are broadcast, so no text is
-    shuffled. Conflicting labels of a doc_id count as their least."""
-    known = (
+def known_labels(labels: DataFrame, label: str, folds: int, held: int) -> DataFrame:
+    """(doc_id, label) of each doc_id labelled 0 or 1 outside fold ``held``.
+    Conflicting labels of a doc_id count as their least."""
+    return (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .filter("doc_id IS NOT NULL AND label IN (0, 1)")
         .filter(fold("doc_id", folds) != held)
         .groupBy("doc_id")
         .agg(F.min("label").alias("label"))
     )
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_class: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``per_class`` documents of each label 0
+    and 1 outside fold ``held``, taken in the order of a hash of the doc_id. The
+    label rows chosen -- 2 * per_class at most -- are broadcast, so no text is
+    shuffled."""
+    known = known_labels(labels, label, folds, held)
     order = F.xxhash64("doc_id", F.lit(label))
     chosen = None
     for value in (0, 1):

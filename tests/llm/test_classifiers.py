@@ -67,6 +67,58 @@ def test_bradley_terry_prefers_and_cuts_at_the_quantile():
     assert (s < model.cut).mean() == pytest.approx((y == 0).mean(), abs=0.01)
 
 
+def every_pair(x, y, ridge=1e-3):
+    """Design and weights from a list of all preference pairs."""
+    scale = x.std(axis=0)
+    z = np.clip((x - x.mean(axis=0)) / np.where(scale > 1e-9, scale, 1.0), -8, 8)
+    d = np.hstack([z, z * z / 8])
+    diff = (d[y == 1][:, None] - d[y == 0][None]).reshape(-1, d.shape[1])
+    w = np.zeros(d.shape[1])
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-diff @ w))
+        w += np.linalg.solve((diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + ridge * np.eye(len(w)), diff.T @ (1 - p) / len(diff) - ridge * w)
+    return d, w, float(np.logaddexp(0, -diff @ w).sum())
+
+
+@pytest.mark.parametrize("bad", [0.05, 0.5])
+def test_weights_and_loss_are_those_of_every_pair(bad):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, len(ranking.FEATURES)))
+    x[:, 5] = 1.0  # says nothing
+    x[200:260] = x[100]  # copies, with both labels
+    y = (x[:, 3] + rng.normal(size=400) > np.quantile(x[:, 3], bad)).astype(int)
+    d, w, loss = every_pair(x, y)
+    model = ranking.fit(x, y, share0=float((y == 0).mean()))
+    assert np.abs(model.weights - w).max() < 1e-6
+    assert model.cut == np.sort(model.strength(x))[(y == 0).sum() - 1]
+    model.weights = w
+    assert ranking.Cells(ranking.Cells.measure(model)(x, y), len(w)).loss == pytest.approx(loss, rel=1e-12)
+
+
+def test_quality_is_learned_from_every_labelled_document(spark, make_docs):
+    r = random.Random(4)
+    words = ["good", "fine", "Bad##", "longer-words-here", "a,", "7"]
+    rows = []  # (doc_id, text, label): more good ones than the 6000 once looked at
+    for i in range(8600):
+        label = int(i % 25 > 0)
+        rows.append((i, " ".join(r.choice(words[: 4 + label * (i % 3)] if r.random() < 0.9 else words) for _ in range(4 + i % 9)), label))
+    docs = make_docs([row[:2] for row in rows])
+    labels = spark.createDataFrame([(i, label, 0) for i, _, label in rows], LABELS)
+    x = np.array([ranking.features(t) for _, t, _ in rows])
+    y = np.array([label for *_, label in rows])
+    known = np.array([zlib.crc32(str(i).encode()) % 5 != 0 for i, *_ in rows])
+    assert (y[known] == 1).sum() > 6000
+    model = ranking.fit(x[known], y[known], share0=float((y[known] == 0).mean()))
+    want = model.strength(x) - model.cut + math.log(0.3 / 0.7)
+    got = {row.doc_id: row for row in ranked_quality(docs, labels).collect()}
+    logit = np.array([math.log(got[i].score / (1 - got[i].score)) for i in range(len(rows))])
+    assert np.abs(logit - want).max() < 1e-6
+    # at the quantile: as many below the cut as there are documents of label 0, but for ties
+    below = sum(1 - got[i].predicted for i in np.flatnonzero(known))
+    at = (np.abs(want[known] - math.log(0.3 / 0.7)) < 1e-9).sum()
+    assert below < (y[known] == 0).sum() <= below + at
+
+
 def test_present_equals_a_plain_set_of_ngrams():
     text = "Straße ABC abc \U0001f600" * 5
     low = text.lower()

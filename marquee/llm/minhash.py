@@ -38,6 +38,7 @@ BLOCK = 512  # members of a U group that one task compares with as many others
 HOT = 8 * BLOCK  # members of a group with a leader: below, its pairs of blocks cost less than reading texts once more
 PARTS = 2
 ARROW_RECORDS = 1000  # texts, or sets of shingles, in one Arrow batch
+MARKS = 1 << 24  # bits that tell most texts nobody asks for, before any is moved
 
 
 def collection_size(similarity: float, parts: int = PARTS, miss: float = 1e-6) -> int:
@@ -48,7 +49,8 @@ def collection_size(similarity: float, parts: int = PARTS, miss: float = 1e-6) -
 
 def signatures(docs: DataFrame, *, width: int = 5, m: int = 12, parts: int = PARTS) -> DataFrame:
     """doc_id, n_shingles, digest (of the whole set; null: empty set), u and v
-    (m 64-bit parts each)."""
+    (m 32-bit parts each: parts equal by chance cost a comparison, as all pairs
+    are confirmed on their sets)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, weights = WordHashes(), odd_constants(width, "shingle")
@@ -62,7 +64,7 @@ def signatures(docs: DataFrame, *, width: int = 5, m: int = 12, parts: int = PAR
                 part = np.zeros((len(full), 2 * m), dtype=np.uint64)
                 for p in range(parts):
                     part = mix(part + mins[:, p * 2 * m : (p + 1) * 2 * m])
-                for k, row in zip(full, part.view(np.int64)):
+                for k, row in zip(full, part.astype(np.uint32).view(np.int32)):
                     uv[k] = row
             yield pd.DataFrame(
                 {
@@ -74,7 +76,7 @@ def signatures(docs: DataFrame, *, width: int = 5, m: int = 12, parts: int = PAR
                 }
             )
 
-    return texts(docs).mapInPandas(run, "doc_id long, n_shingles long, digest binary, u array<long>, v array<long>")
+    return texts(docs).mapInPandas(run, "doc_id long, n_shingles long, digest binary, u array<int>, v array<int>")
 
 
 def _groups(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
@@ -143,12 +145,13 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _confirmed(percent: int):
+def _confirmed(percent: int, width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, weights = WordHashes(), odd_constants(width, "shingle")
         for pdf in _groups(batches, ["ukey", "b1", "b2"]):
             u, v = np.stack(pdf["u"].to_numpy()), np.stack(pdf["v"].to_numpy())
             key = pdf.groupby(["ukey", "b1", "b2"], sort=False).ngroup().to_numpy()
-            part, sets = pdf["part"].to_numpy(), [np.frombuffer(x, dtype=np.uint64) for x in pdf["shingles"]]
+            part, sets = pdf["part"].to_numpy(), [shingle_set(words_of(t), hashes, width, weights) for t in pdf["text"]]
             root = list(range(len(pdf)))
 
             def find(x: int) -> int:
@@ -171,6 +174,18 @@ def _confirmed(percent: int):
     return run
 
 
+def _asked_for(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the rows of ``docs`` whose doc_id may be among ``ids``: all that
+    are, and of the others those that share a bit with one. There are MARKS bits for
+    the hashes of the ids, so that what is broadcast is bounded, however many there are."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+    word, bit = F.expr("place div 64").alias("word"), F.expr("cast(place % 64 AS int)").alias("bit")
+    marks = ids.select(place.alias("place")).select(word, bit)
+    marks = marks.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+    placed = texts(docs).withColumn("place", place).select("doc_id", "text", word, bit)
+    return placed.join(F.broadcast(marks), "word").filter("getbit(bits, bit) = 1").select("doc_id", "text")
+
+
 def _shingle_rows(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, weights = WordHashes(), odd_constants(width, "shingle")
@@ -310,7 +325,8 @@ def _linked(docs: DataFrame, percent: int, width: int, m: int, scratch: Scratch)
     reps = scratch.written(reps, "minhash-reps")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = texts(docs).join(ids, "doc_id", "left_semi")
+        # no semi-join: the optimiser would put it before the filter
+        wanted = _asked_for(docs, ids).join(ids.distinct(), "doc_id")
         return wanted.mapInPandas(_shingle_rows(width), "rep long, shingles binary")
 
     hot = scratch.written(_hot_groups(reps), "minhash-hot")
@@ -326,17 +342,19 @@ def _linked(docs: DataFrame, percent: int, width: int, m: int, scratch: Scratch)
     rows = scratch.written(_exploded(rows, "class", "u", "v"), "minhash-parts")
     dealt = _dealt(rows, hot)
     group = ["ukey", "b1", "b2"]
-    schema = "ukey long, b1 int, b2 int, block int, part int, rep long, u array<long>, v array<long>"
+    schema = "ukey long, b1 int, b2 int, block int, part int, rep long, u array<int>, v array<int>"
     members = scratch.written(
         dealt.repartition(*group).sortWithinPartitions(*group).mapInPandas(_candidate_members, schema),
         "minhash-candidates",
     )
     scratch.done("minhash-parts")
+    # texts travel, not their sets: these are twice as large and can't be compressed
+    asked = _asked_for(docs, members.select(F.col("rep").alias("doc_id")))
     links = (
-        members.join(sets_of(members.select(F.col("rep").alias("doc_id")).distinct()), "rep")
+        members.join(asked.withColumnRenamed("doc_id", "rep"), "rep")
         .repartition(*group)
         .sortWithinPartitions(*group)
-        .mapInPandas(_confirmed(percent), "a long, b long")
+        .mapInPandas(_confirmed(percent, width), "a long, b long")
     )
     edges = links.union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))).union(stars)
     edges = scratch.written(edges, "minhash-links")

@@ -160,3 +160,37 @@ def test_classes_follow_leaders_of_leaders(spark):
 
     stars = spark.createDataFrame([(9, 7), (8, 7), (7, 3), (3, 1), (20, 15)], "rep long, leader long")
     assert {(r.rep, r["class"]) for r in _classes(stars).collect()} == {(9, 1), (8, 1), (7, 1), (3, 1), (20, 15)}
+
+
+def test_texts_nobody_asks_for_are_left_before_the_shuffle(spark, make_docs):
+    from marquee.llm.minhash import _asked_for
+
+    docs = make_docs([(i, f"t{i}") for i in range(1000)] + [(None, "none"), (7, "twice"), (8, None)])
+    ids = spark.createDataFrame([(7,), (8,), (999,), (5000,)], "doc_id long")
+    out = _asked_for(docs, ids)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(7, "t7"), (7, "twice"), (8, "t8"), (8, None), (999, "t999")], key=str)
+    assert _asked_for(docs, ids.limit(0)).count() == 0
+
+
+def test_marks_may_let_others_through(spark, make_docs, monkeypatch):
+    """With a few bits all texts pass; links are those of brute force."""
+    from marquee.llm import minhash
+
+    monkeypatch.setattr(minhash, "MARKS", 2)
+    docs = make_docs([(i, f"t{i}") for i in range(100)])
+    assert minhash._asked_for(docs, docs.select("doc_id").filter("doc_id < 50")).count() == 100
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(100)]
+    rows = {i: " ".join(edited(r, words, 0.01)) for i in range(6)} | {10 + i: f"other {i} text of six words" for i in range(6)}
+    got = near_duplicates(make_docs(rows.items()), percent=85).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(rows, 85)
+
+
+def test_parts_move_as_32_bits(make_docs):
+    from marquee.llm.minhash import signatures
+
+    docs = make_docs([(1, "a b c d e f"), (2, "a b c d e f"), (3, "")])
+    sig = signatures(docs, m=4)
+    assert dict(sig.dtypes)["u"] == dict(sig.dtypes)["v"] == "array<int>"
+    one, two, none = sorted(sig.collect(), key=lambda x: x.doc_id)
+    assert one.u == two.u and one.v == two.v and len(set(one.u + one.v)) == 8 and none.u is None
